@@ -21,21 +21,16 @@ def digit_residue(column: Column) -> Column:
 def _two_decimals(x: Column) -> Column:
     """``x >= 1`` with two decimals, rounded from its exact binary value, half to even.
 
-    The high and low halves of ``x`` have few enough bits that their products with 100
-    are exact, so the remainder over the whole number of cents is exact too and ties
-    are seen as ties.
+    The product with 100 may itself be rounded onto a tie. The high and low halves of
+    ``x`` have few enough bits for exact products, so what is left over the rounded
+    cents is exact and shows on which side of the tie ``x`` lies.
     """
     split = x * 134217729.0  # 2**27 + 1 parts a double into two halves
     high = split - (split - x)
-    low = x - high
-    whole = F.floor(x * 100.0)
-    rest = (high * 100.0 - whole.cast("double")) + low * 100.0
-    up = (rest > 0.5) | ((rest == 0.5) & (whole % 2 == 1))
-    cents = whole + F.when(up, 1).otherwise(0)
-    return F.concat(
-        F.floor(cents / 100).cast("string"), F.lit("."),
-        F.lpad((cents % 100).cast("string"), 2, "0"),
-    )
+    cents = F.rint(x * 100.0)
+    rest = (high * 100.0 - cents) + (x - high) * 100.0
+    exact = cents + F.when(rest > 0.5, 1.0).when(rest < -0.5, -1.0).otherwise(0.0)
+    return (exact.cast("decimal(17,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("string")
 
 
 def _plain(x: Column) -> Column:
@@ -50,8 +45,7 @@ def dollars(column: Column) -> Column:
     Negative amounts always read as the plain number.
     """
     x = column.cast("double")
-    return (
-        F.when(x >= 1_000_000, F.concat(_two_decimals(x / 1_000_000.0), F.lit("M")))
-        .when(x >= 1_000, F.concat(_two_decimals(x / 1_000.0), F.lit("K")))
-        .otherwise(_plain(x))
-    )
+    millions = x >= 1_000_000
+    scaled = x / F.when(millions, 1_000_000.0).otherwise(1_000.0)
+    unit = F.when(millions, "M").otherwise("K")
+    return F.when(x >= 1_000, F.concat(_two_decimals(scaled), unit)).otherwise(_plain(x))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 ACCURACY = 10_000  # sketch ranks are within 1/ACCURACY of the rows
 
@@ -27,75 +27,66 @@ def _cut_points(probs: Sequence[float]) -> list[float]:
     return sorted({min(max(p + side, 0.0), 1.0) for p in probs for side in (-margin, margin)})
 
 
-def _lower_rank(p: Column) -> Column:
-    return F.floor((F.col("n") - 1) * p)
-
-
-def _upper_rank(p: Column) -> Column:
-    return F.least(_lower_rank(p) + 1, F.col("n") - 1)
-
-
-def _holds(rank: Column) -> Column:
-    return (rank >= F.col("first")) & (rank < F.col("past"))
-
-
 def exact_quantiles(
     df: DataFrame, value: str, probs: Sequence[float], by: str | None = None
 ) -> DataFrame:
     """Quantiles with linear interpolation, as rows (``by``, p, quantile).
 
     ``by`` names a column with a small fixed set of values, such as measure names or
-    size labels. NULL and NaN values are left out; an input without values gives no rows.
+    size labels. NULL and NaN values are left out; a group without values gives no rows.
+    Three scans of one column; only the counts and the bracketed values are shuffled.
     """
-    group = by or "_all"
-    number = F.col(value).cast("double")
-    rows = df.select(F.col(by) if by else F.lit(0).alias(group), number.alias("v"))
+    keys = [by] if by else []
+    rows = df.select(*keys, F.col(value).cast("double").alias("v"))
     rows = rows.where(F.col("v").isNotNull() & ~F.isnan("v"))
 
+    def attach(small: DataFrame, name: str) -> DataFrame:
+        """``rows`` with a column of ``small``, which has one row per group."""
+        if by:
+            return rows.join(F.broadcast(small.select(by, name)), by)
+        return rows.withColumn(name, small.select(name).scalar())
+
     # 1. a sketch per group: as many numbers as there are cuts
-    sketch = rows.groupBy(group).agg(F.percentile_approx("v", _cut_points(probs), ACCURACY).alias("cuts"))
-    if by:
-        # one row per value of `by`, a fixed small set
-        tagged = rows.join(F.broadcast(sketch), group)
-    else:
-        tagged = rows.withColumn("cuts", sketch.select("cuts").scalar())
-    zone = F.size(F.filter("cuts", lambda cut: cut < F.col("v")))
-    tagged = tagged.select(group, "v", zone.alias("zone"))
-
-    # 2. rows per zone, and the zones that hold a wanted rank
-    upto = Window.partitionBy(group).orderBy("zone").rowsBetween(Window.unboundedPreceding, 0)
-    wanted = F.filter(
-        F.array(*[F.lit(float(p)) for p in probs]),
-        lambda p: _holds(_lower_rank(p)) | _holds(_upper_rank(p)),
+    points = _cut_points(probs)
+    cuts = rows.groupBy(*keys).agg(F.percentile_approx("v", points, ACCURACY).alias("cuts"))
+
+    # 2. exact number of rows up to each cut
+    upto = ", ".join(f"count_if(v <= cuts[{i}])" for i in range(len(points)))
+    same = ", ".join(f"max(cuts[{i}])" for i in range(len(points)))  # equal on all rows of a group
+    counted = attach(cuts, "cuts").groupBy(*keys).agg(
+        F.expr(f"array({same})").alias("cuts"), F.expr(f"array({upto})").alias("upto"), F.count("v").alias("n")
+    ).where("n > 0")
+
+    # 3. the ranks around each probability, and the cuts around those; an end may be open
+    wanted = ", ".join(f"{float(p)!r}D" for p in probs)
+    ranks = f"""transform(array({wanted}), p -> struct(
+        p, floor((n - 1) * p) AS low, least(floor((n - 1) * p) + 1, n - 1) AS high,
+        (n - 1) * p - floor((n - 1) * p) AS share))"""
+    zones = """transform(ranks, r -> struct(
+        r, size(filter(upto, rows -> rows <= r.low)) AS below, size(filter(upto, rows -> rows <= r.high)) AS past))"""
+    bounds = """transform(zones, z -> struct(
+        z.r.p AS p, z.r.low AS low, z.r.high AS high, z.r.share AS share,
+        get(cuts, z.below - 1) AS above, get(cuts, z.past) AS most,
+        coalesce(get(upto, z.below - 1), 0) AS before))"""
+    brackets = counted
+    for name, step in (("ranks", ranks), ("zones", zones), ("brackets", bounds)):
+        brackets = brackets.withColumn(name, F.expr(step))
+
+    # 4. order the values inside the brackets only, equal values as one row
+    inside = "({0}.above IS NULL OR v > {0}.above) AND ({0}.most IS NULL OR v <= {0}.most)"
+    any_inside = " OR ".join(f"({inside.format(f'brackets[{i}]')})" for i in range(len(probs)))
+    found = attach(brackets, "brackets").where(any_inside).select(
+        *keys, "v", F.expr(f"inline(filter(brackets, b -> {inside.format('b')}))")
     )
-    zones = (
-        tagged.groupBy(group, "zone").agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("past", F.sum("rows").over(upto))
-        .withColumn("first", F.col("past") - F.col("rows"))
-        .withColumn("n", F.sum("rows").over(Window.partitionBy(group)))
-        .withColumn("wanted", wanted)
-        .where(F.size("wanted") > 0)
-        .select(group, "zone", "n", "wanted", F.col("first").alias("before"))
-    )
-
-    # 3. order only the rows of those zones, equal values as one row
-    inside = Window.partitionBy(group, "zone").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy(*keys, "p").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     values = (
-        tagged.join(F.broadcast(zones), [group, "zone"])  # at most two zones per probability
-        .groupBy(group, "zone", "v").agg(
-            F.count(F.lit(1)).alias("copies"),
-            F.first("n").alias("n"), F.first("wanted").alias("wanted"), F.first("before").alias("before"),
-        )
-        .withColumn("past", F.col("before") + F.sum("copies").over(inside))
-        .withColumn("first", F.col("past") - F.col("copies"))
-        .withColumn("p", F.explode("wanted"))
+        found.groupBy(*keys, "v", "p", "low", "high", "share", "before").agg(F.count(F.lit(1)).alias("copies"))
+        .withColumn("past", F.col("before") + F.sum("copies").over(order))
     )
-    low = F.max(F.when(_holds(_lower_rank(F.col("p"))), F.col("v")))
-    high = F.max(F.when(_holds(_upper_rank(F.col("p"))), F.col("v")))
-    at = (F.max("n") - 1) * F.col("p")
-    quantile = low + (high - low) * (at - F.floor(at))
-    return values.groupBy(group, "p").agg(quantile.alias("quantile")).select(
-        *([group] if by else []), "p", "quantile"
+    at = "max(CASE WHEN {0} >= past - copies AND {0} < past THEN v END)"
+    low, high = at.format("low"), at.format("high")
+    return values.groupBy(*keys, "p").agg(
+        F.expr(f"{low} + ({high} - {low}) * max(share)").alias("quantile")
     )
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import exact_mean
@@ -52,28 +54,59 @@ def modes(df: DataFrame) -> DataFrame:
     return found
 
 
+def _pair_sums(names: list[str]):
+    """A task's share of the sums behind each correlation, one set of rows per task."""
+    a, b = np.triu_indices(len(names))
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = 0.0
+        for batch in batches:
+            x = batch.to_numpy(dtype="float64")
+            there = ~np.isnan(x)
+            x, there = np.where(there, x, 0.0), there.astype("float64")
+            square = x * x
+            # row and column sums over the rows that have both values
+            total = total + np.stack([
+                there.T @ there, x.T @ there, there.T @ x, square.T @ there, there.T @ square, x.T @ x,
+            ])
+        if not np.isscalar(total):
+            sums = dict(zip(("n", "x", "y", "xx", "yy", "xy"), total[:, a, b]))
+            yield pd.DataFrame({"i": a, "j": b, **sums})
+
+    return add_up
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson r of every pair of numeric columns, as rows (a, b, r).
 
     Rows missing either value are left out of that pair. A column without spread has
-    no correlation: NULL, also with itself.
+    no correlation: NULL, also with itself. Columns are shifted by their means first,
+    which leaves r as it is and keeps the sums of squares small; each task sends one
+    row per pair.
     """
     names = list(columns or numeric_columns(df))
-    x = {c: F.col(c).cast("double") for c in names}
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-
-    def r(a: str, b: str) -> Column:
-        spread = F.sqrt(F.regr_sxx(x[a], x[b]) * F.regr_syy(x[a], x[b]))
-        return F.try_divide(F.regr_sxy(x[a], x[b]), spread)
-
-    one_row = df.agg(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r(a, b).alias("r")) for a, b in pairs
-    ]).alias("cells"))
-    half = one_row.select(F.inline("cells"))
-    mirrored = F.array(F.struct("a", "b", "r"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
-    return half.select(
-        F.inline(F.when(F.col("a") == F.col("b"), F.slice(mirrored, 1, 1)).otherwise(mirrored))
+    doubles = df.select([F.col(c).cast("double").alias(c) for c in names])
+    means = doubles.agg(F.struct(*[F.avg(c).alias(c) for c in names])).scalar()
+    shifted = doubles.withColumn("_means", means).select(
+        [(F.col(c) - F.col("_means")[c]).alias(c) for c in names]
+    )
+    sums = shifted.mapInPandas(
+        _pair_sums(names), "i int, j int, n double, x double, y double, xx double, yy double, xy double"
+    ).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+
+    def spread(square: str, plain: str) -> Column:
+        """Sum of squares about the mean; nothing but rounding noise counts as none."""
+        value = F.col(square) - F.try_divide(F.col(plain) * F.col(plain), F.col("n"))
+        return F.when(value > F.col(square) * 1e-14, value)
+
+    together = F.col("xy") - F.try_divide(F.col("x") * F.col("y"), F.col("n"))
+    r = F.when(F.col("i") == F.col("j"), F.when(spread("xx", "x").isNotNull(), 1.0)).otherwise(
+        F.try_divide(together, F.sqrt(spread("xx", "x")) * F.sqrt(spread("yy", "y")))
     )
+    label = F.array(*[F.lit(c) for c in names])
+    half = sums.select(F.get(label, F.col("i")).alias("a"), F.get(label, F.col("j")).alias("b"), r.alias("r"))
+    turned = half.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "r")
+    return half.unionByName(turned)
 
 
 def _edges(values: DataFrame, bins: int) -> DataFrame:

@@ -379,16 +379,18 @@ _DRILL = {
 def oracles() -> dict[str, str]:
     sql = {
         "refresh_mart": "SELECT * FROM mart",
-        "vendor_sales_summary": "SELECT * FROM summary ORDER BY TotalPurchaseDollars DESC",
+        "vendor_sales_summary": """
+            SELECT * REPLACE (TotalSalesQuantity::DOUBLE AS TotalSalesQuantity)
+            FROM summary ORDER BY TotalPurchaseDollars DESC""",
         "clean_summary": "SELECT * FROM clean",
         "rejected_volumes": """SELECT count(*) FILTER (Volume IS NOT NULL AND TRY_CAST(Volume AS DOUBLE) IS NULL) AS rejected
             FROM summary""",
         "vendor_features": "SELECT * FROM mart",
         "notebook_features": """
-            SELECT clean.* , round(coalesce(g, 0), 6) AS GrossProfit,
-                   round(coalesce(CASE WHEN s <> 0 THEN g / s * 100 END, 0), 6) AS ProfitMargin,
-                   round(coalesce(q::DOUBLE / nullif(TotalPurchaseQuantity, 0), 0), 6) AS StockTurnover,
-                   round(coalesce(s / nullif(TotalPurchaseDollars, 0), 0), 6) AS SalestoPurchaseRatio
+            SELECT clean.* , coalesce(g, 0) AS GrossProfit,
+                   coalesce(CASE WHEN s <> 0 THEN g / s * 100 END, 0) AS ProfitMargin,
+                   coalesce(q::DOUBLE / nullif(TotalPurchaseQuantity, 0), 0) AS StockTurnover,
+                   coalesce(s / nullif(TotalPurchaseDollars, 0), 0) AS SalestoPurchaseRatio
             FROM clean JOIN (
                 SELECT VendorNumber AS vn, Brand AS br, TotalSalesDollars AS s, TotalSalesQuantity AS q,
                        TotalSalesDollars - TotalPurchaseDollars AS g FROM summary)

@@ -12,7 +12,7 @@ from ..functions.text import dollars
 from ..operators import clean, dedupe, features, ids, profile, stats, summary, vendors
 from ..operators.quantiles import exact_quantiles, long_form
 from ..sources.schemas import RAW_SCHEMAS
-from .refresh import refresh_tables
+from .refresh import refresh_tables, summary_of
 from .workspace import Workspace, workspace
 
 VENDOR = 7  # the vendor of the drill-downs
@@ -69,19 +69,10 @@ def _margins(ws: Workspace) -> DataFrame:
     return long_form(ws.profitable(), ["ProfitMargin"])
 
 
-def _margin_groups(ws: Workspace) -> DataFrame:
-    return stats.quartile_groups(ws.profitable(), "TotalSalesDollars", "ProfitMargin")
-
-
 def _all_numbers(ws: Workspace) -> DataFrame:
     return long_form(ws.mart(), clean.numeric_columns(ws.mart()))
 
 
-def _unit_prices(ws: Workspace) -> DataFrame:
-    sized = vendors.order_sizes(ws.profitable().select("TotalPurchaseQuantity", "TotalPurchaseDollars"))
-    return sized.select(F.col("OrderSize").alias("column"), F.col("UnitPurchasePrice").alias("value")).dropna()
-
-
 def _describe(ws: Workspace) -> DataFrame:
     return _rounded(stats.describe(ws.mart()), 6, "mean", "std", "q25", "q50", "q75")
 
@@ -109,17 +100,12 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     # the job and its steps
     "refresh_mart": _refresh,
     "vendor_sales_summary": lambda ws: summary.by_purchase_dollars(
-        summary.vendor_sales_summary(
-            ws["purchases"], ws["purchase_prices"], ws["sales"], ws["vendor_invoice"]
-        )
+        summary_of(ws).withColumn("TotalSalesQuantity", F.col("TotalSalesQuantity").cast("double"))
     ),
     "clean_summary": lambda ws: clean.clean_summary(ws.summary()),
     "rejected_volumes": lambda ws: clean.rejected_volumes(ws.summary()),
     "vendor_features": lambda ws: features.vendor_features(ws.cleaned()),
-    "notebook_features": lambda ws: _rounded(
-        features.notebook_features(ws.summary()), 6,
-        "GrossProfit", "ProfitMargin", "StockTurnover", "SalestoPurchaseRatio",
-    ),
+    "notebook_features": lambda ws: features.notebook_features(ws.summary()),
     # totals
     "freight_summary": lambda ws: summary.freight_summary(ws["vendor_invoice"]),
     "purchase_price_join": lambda ws: _as_double(
@@ -191,18 +177,18 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "sales_quantiles": _quantiles,
     "correlation_matrix": lambda ws: _rounded(stats.correlation_matrix(ws.profitable()), 6, "r"),
     "histogram_margin": lambda ws: _histogram(_margins(ws)),
-    "histogram_margin_groups": lambda ws: _histogram(_margin_groups(ws)),
+    "histogram_margin_groups": lambda ws: _histogram(ws.margin_groups()),
     "histogram_all": lambda ws: _histogram(_all_numbers(ws)),
     "density_margin": lambda ws: _density(_margins(ws)),
-    "density_margin_groups": lambda ws: _density(_margin_groups(ws)),
+    "density_margin_groups": lambda ws: _density(ws.margin_groups()),
     "boxplot_stats": lambda ws: _boxplot(_all_numbers(ws)),
-    "boxplot_unit_price": lambda ws: _boxplot(_unit_prices(ws)),
-    "margin_ci_stats": lambda ws: _rounded(stats.group_moments(_margin_groups(ws)), 6, "mean", "std"),
+    "boxplot_unit_price": lambda ws: _boxplot(ws.unit_prices()),
+    "margin_ci_stats": lambda ws: _rounded(stats.group_moments(ws.margin_groups()), 6, "mean", "std"),
     "margin_ci": lambda ws: _rounded(
-        stats.confidence_intervals(_margin_groups(ws)), 6, "mean", "lower", "upper"
+        stats.confidence_intervals(ws.margin_groups()), 6, "mean", "lower", "upper"
     ),
-    "welch_stats": lambda ws: _rounded(stats.welch_statistic(_margin_groups(ws)), 6, "t", "df"),
-    "welch_ttest": lambda ws: _rounded(stats.welch_test(_margin_groups(ws)), 6, "t", "df", "p"),
+    "welch_stats": lambda ws: _rounded(stats.welch_statistic(ws.margin_groups()), 6, "t", "df"),
+    "welch_ttest": lambda ws: _rounded(stats.welch_test(ws.margin_groups()), 6, "t", "df", "p"),
 }
 
 

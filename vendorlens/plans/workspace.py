@@ -11,7 +11,8 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.vendors import brand_performance, profitable_rows
+from ..operators.stats import quartile_groups
+from ..operators.vendors import brand_performance, order_sizes, profitable_rows
 from ..sources.retail import raw_table
 from ..sources.schemas import RAW_SCHEMAS
 from ..sources.shared import stage
@@ -72,6 +73,21 @@ class Workspace(Mapping):
     def brands(self) -> DataFrame:
         return self._once("brands", lambda: brand_performance(self.profitable()))
 
+    def margin_groups(self) -> DataFrame:
+        """Margins of the best and the least selling quarter."""
+        return self._once(
+            "margin_groups", lambda: quartile_groups(self.profitable(), "TotalSalesDollars", "ProfitMargin")
+        )
+
+    def unit_prices(self) -> DataFrame:
+        """Unit purchase prices by order size."""
+        def build() -> DataFrame:
+            sized = order_sizes(self.profitable().select("TotalPurchaseQuantity", "TotalPurchaseDollars"))
+            pair = (F.col("OrderSize").alias("column"), F.col("UnitPurchasePrice").alias("value"))
+            return sized.select(*pair).dropna()
+
+        return self._once("unit_prices", build)
+
 
 def workspace(spark: SparkSession, directory: str) -> Workspace:
     key = (spark.sparkContext.applicationId, directory.rstrip("/"))
