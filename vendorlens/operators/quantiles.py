@@ -1,9 +1,10 @@
-"""Exact quantiles without gathering a column in one place.
+"""Exact quantiles, also of columns too long for one task.
 
-The built-in exact ``percentile`` keeps every distinct value of a group in one task.
-Here a bounded sketch brackets each wanted rank, the rows of each bracket are counted,
-and only the brackets that hold a wanted rank are sorted. The sketch decides how little
-is sorted, never the result: the counts are exact whatever cut points it gives.
+The built-in exact ``percentile`` keeps every distinct value of a group in one task, so
+it serves groups whose size has been counted and is small. Beyond that a bounded sketch
+brackets each wanted rank, the rows of each bracket are counted, and only the values
+inside the brackets are sorted. The sketch decides how little is sorted, never the
+result: the counts are exact whatever cut points it gives.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 ACCURACY = 10_000  # sketch ranks are within 1/ACCURACY of the rows
+GATHERED_ROWS = 1_000_000  # rows of a group that one task may hold
 
 
 def long_form(df: DataFrame, columns: Sequence[str], label: str = "column") -> DataFrame:
@@ -28,22 +30,45 @@ def _cut_points(probs: Sequence[float]) -> list[float]:
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: Sequence[float], by: str | None = None
+    df: DataFrame,
+    value: str,
+    probs: Sequence[float],
+    by: str | None = None,
+    gathered_rows: int = GATHERED_ROWS,
 ) -> DataFrame:
     """Quantiles with linear interpolation, as rows (``by``, p, quantile).
 
     ``by`` names a column with a small fixed set of values, such as measure names or
     size labels. NULL and NaN values are left out; a group without values gives no rows.
-    Three scans of one column; only the counts and the bracketed values are shuffled.
+    Counts the groups at once to choose the way; pass a staged table, not a long plan.
     """
     keys = [by] if by else []
     rows = df.select(*keys, F.col(value).cast("double").alias("v"))
     rows = rows.where(F.col("v").isNotNull() & ~F.isnan("v"))
+    largest = rows.groupBy(*keys).agg(F.count("v").alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest <= gathered_rows:
+        return _gathered_quantiles(rows, probs, keys)
+    return _bracketed_quantiles(rows, probs, keys)
+
+
+def _gathered_quantiles(rows: DataFrame, probs: Sequence[float], keys: list[str]) -> DataFrame:
+    """For groups known to be small: one aggregate."""
+    found = rows.groupBy(*keys).agg(F.percentile("v", list(probs)).alias("q"), F.count("v").alias("n"))
+    wanted = ", ".join(f"{float(p)!r}D" for p in probs)
+    pairs = F.expr(f"inline(arrays_zip(array({wanted}), q))").alias("p", "quantile")
+    return found.where("n > 0").select(*keys, pairs)
+
+
+def _bracketed_quantiles(rows: DataFrame, probs: Sequence[float], keys: list[str]) -> DataFrame:
+    """For groups of any size: three scans of one column, and no shuffle of the column.
+
+    Only counts and the values inside the brackets move.
+    """
 
     def attach(small: DataFrame, name: str) -> DataFrame:
         """``rows`` with a column of ``small``, which has one row per group."""
-        if by:
-            return rows.join(F.broadcast(small.select(by, name)), by)
+        if keys:
+            return rows.join(F.broadcast(small.select(*keys, name)), keys)
         return rows.withColumn(name, small.select(name).scalar())
 
     # 1. a sketch per group: as many numbers as there are cuts

@@ -497,6 +497,11 @@ def oracles() -> dict[str, str]:
             f"SELECT {p}::DOUBLE AS p, round(quantile_cont(TotalSalesDollars, {p}), 6) AS quantile FROM good"
             for p in (0.15, 0.25, 0.5, 0.75, 0.85)
         ),
+        "quartiles_bracketed": " UNION ALL ".join(
+            f"SELECT \"column\", {p}::DOUBLE AS p, round(quantile_cont(value, {p}), 6) AS quantile "
+            'FROM numbers GROUP BY "column"'
+            for p in (0.25, 0.5, 0.75)
+        ),
         "margin_ci_stats": 'SELECT "column", n, round(mean, 6) AS mean, round(std, 6) AS std FROM moments',
         "welch_stats": "SELECT round(t, 6) AS t, round(df, 6) AS df FROM welch",
     }

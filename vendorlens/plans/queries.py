@@ -96,6 +96,11 @@ def _quantiles(ws: Workspace) -> DataFrame:
     return _rounded(found, 6, "quantile")
 
 
+def _quartiles_bracketed(ws: Workspace) -> DataFrame:
+    """Quartiles of every mart number the way that serves columns of any length."""
+    return _rounded(exact_quantiles(_all_numbers(ws), "value", [0.25, 0.5, 0.75], "column", gathered_rows=0), 6, "quantile")
+
+
 _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     # the job and its steps
     "refresh_mart": _refresh,
@@ -175,6 +180,7 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "describe_mart": _describe,
     "mode_mart": lambda ws: stats.modes(ws.mart()),
     "sales_quantiles": _quantiles,
+    "quartiles_bracketed": _quartiles_bracketed,
     "correlation_matrix": lambda ws: _rounded(stats.correlation_matrix(ws.profitable()), 6, "r"),
     "histogram_margin": lambda ws: _histogram(_margins(ws)),
     "histogram_margin_groups": lambda ws: _histogram(ws.margin_groups()),
