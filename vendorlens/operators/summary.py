@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+SALTS = 16  # ways the rows of one vendor are spread in the freight join
 PURCHASE_KEYS = ["VendorNumber", "VendorName", "Brand", "Description", "PurchasePrice"]
 
 
@@ -64,6 +65,18 @@ def sales_summary(sales: DataFrame) -> DataFrame:
     )
 
 
+def _with_freight(rows: DataFrame, freight: DataFrame) -> DataFrame:
+    """Attach the vendor's freight, NULL where there is none.
+
+    One vendor may hold a large part of ``rows``: they are spread by Brand, and the one
+    freight row of each vendor is repeated for every part.
+    """
+    salt = F.pmod(F.hash("Brand"), F.lit(SALTS))
+    parts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    repeated = freight.withColumn("_salt", parts)
+    return rows.withColumn("_salt", salt).join(repeated, ["VendorNumber", "_salt"], "left").drop("_salt")
+
+
 def vendor_sales_summary(
     purchases: DataFrame, prices: DataFrame, sales: DataFrame, vendor_invoice: DataFrame
 ) -> DataFrame:
@@ -75,19 +88,12 @@ def vendor_sales_summary(
     """
     bought = purchase_summary(purchases, prices)
     sold = sales_summary(sales).withColumnsRenamed({"VendorNo": "_vendor", "Brand": "_brand"})
-    return (
-        bought.join(
-            sold,
-            (F.col("VendorNumber") == F.col("_vendor")) & (F.col("Brand") == F.col("_brand")),
-            "left",
-        )
-        .join(freight_summary(vendor_invoice), "VendorNumber", "left")
-        .select(
-            "VendorNumber", "VendorName", "Brand", F.col("Description").alias("BrandName"),
-            "PurchasePrice", "ActualPrice", "Volume",
-            "TotalPurchaseQuantity", "TotalPurchaseDollars", "TotalSalesQuantity",
-            "TotalSalesDollars", "TotalSalesPrice", "TotalExciseTax", "FreightCost",
-        )
+    same = (F.col("VendorNumber") == F.col("_vendor")) & (F.col("Brand") == F.col("_brand"))
+    return _with_freight(bought.join(sold, same, "left"), freight_summary(vendor_invoice)).select(
+        "VendorNumber", "VendorName", "Brand", F.col("Description").alias("BrandName"),
+        "PurchasePrice", "ActualPrice", "Volume",
+        "TotalPurchaseQuantity", "TotalPurchaseDollars", "TotalSalesQuantity",
+        "TotalSalesDollars", "TotalSalesPrice", "TotalExciseTax", "FreightCost",
     )
 
 

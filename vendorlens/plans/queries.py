@@ -12,6 +12,8 @@ from ..functions.text import dollars
 from ..operators import clean, dedupe, features, ids, profile, stats, summary, vendors
 from ..operators.quantiles import exact_quantiles, long_form
 from ..sources.schemas import RAW_SCHEMAS
+from ..sources.shared import application_dir
+from ..sources.tables import create_database
 from .refresh import refresh_tables, summary_of
 from .workspace import Workspace, workspace
 
@@ -32,6 +34,7 @@ def _as_double(df: DataFrame) -> DataFrame:
 def _refresh(ws: Workspace) -> DataFrame:
     """The job from duplicated raw tables to the saved mart."""
     database = "vendorlens_" + re.sub(r"\W", "_", ws.directory.strip("/"))
+    create_database(ws.spark, database, f"{application_dir(ws.spark)}/{database}.db")
     unique = {name: dedupe.drop_duplicate_rows(ws.redelivered(name)) for name in ws}
     return refresh_tables(ws.spark, unique, database)
 

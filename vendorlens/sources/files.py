@@ -17,7 +17,11 @@ MISSING = (
 )
 
 # Quotes inside a quoted field are doubled, as CSV writers do by default.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+# Blanks around a text belong to it; the writer would drop them otherwise.
+CSV_OPTIONS = {
+    "header": "true", "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def table_name_of(path: str) -> str:

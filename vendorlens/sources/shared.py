@@ -25,9 +25,14 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def application_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_dir(spark)}/vendorlens/{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/staged/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{application_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

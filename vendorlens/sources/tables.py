@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from .schemas import MART_SCHEMA, conform
 
 
-def create_database(spark: SparkSession, name: str) -> None:
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create a database if absent; ``location`` is a folder all executors share."""
     if not name:
         raise ValueError("database name is empty")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{place}")
 
 
 def create_table(spark: SparkSession, name: str, ddl: str = MART_SCHEMA) -> None:
