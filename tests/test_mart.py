@@ -159,6 +159,16 @@ def test_keep_first_by_order(spark):
     assert "WindowGroupLimit" in first._jdf.queryExecution().executedPlan().toString()
 
 
+def test_mart_key_check_reports_repeated_sales(spark):
+    found = summary.vendor_sales_summary(
+        table(spark, "purchases", purchase(price="2.00"), purchase(price="2.50"), purchase(brand=2)),
+        table(spark, "purchase_prices", listed(), listed(brand=2)),
+        table(spark, "sales", sale()), table(spark, "vendor_invoice", invoice()),
+    )
+    violations = dedupe.key_violations(found, ["VendorNumber", "Brand"]).collect()
+    assert [tuple(r) for r in violations] == [(1, 1, 2)]
+
+
 def test_key_violations(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, 2)], "v int, b int")
     assert [tuple(r) for r in dedupe.key_violations(df, ["v", "b"]).collect()] == [(1, 1, 2)]

@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from vendorlens.operators import ids, profile
+from vendorlens.operators import ids, profile, summary
 from vendorlens.operators.dedupe import drop_duplicate_rows
 from vendorlens.plans.refresh import cleaned_of, mart_of, refresh
 from vendorlens.sources import files, jdbc, tables
@@ -104,6 +104,13 @@ def test_tables(spark):
         tables.create_database(spark, "")
 
 
+def test_sql_over_named_tables(spark, raw):
+    tables.register_views(raw)
+    found = spark.sql("SELECT VendorNumber, sum(Freight) AS f FROM vendor_invoice GROUP BY VendorNumber")
+    assert same(found.select("VendorNumber", F.col("f").cast("double").alias("FreightCost")),
+                summary.freight_summary(raw["vendor_invoice"]))
+
+
 def test_typed_append(spark):
     tables.create_database(spark, "typed_test")
     df = spark.createDataFrame([("7", 1)], "k string, extra int")

@@ -173,6 +173,7 @@ _ANALYSIS = {
         SELECT 'low', ProfitMargin FROM good, quarter WHERE TotalSalesDollars <= q25""",
     "margins": "SELECT 'ProfitMargin' AS \"column\", ProfitMargin AS value FROM good",
     "numbers": _long("mart", _NUMBERS),
+    "good_numbers": _long("good", _NUMBERS),
     "unit_prices": 'SELECT OrderSize AS "column", UnitPurchasePrice AS value FROM sized WHERE UnitPurchasePrice IS NOT NULL',
     "moments": """
         SELECT "column", count(*) AS n, sum(value::DECIMAL(18,2))::DOUBLE / count(*) AS mean,
@@ -285,10 +286,11 @@ def _density(source: str) -> str:
     return _with(
         """
         SELECT curve."column", point, round(x, 6) AS x,
-               round(sum(exp(-0.5 * ((x - value) / h) ** 2)) / (h * sqrt(2 * pi())) * step, 6) AS density
+               round(sum(copies * exp(-0.5 * ((x - value) / h) ** 2)) / (h * sqrt(2 * pi())) * step, 6) AS density
         FROM curve JOIN points v ON v."column" = curve."column"
         GROUP BY curve."column", point, x, step, h""",
-        points=f"SELECT * FROM {source}", extent=_EXTENT.format(source=source), curve=_CURVE,
+        points=f'SELECT "column", value, count(*) AS copies FROM {source} GROUP BY "column", value',
+        extent=_EXTENT.format(source=source), curve=_CURVE,
     )
 
 
@@ -519,6 +521,8 @@ def oracles() -> dict[str, str]:
         "histogram_margin": _histogram("margins"),
         "histogram_margin_groups": _histogram("groups"),
         "histogram_all": _histogram("numbers"),
+        "histogram_profitable": _histogram("good_numbers"),
+        "density_all": _density("numbers"),
         "density_margin": _density("margins"),
         "density_margin_groups": _density("groups"),
         "boxplot_stats": _boxplot("numbers"),

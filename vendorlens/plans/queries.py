@@ -188,6 +188,10 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "histogram_margin": lambda ws: _histogram(_margins(ws)),
     "histogram_margin_groups": lambda ws: _histogram(ws.margin_groups()),
     "histogram_all": lambda ws: _histogram(_all_numbers(ws)),
+    "histogram_profitable": lambda ws: _histogram(
+        long_form(ws.profitable(), clean.numeric_columns(ws.profitable()))
+    ),
+    "density_all": lambda ws: _density(_all_numbers(ws)),
     "density_margin": lambda ws: _density(_margins(ws)),
     "density_margin_groups": lambda ws: _density(ws.margin_groups()),
     "boxplot_stats": lambda ws: _boxplot(_all_numbers(ws)),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from .schemas import MART_SCHEMA, conform
@@ -59,5 +61,11 @@ def load_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def register_views(tables: Mapping[str, DataFrame]) -> None:
+    """Name frames for SQL, so that a query text runs with ``spark.sql``."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
 def list_tables(spark: SparkSession, database: str) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables(database))
