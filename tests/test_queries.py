@@ -6,6 +6,10 @@ import pytest
 
 import __spark_entry__ as registry
 
+from vendorlens.operators import quantiles
+from vendorlens.plans.queries import _QUERIES
+from vendorlens.plans.workspace import Workspace
+
 from .compare import difference, sql_connection
 
 SMALL = "/root/testdata/sf0.001"
@@ -28,5 +32,23 @@ def test_query_matches_sql(spark, con, name):
     assert difference(found, con.sql(SQL[name]).df()) is None
 
 
+RANKED = [
+    "target_brands", "brand_scatter_points", "order_size_unit_price", "describe_mart", "sales_quantiles",
+    "boxplot_stats", "boxplot_unit_price", "margin_ci_stats", "welch_ttest",
+]
+
+
+@pytest.fixture(scope="module")
+def fresh(spark):
+    return Workspace(spark, SMALL)
+
+
+@pytest.mark.parametrize("name", RANKED)
+def test_ranked_queries_match_sql_without_gathering(fresh, con, monkeypatch, name):
+    monkeypatch.setattr(quantiles, "GATHERED_ROWS", 0)
+    found = _QUERIES[name](fresh).toPandas()
+    assert difference(found, con.sql(SQL[name]).df()) is None
+
+
 def test_entry(spark):
     assert registry.entry(spark).count() == 1713

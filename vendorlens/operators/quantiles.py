@@ -34,19 +34,20 @@ def exact_quantiles(
     value: str,
     probs: Sequence[float],
     by: str | None = None,
-    gathered_rows: int = GATHERED_ROWS,
+    gathered_rows: int | None = None,
 ) -> DataFrame:
     """Quantiles with linear interpolation, as rows (``by``, p, quantile).
 
     ``by`` names a column with a small fixed set of values, such as measure names or
     size labels. NULL and NaN values are left out; a group without values gives no rows.
-    Counts the groups at once to choose the way; pass a staged table, not a long plan.
+    Counts the groups at once to choose the way (up to ``gathered_rows``, by default
+    ``GATHERED_ROWS``, in one task); pass a staged table, not a long plan.
     """
     keys = [by] if by else []
     rows = df.select(*keys, F.col(value).cast("double").alias("v"))
     rows = rows.where(F.col("v").isNotNull() & ~F.isnan("v"))
     largest = rows.groupBy(*keys).agg(F.count("v").alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest <= gathered_rows:
+    if largest <= (GATHERED_ROWS if gathered_rows is None else gathered_rows):
         return _gathered_quantiles(rows, probs, keys)
     return _bracketed_quantiles(rows, probs, keys)
 

@@ -72,23 +72,23 @@ _TWICE = {
 
 _SUMMARY = {
     "freight": "SELECT VendorNumber, sum(Freight)::DOUBLE AS FreightCost FROM vendor_invoice GROUP BY VendorNumber",
+    "priced": """
+        SELECT * FROM purchases JOIN (SELECT Brand, Price AS ActualPrice, Volume FROM purchase_prices) USING (Brand)
+        WHERE PurchasePrice > 0""",
     "bought": """
-        SELECT p.VendorNumber, p.VendorName, p.Brand, p.Description, p.PurchasePrice::DOUBLE AS PurchasePrice,
-               pp.Price::DOUBLE AS ActualPrice, pp.Volume, sum(p.Quantity)::BIGINT AS TotalPurchaseQuantity,
-               sum(p.Dollars)::DOUBLE AS TotalPurchaseDollars
-        FROM purchases p JOIN purchase_prices pp ON p.Brand = pp.Brand WHERE p.PurchasePrice > 0
-        GROUP BY p.VendorNumber, p.VendorName, p.Brand, p.Description, p.PurchasePrice, pp.Price, pp.Volume""",
+        SELECT VendorNumber, VendorName, Brand, Description, PurchasePrice::DOUBLE AS PurchasePrice,
+               ActualPrice::DOUBLE AS ActualPrice, Volume, sum(Quantity)::BIGINT AS TotalPurchaseQuantity,
+               sum(Dollars)::DOUBLE AS TotalPurchaseDollars
+        FROM priced GROUP BY ALL""",
     "sold": """
         SELECT VendorNo, Brand, sum(SalesQuantity)::BIGINT AS TotalSalesQuantity,
                sum(SalesDollars)::DOUBLE AS TotalSalesDollars, sum(SalesPrice)::DOUBLE AS TotalSalesPrice,
                sum(ExciseTax)::DOUBLE AS TotalExciseTax
-        FROM sales GROUP BY VendorNo, Brand""",
+        FROM sales GROUP BY ALL""",
     "summary": """
-        SELECT b.VendorNumber, VendorName, b.Brand, Description AS BrandName, PurchasePrice, ActualPrice, Volume,
-               TotalPurchaseQuantity, TotalPurchaseDollars, TotalSalesQuantity, TotalSalesDollars, TotalSalesPrice,
-               TotalExciseTax, FreightCost
-        FROM bought b LEFT JOIN sold s ON b.VendorNumber = s.VendorNo AND b.Brand = s.Brand
-        LEFT JOIN freight f ON b.VendorNumber = f.VendorNumber""",
+        SELECT * RENAME (Description AS BrandName)
+        FROM bought LEFT JOIN (SELECT * RENAME (VendorNo AS VendorNumber) FROM sold) USING (VendorNumber, Brand)
+        LEFT JOIN freight USING (VendorNumber)""",
     "clean": r"""
         SELECT VendorNumber, regexp_replace(VendorName, '^\s+|\s+$', '', 'g') AS VendorName, Brand,
                regexp_replace(BrandName, '^\s+|\s+$', '', 'g') AS BrandName, PurchasePrice, ActualPrice,
@@ -399,9 +399,9 @@ def oracles() -> dict[str, str]:
             ON VendorNumber = vn AND Brand = br""",
         "freight_summary": "SELECT * FROM freight",
         "purchase_price_join": """
-            SELECT p.VendorNumber, p.Brand, PONumber, p.PurchasePrice::DOUBLE AS PurchasePrice, Quantity,
-                   Dollars::DOUBLE AS Dollars, Price::DOUBLE AS ActualPrice, Volume
-            FROM purchases p JOIN purchase_prices pp ON p.Brand = pp.Brand WHERE p.PurchasePrice > 0""",
+            SELECT VendorNumber, Brand, PONumber, PurchasePrice::DOUBLE AS PurchasePrice, Quantity,
+                   Dollars::DOUBLE AS Dollars, ActualPrice::DOUBLE AS ActualPrice, Volume
+            FROM priced""",
         "purchase_summary": "SELECT * FROM bought ORDER BY TotalPurchaseDollars",
         "sales_summary": "SELECT * FROM sold",
         "purchases_by_brand_price": """
