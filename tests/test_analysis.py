@@ -190,5 +190,18 @@ def test_unsold_capital_may_be_negative(spark):
 
 
 def test_long_form_drops_missing(spark):
-    df = spark.createDataFrame([(1, None), (2, 3.0)], "a int, b double")
+    df = spark.createDataFrame([(1, None), (2, 3.0), (None, math.nan)], "a int, b double")
     assert sorted(map(tuple, long_form(df, ["a", "b"]).collect())) == [("a", 1.0), ("a", 2.0), ("b", 3.0)]
+
+
+def test_means_of_unrounded_values(spark):
+    values = np.random.default_rng(4).normal(30, 7, 500)
+    groups = values_frame(spark, values, "top")
+    row = stats.group_moments(groups).first()
+    assert row.mean == pytest.approx(values.mean(), abs=1e-11)
+
+
+def test_correlation_skips_nan(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.5), (3.0, math.nan), (4.0, 8.0)], "a double, b double")
+    found = {(r.a, r.b): r.r for r in stats.correlation_matrix(df).collect()}
+    assert found["a", "b"] == pytest.approx(np.corrcoef([1, 2, 4], [2, 4.5, 8])[0, 1])

@@ -75,6 +75,10 @@ def test_landing_inference_and_names(spark, tmp_path):
     path.write_text("a,b\n1,x\n")
     assert files.read_landing(spark, str(path)).dtypes == [("a", "string"), ("b", "string")]
     assert files.read_table_file(spark, str(path)).dtypes == [("a", "int"), ("b", "string")]
+    (tmp_path / "deeper").mkdir()
+    (tmp_path / "deeper" / "hidden.csv").write_text("a\n1\n")
+    (tmp_path / "notes.txt").write_text("text")
+    assert [files.table_name_of(f) for f in files.csv_files(spark, str(tmp_path))] == ["other"]
     assert files.table_name_of("/x/vendor_invoice.csv") == "vendor_invoice"
     found = files.read_landing(spark, str(path)).select(files.table_name_column(F.input_file_name())).first()[0]
     assert found == "other"

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-CENTS = "decimal(18,2)"
+# Amounts are added as decimals, so a sum does not depend on the order of its rows.
+AMOUNT = "decimal(28,12)"
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
@@ -26,10 +27,10 @@ def round_cents(column: Column) -> Column:
 
 
 def exact_sum(column: Column) -> Column:
-    """Sum of an amount with two decimals, taken in decimal; 0 when there is nothing to add."""
-    return F.coalesce(F.sum(column.cast(CENTS)).cast("double"), F.lit(0.0))
+    """Sum of values taken to twelve decimals; 0 when there is nothing to add."""
+    return F.coalesce(F.sum(column.cast(AMOUNT)).cast("double"), F.lit(0.0))
 
 
 def exact_mean(column: Column) -> Column:
-    """Mean of an amount with two decimals; NULL when there is none."""
-    return F.sum(column.cast(CENTS)).cast("double") / F.nullif(F.count(column), F.lit(0))
+    """Mean of values taken to twelve decimals; NULL when there is none."""
+    return F.sum(column.cast(AMOUNT)).cast("double") / F.nullif(F.count(column), F.lit(0))

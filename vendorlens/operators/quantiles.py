@@ -18,9 +18,9 @@ GATHERED_ROWS = 1_000_000  # rows of a group that one task may hold
 
 
 def long_form(df: DataFrame, columns: Sequence[str], label: str = "column") -> DataFrame:
-    """One (column, value) row for each non-NULL number in ``columns``."""
+    """One (column, value) row for each number in ``columns``, without NULL and NaN."""
     doubles = df.select([F.col(c).cast("double").alias(c) for c in columns])
-    return doubles.unpivot([], list(columns), label, "value").dropna(subset=["value"])
+    return doubles.unpivot([], list(columns), label, "value").dropna(subset=["value"])  # drops NaN too
 
 
 def _cut_points(probs: Sequence[float]) -> list[float]:

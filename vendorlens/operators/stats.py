@@ -85,7 +85,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     row per pair.
     """
     names = list(columns or numeric_columns(df))
-    doubles = df.select([F.col(c).cast("double").alias(c) for c in names])
+    numbers = {c: F.col(c).cast("double") for c in names}
+    doubles = df.select([F.when(~F.isnan(x), x).alias(c) for c, x in numbers.items()])
     means = doubles.agg(F.struct(*[F.avg(c).alias(c) for c in names])).scalar()
     shifted = doubles.withColumn("_means", means).select(
         [(F.col(c) - F.col("_means")[c]).alias(c) for c in names]
@@ -213,7 +214,7 @@ def quartile_groups(df: DataFrame, rank_by: str, value: str) -> DataFrame:
 
 
 def group_moments(groups: DataFrame) -> DataFrame:
-    """Size, mean and sample deviation per group of a two-decimal measure."""
+    """Size, mean and sample deviation of the values of each group."""
     return groups.groupBy("column").agg(
         F.count("value").alias("n"), exact_mean(F.col("value")).alias("mean"),
         F.stddev_samp("value").alias("std"),

@@ -68,11 +68,10 @@ def read_table_file(spark: SparkSession, path: str) -> DataFrame:
     return typed(read_landing(spark, path), ddl)
 
 
-def csv_files(directory: str) -> list[str]:
-    """The ``*.csv`` entries of a folder, by name."""
-    return sorted(
-        os.path.join(directory, f) for f in os.listdir(directory) if f.endswith(".csv")
-    )
+def csv_files(spark: SparkSession, directory: str) -> list[str]:
+    """The ``*.csv`` files of a folder on any file system Spark reads, by name."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(directory)
+    return sorted(row.path for row in listing.select("path").collect())  # one row per table
 
 
 def ingest_directory(
@@ -87,7 +86,7 @@ def ingest_directory(
     ``overwrite`` makes a second run give the same tables; ``append`` adds to them.
     """
     names = []
-    for path in csv_files(directory):
+    for path in csv_files(spark, directory):
         name = table_name_of(path)
         rows = read_table_file(spark, path)
         save_table(prepare(rows), f"{database}.{name}", mode, guard=rows)
