@@ -55,6 +55,8 @@ def stream_into_state(spark: SparkSession, source: str, folder: str, batch_bytes
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # a store takes 4 MB of disk however small it is: keep open only those of running tasks
+        "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
