@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+        "op2_toxicity": toxicity.op2_toxicity,
     }
 
 
