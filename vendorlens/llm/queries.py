@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, ngram_join, toxicity
+from . import decontamination, exact_dedup, ngram_join, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
         "op2_toxicity": toxicity.op2_toxicity,
+        "op3_decontamination": decontamination.op3_decontamination,
         "op7_ngram_join": ngram_join.op7_ngram_join,
     }
 
