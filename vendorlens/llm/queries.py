@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, mixing, ngram_join, toxicity
+from . import decontamination, exact_dedup, hmm, mixing, ngram_join, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_toxicity": toxicity.op2_toxicity,
         "op3_decontamination": decontamination.op3_decontamination,
         "op4_mixing": mixing.op4_mixing,
+        "op5_hmm": hmm.op5_hmm,
         "op7_ngram_join": ngram_join.op7_ngram_join,
     }
 
