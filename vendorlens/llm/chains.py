@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
 #: Tokens that are laid out at once; a longer sequence is laid out alone.
 BATCH_TOKENS = 1 << 21
@@ -46,3 +48,22 @@ def batches(lengths: list[int], most: int = BATCH_TOKENS) -> Iterator[tuple[int,
         tokens += n
     if first < len(lengths):
         yield first, len(lengths)
+
+
+def added_pieces(parts: DataFrame) -> dict[int, np.ndarray]:
+    """Sums of arrays by piece: ``parts`` has ``piece`` and ``counts`` (float64 bytes).
+
+    Pieces of one place meet in one partition, which holds their sum only; the sums, a model's size, are returned.
+    """
+
+    def add(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in rows:
+            for piece, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                part = np.frombuffer(counts.as_buffer(), dtype=np.float64)
+                sums[piece] = sums[piece] + part if piece in sums else part.copy()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int64()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["piece", "counts"])
+
+    rows = parts.select("piece", "counts").repartition("piece").mapInArrow(add, "piece bigint, counts binary").collect()
+    return {r["piece"]: np.frombuffer(bytes(r["counts"]), np.float64) for r in rows}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, hmm, mixing, ngram_join, toxicity
+from . import decontamination, exact_dedup, hmm, language_id, mixing, ngram_join, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontamination": decontamination.op3_decontamination,
         "op4_mixing": mixing.op4_mixing,
         "op5_hmm": hmm.op5_hmm,
+        "op6_language_id": language_id.op6_language_id,
         "op7_ngram_join": ngram_join.op7_ngram_join,
     }
 
