@@ -53,21 +53,27 @@ def words_in(token: str) -> list[str]:
 class Lattice:
     """All pieces at all places of some words."""
 
-    def __init__(self, words: list[str], pieces: dict[str, int], longest: int):
-        word, start, end, piece = [], [], [], []
-        get, other = pieces.get, len(pieces)
-        for k, bare in enumerate(words):
-            w = START + bare
+    def __init__(self, words: list[str], pieces: dict[str, int], other: int):
+        """``pieces`` also has the beginnings of pieces, as -1, so that a search ends early."""
+        starts, ends, piece, per_word = [], [], [], []
+        get = pieces.get
+        for bare in words:
+            w, before = START + bare, len(piece)
             n = len(w)
             for i in range(n):
-                covered = False
-                for j in range(i + 1, min(n, i + longest) + 1):
+                j = i + 1
+                p = get(w[i:j])
+                if p is None or p < 0:  # no piece covers the letter alone
+                    starts.append(i), ends.append(j), piece.append(other)
+                while p is not None:
+                    if p >= 0:
+                        starts.append(i), ends.append(j), piece.append(p)
+                    j += 1
+                    if j > n:
+                        break
                     p = get(w[i:j])
-                    if p is not None:
-                        covered = covered or j == i + 1
-                        word.append(k), start.append(i), end.append(j), piece.append(p)
-                if not covered:
-                    word.append(k), start.append(i), end.append(i + 1), piece.append(other)
+            per_word.append(len(piece) - before)
+        word, start, end = np.repeat(np.arange(len(words)), per_word), starts, ends
         self.words, self.lengths = len(words), np.array([len(w) + 1 for w in words], dtype=np.int64)
         self.width = int(self.lengths.max(initial=0)) + 1
         order = np.argsort(np.array(end, dtype=np.int64), kind="stable")
@@ -126,12 +132,12 @@ class Model:
     """Piece probabilities [piece, language]; the last piece is any other letter."""
 
     def __init__(self, pieces: list[str], languages: list[str], chances: np.ndarray):
-        self.pieces, self.languages, self.chances = {p: i for i, p in enumerate(pieces)}, languages, chances
-        self.longest = max(map(len, pieces), default=1)
+        self.pieces = {p[:n]: -1 for p in pieces for n in range(1, len(p))} | {p: i for i, p in enumerate(pieces)}
+        self.languages, self.chances, self.other = languages, chances, len(pieces)
 
     def logs(self, words: list[str]) -> np.ndarray:
         """[word, language]: log probabilities, summed over segmentations."""
-        lattice = Lattice(words, self.pieces, self.longest)
+        lattice = Lattice(words, self.pieces, self.other)
         return np.column_stack([
             np.log(lattice.totals(lattice.forward(self.chances[lattice.piece, k]))) for k in range(len(self.languages))
         ])
@@ -155,7 +161,7 @@ def learn(docs: DataFrame, train: Column, lang: str, text: str, path: str = PIEC
             sums = np.zeros((len(m.languages), len(m.chances)))
             for batch in batches_in:
                 if batch.num_rows:
-                    lattice = Lattice(batch.column(1).to_pylist(), m.pieces, m.longest)
+                    lattice = Lattice(batch.column(1).to_pylist(), m.pieces, m.other)
                     of = np.array([number[x] for x in batch.column(0).to_pylist()])[lattice.word]
                     times = batch.column(2).to_numpy()[lattice.word]
                     share = lattice.expected(m.chances[lattice.piece, of]) * times
