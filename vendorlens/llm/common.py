@@ -68,26 +68,25 @@ def located(df: DataFrame) -> DataFrame:
     )
 
 
-def _place(bits: int) -> Column:
-    return F.pmod(F.xxhash64(*LOCATOR), F.lit(bits))
+def rows_in(
+    rows: DataFrame, keys: DataFrame, columns: tuple[str, ...] = LOCATOR, bits: int = FILTER_BITS
+) -> tuple[DataFrame, DataFrame]:
+    """Split ``rows`` into those certainly not among ``keys`` (by ``columns``) and those perhaps among them.
 
-
-def rows_in(rows: DataFrame, keys: DataFrame, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
-    """Split located ``rows`` into those certainly not among ``keys`` and those perhaps among them.
-
-    ``keys`` (locators) are hashed into a bitmap of fixed size; only that goes to every task.
+    ``keys`` are hashed into a bitmap of fixed size; only that goes to every task.
     Rows whose bit is unset need no shuffle. The others are few unless the bitmap is crowded,
     which costs time and no row.
     """
+    place = F.pmod(F.xxhash64(*columns), F.lit(bits))
     bitmap = (
-        keys.select(_place(bits).alias("_p"))
+        keys.select(place.alias("_p"))
         .groupBy(F.bitmap_bucket_number("_p").alias("_bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_p")).alias("_bitmap"))
     )
     bitmap = staged(bitmap, "bitmap")
     at = F.bitmap_bit_position(F.col("_p"))
     byte = F.conv(F.hex(F.substring("_bitmap", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    marked = rows.withColumn("_p", _place(bits)).withColumn("_bucket", F.bitmap_bucket_number("_p")).join(
+    marked = rows.withColumn("_p", place).withColumn("_bucket", F.bitmap_bucket_number("_p")).join(
         F.broadcast(bitmap), "_bucket", "left"
     ).withColumn("_set", F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False)))
     marked = marked.drop("_p", "_bucket", "_bitmap")

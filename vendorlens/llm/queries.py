@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, hmm, language_id, mixing, ngram_join, toxicity
+from . import decontamination, exact_dedup, hmm, language_id, mixing, ngram_join, suffix_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_hmm": hmm.op5_hmm,
         "op6_language_id": language_id.op6_language_id,
         "op7_ngram_join": ngram_join.op7_ngram_join,
+        "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     }
 
 
