@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, hmm, language_id, mixing, ngram_join, suffix_dedup, toxicity
+from . import decontamination, exact_dedup, hmm, language_id, mixing, ngram_join, suffix_dedup, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,10 +19,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_language_id": language_id.op6_language_id,
         "op7_ngram_join": ngram_join.op7_ngram_join,
         "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
+        "op10_url_filter": url_filter.op10_url_filter,
     }
 
 
 def oracles() -> dict[str, str]:
     return {
         "op1_exact_dedup": exact_dedup.ORACLE,
+        "op10_url_filter": url_filter.ORACLE,
     }
