@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, hmm, language_id, mixing, ngram_join, suffix_dedup, toxicity, url_filter
+from . import decontamination, exact_dedup, hmm, language_id, mixing, ngram_join, suffix_dedup, toxicity, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_language_id": language_id.op6_language_id,
         "op7_ngram_join": ngram_join.op7_ngram_join,
         "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
+        "op9_warc": warc.op9_warc,
         "op10_url_filter": url_filter.op10_url_filter,
     }
 
@@ -26,5 +27,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracles() -> dict[str, str]:
     return {
         "op1_exact_dedup": exact_dedup.ORACLE,
+        "op9_warc": warc.ORACLE,
         "op10_url_filter": url_filter.ORACLE,
     }
