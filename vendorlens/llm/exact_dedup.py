@@ -86,6 +86,7 @@ def exact_groups(
     digest: Callable[[Column], Column] = sha256, batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """Per row: locator, id, SHA-256, and locator, id and size of the group's row that stays."""
+    docs = plain_scan(docs)  # both scans below see the same places
     spark = docs.sparkSession
     source = work_dir(spark, "dedup-records")
     records(docs, key, text, digest).write.parquet(source)

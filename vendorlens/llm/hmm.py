@@ -74,16 +74,16 @@ class Vocabulary:
     texts: int
     class_tokens: np.ndarray
     class_types: np.ndarray
+    head: int  # words that are symbols
 
     @property
     def symbols(self) -> int:
         """Head words, then classes, then the end."""
-        return min(HEAD, len(self.words)) + CLASSES + 1
+        return self.head + CLASSES + 1
 
     def unigram(self) -> np.ndarray:
         """Smoothed probabilities of symbols."""
-        head = min(HEAD, len(self.words))
-        counts = np.concatenate([self.counts[:head], self.class_tokens, [self.texts]]) + 1.0
+        counts = np.concatenate([self.counts[: self.head], self.class_tokens, [self.texts]]) + 1.0
         return counts / counts.sum()
 
 
@@ -106,7 +106,7 @@ def vocabulary(docs: DataFrame, train: Column, key: str, text: str) -> tuple[Voc
         class_tokens[row["kind"]], class_types[row["kind"]] = row["n"], row["v"]
     return Vocabulary(
         [bytes(r["word"]) for r in top], np.array([r["c"] for r in top], dtype=np.int64),
-        (tokens or 0) + texts, types + (texts > 0), texts, class_tokens, class_types), counts
+        (tokens or 0) + texts, types + (texts > 0), texts, class_tokens, class_types, min(HEAD, len(top))), counts
 
 
 def encode(docs: DataFrame, train: Column, key: str, text: str, known: Vocabulary) -> DataFrame:
@@ -115,7 +115,7 @@ def encode(docs: DataFrame, train: Column, key: str, text: str, known: Vocabular
 
     def task(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
-        head = min(HEAD, len(v.words))
+        head = v.head
         place = {w: i for i, w in enumerate(v.words)}
         base_log = np.log10(v.counts + 1.0)
         class_log = np.log10(v.class_tokens + v.class_types + 1.0)
