@@ -7,13 +7,14 @@ import pytest
 import __spark_entry__ as registry
 
 from vendorlens.operators import quantiles
-from vendorlens.plans.queries import _QUERIES
+from vendorlens.plans.oracles import oracles
+from vendorlens.plans.queries import _QUERIES, queries as registered
 from vendorlens.plans.workspace import Workspace
 
 from .compare import difference, sql_connection
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES, SQL = registry.queries(), registry.oracle_sql()
+QUERIES, SQL = registered(), oracles()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,7 @@ def con():
 
 def test_every_query_has_its_sql():
     assert sorted(QUERIES) == sorted(SQL)
+    assert set(QUERIES) <= set(registry.queries()) and set(SQL) <= set(registry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
