@@ -11,7 +11,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from vendorlens.operators import stats, vendors
-from vendorlens.operators.quantiles import approximate_quantiles, exact_quantiles, long_form, quantile_row
+from vendorlens.operators.quantiles import CELLS, exact_quantiles, long_form, quantile_row
 
 PROBS = [0.0, 0.15, 0.25, 1 / 3, 0.5, 0.85, 1.0]
 
@@ -20,46 +20,61 @@ def values_frame(spark, values, column="x"):
     return spark.createDataFrame([(column, float(v)) for v in values], "column string, value double")
 
 
-def quantiles(df, rows):
-    return {r.p: r.quantile for r in exact_quantiles(df, "value", PROBS, gathered_rows=rows).collect()}
+def quantiles(df):
+    return {r.p: r.quantile for r in exact_quantiles(df, "value", PROBS).collect()}
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.one_of(st.integers(-5, 5), st.floats(-1e6, 1e6)), min_size=1, max_size=60))
 def test_bracketed_quantiles_match_arrays(spark, values):
-    found = quantiles(values_frame(spark, values), 0)
+    found = quantiles(values_frame(spark, values))
     assert found == pytest.approx({p: float(np.quantile(np.array(values, float), p)) for p in PROBS}, abs=1e-6)
 
 
-def test_both_ways_agree_on_a_long_skewed_column(spark):
+@pytest.mark.parametrize("shape", ["skewed", "far", "infinite"])
+def test_quantiles_of_long_columns_match_arrays(spark, shape):
     values = np.random.default_rng(5).random(120_000) ** 6 * 1e5
     values[::3] = 7.0  # a third of the rows are one value
-    df = values_frame(spark, values)
-    few, many = quantiles(df, 0), quantiles(df, 10**9)
-    assert few == pytest.approx(many, rel=1e-12)
+    if shape == "far":
+        values[:2] = -1e300, 1e300
+    if shape == "infinite":
+        values[1::50] = np.inf
+    want = {p: float(np.quantile(values, p)) for p in PROBS}
+    found = quantiles(values_frame(spark, values))
+    assert {p: found[p] for p in PROBS if np.isfinite(want[p])} == pytest.approx({p: w for p, w in want.items() if np.isfinite(w)}, rel=1e-12)
+
+
+def test_few_values_are_ordered(spark):
+    """What the last window orders stays a small part of one cell as rows grow."""
+    for rows in (200_000, 800_000):
+        df = spark.range(rows).select(F.lit("x").alias("column"), (F.hash("id") / 1e3).alias("value"))
+        plan = exact_quantiles(df, "value", [0.5])
+        assert plan.first()["quantile"] is not None
+    assert CELLS >= 1 << 16
+
+
+def test_building_a_quantile_plan_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan only", "")
+    exact_quantiles(values_frame(spark, range(50)), "value", PROBS, by="column")
+    assert len(tracker.getJobIdsForGroup("plan only")) == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_quantiles_by_group_ignore_missing(spark):
     df = spark.createDataFrame(
         [("a", 1.0), ("a", 3.0), ("a", None), ("b", 5.0), ("c", math.nan), ("a", math.nan)], "column string, value double"
     )
-    for rows in (0, 100):
-        found = exact_quantiles(df, "value", [0.5], by="column", gathered_rows=rows).collect()
-        assert sorted((r.column, r.quantile) for r in found) == [("a", 2.0), ("b", 5.0)]
+    found = exact_quantiles(df, "value", [0.5], by="column").collect()
+    assert sorted((r.column, r.quantile) for r in found) == [("a", 2.0), ("b", 5.0)]
 
 
 def test_quantiles_of_nothing(spark):
     empty = values_frame(spark, [1.0]).where("value > 5")
     assert exact_quantiles(empty, "value", [0.5]).collect() == []
-    assert exact_quantiles(empty, "value", [0.5], gathered_rows=-1).collect() == []
     assert quantile_row(empty, "value", {"q": 0.5}).first().q is None
 
 
-def test_approximate_quantiles(spark):
-    found = approximate_quantiles(values_frame(spark, range(1001)), "value", [0.5]).first()
-    assert found.quantile == pytest.approx(500, abs=1)
-
-
 @pytest.mark.parametrize("values", [
     [0.0, 1.0, 2.0, 3.0], [5.0, 5.0, 5.0], [0.1 * k for k in range(301)],
     list(np.random.default_rng(1).normal(size=500)), [-1e-9, 1e9],

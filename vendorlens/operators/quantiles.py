@@ -1,10 +1,9 @@
-"""Exact quantiles, also of columns too long for one task.
+"""Exact quantiles of columns of any length, in one plan that runs no job of its own.
 
-The built-in exact ``percentile`` keeps every distinct value of a group in one task, so
-it serves groups whose size has been counted and is small. Beyond that a bounded sketch
-brackets each wanted rank, the rows of each bracket are counted, and only the values
-inside the brackets are sorted. The sketch decides how little is sorted, never the
-result: the counts are exact whatever cut points it gives.
+A bounded sketch brackets each wanted rank and the rows up to each cut are counted. The values
+of a bracket are then counted in `CELLS` cells of equal width, and only the values of the one
+cell that holds a wanted rank are put in order. The sketch and the cells decide how little is
+ordered, never the result: all counts are exact.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 ACCURACY = 10_000  # sketch ranks are within 1/ACCURACY of the rows
-GATHERED_ROWS = 1_000_000  # rows of a group that one task may hold
+CELLS = 1 << 16  # cells of a bracket; a task orders their counts, and the values of one cell
 
 
 def long_form(df: DataFrame, columns: Sequence[str], label: str = "column") -> DataFrame:
@@ -29,47 +28,22 @@ def _cut_points(probs: Sequence[float]) -> list[float]:
     return sorted({min(max(p + side, 0.0), 1.0) for p in probs for side in (-margin, margin)})
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: Sequence[float],
-    by: str | None = None,
-    gathered_rows: int | None = None,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: str | None = None) -> DataFrame:
     """Quantiles with linear interpolation, as rows (``by``, p, quantile).
 
     ``by`` names a column with a small fixed set of values, such as measure names or
     size labels. NULL and NaN values are left out; a group without values gives no rows.
-    Counts the groups at once to choose the way (up to ``gathered_rows``, by default
-    ``GATHERED_ROWS``, in one task); pass a staged table, not a long plan.
+    The column is scanned four times and never shuffled: only counts and the values of single
+    cells move.
     """
     keys = [by] if by else []
     rows = df.select(*keys, F.col(value).cast("double").alias("v"))
     rows = rows.where(F.col("v").isNotNull() & ~F.isnan("v"))
-    largest = rows.groupBy(*keys).agg(F.count("v").alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest <= (GATHERED_ROWS if gathered_rows is None else gathered_rows):
-        return _gathered_quantiles(rows, probs, keys)
-    return _bracketed_quantiles(rows, probs, keys)
-
-
-def _gathered_quantiles(rows: DataFrame, probs: Sequence[float], keys: list[str]) -> DataFrame:
-    """For groups known to be small: one aggregate."""
-    found = rows.groupBy(*keys).agg(F.percentile("v", list(probs)).alias("q"), F.count("v").alias("n"))
-    wanted = ", ".join(f"{float(p)!r}D" for p in probs)
-    pairs = F.expr(f"inline(arrays_zip(array({wanted}), q))").alias("p", "quantile")
-    return found.where("n > 0").select(*keys, pairs)
-
-
-def _bracketed_quantiles(rows: DataFrame, probs: Sequence[float], keys: list[str]) -> DataFrame:
-    """For groups of any size: three scans of one column, and no shuffle of the column.
-
-    Only counts and the values inside the brackets move.
-    """
 
     def attach(small: DataFrame, name: str) -> DataFrame:
         """``rows`` with a column of ``small``, which has one row per group."""
         if keys:
-            return rows.join(F.broadcast(small.select(*keys, name)), keys)
+            return rows.join(small.select(*keys, name), keys)
         return rows.withColumn(name, small.select(name).scalar())
 
     # 1. a sketch per group: as many numbers as there are cuts
@@ -80,7 +54,8 @@ def _bracketed_quantiles(rows: DataFrame, probs: Sequence[float], keys: list[str
     upto = ", ".join(f"count_if(v <= cuts[{i}])" for i in range(len(points)))
     same = ", ".join(f"max(cuts[{i}])" for i in range(len(points)))  # equal on all rows of a group
     counted = attach(cuts, "cuts").groupBy(*keys).agg(
-        F.expr(f"array({same})").alias("cuts"), F.expr(f"array({upto})").alias("upto"), F.count("v").alias("n")
+        F.expr(f"array({same})").alias("cuts"), F.expr(f"array({upto})").alias("upto"), F.count("v").alias("n"),
+        F.min("v").alias("least"), F.max("v").alias("greatest"),
     ).where("n > 0")
 
     # 3. the ranks around each probability, and the cuts around those; an end may be open
@@ -90,24 +65,45 @@ def _bracketed_quantiles(rows: DataFrame, probs: Sequence[float], keys: list[str
         (n - 1) * p - floor((n - 1) * p) AS share))"""
     zones = """transform(ranks, r -> struct(
         r, size(filter(upto, rows -> rows <= r.low)) AS below, size(filter(upto, rows -> rows <= r.high)) AS past))"""
-    bounds = """transform(zones, z -> struct(
+    bounds = f"""transform(zones, z -> struct(
         z.r.p AS p, z.r.low AS low, z.r.high AS high, z.r.share AS share,
         get(cuts, z.below - 1) AS above, get(cuts, z.past) AS most,
+        coalesce(get(cuts, z.below - 1), least) AS bottom,
+        (coalesce(get(cuts, z.past), greatest) - coalesce(get(cuts, z.below - 1), least)) / {CELLS} AS width,
         coalesce(get(upto, z.below - 1), 0) AS before))"""
     brackets = counted
     for name, step in (("ranks", ranks), ("zones", zones), ("brackets", bounds)):
         brackets = brackets.withColumn(name, F.expr(step))
 
-    # 4. order the values inside the brackets only, equal values as one row
+    # 4. count the values of each bracket by cell, and find the cells of the ranks
     inside = "({0}.above IS NULL OR v > {0}.above) AND ({0}.most IS NULL OR v <= {0}.most)"
+    cell = f"CASE WHEN {{0}}.width > 0 AND {{0}}.width < double('infinity') THEN least({CELLS - 1}, floor((v - {{0}}.bottom) / {{0}}.width)) ELSE 0 END"
+    picked = f"transform(filter(brackets, b -> {inside.format('b')}), b -> struct(b.p AS p, {cell.format('b')} AS cell))"
     any_inside = " OR ".join(f"({inside.format(f'brackets[{i}]')})" for i in range(len(probs)))
-    found = attach(brackets, "brackets").where(any_inside).select(
-        *keys, "v", F.expr(f"inline(filter(brackets, b -> {inside.format('b')}))")
+    cells = (
+        attach(brackets, "brackets").where(any_inside).select(*keys, F.expr(f"inline({picked})"))
+        .groupBy(*keys, "p", "cell").agg(F.count(F.lit(1)).alias("rows"))
+    )
+    facts = brackets.select(*keys, F.expr("inline(brackets)"))
+    order = Window.partitionBy(*keys, "p").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    past = F.col("before") + F.sum("rows").over(order)
+    holds = "({0} >= past - rows AND {0} < past)"
+    targets = (
+        cells.join(facts, [*keys, "p"]).withColumn("past", past)
+        .where(f"{holds.format('low')} OR {holds.format('high')}")
+        .groupBy(*keys).agg(F.collect_list(F.struct(
+            "p", "cell", "low", "high", "share", "above", "most", "bottom", "width", (F.col("past") - F.col("rows")).alias("start"),
+        )).alias("targets"))  # two for each wanted rank at most
     )
-    order = Window.partitionBy(*keys, "p").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+
+    # 5. order the values of those cells only, equal values as one row
+    mine = f"{inside.format('t')} AND {cell.format('t')} = t.cell"
+    found = attach(targets, "targets").where(f"exists(targets, t -> {mine})").select(
+        *keys, "v", F.expr(f"inline(filter(targets, t -> {mine}))"))
+    order = Window.partitionBy(*keys, "p", "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     values = (
-        found.groupBy(*keys, "v", "p", "low", "high", "share", "before").agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("past", F.col("before") + F.sum("copies").over(order))
+        found.groupBy(*keys, "v", "p", "cell", "low", "high", "share", "start").agg(F.count(F.lit(1)).alias("copies"))
+        .withColumn("past", F.col("start") + F.sum("copies").over(order))
     )
     at = "max(CASE WHEN {0} >= past - copies AND {0} < past THEN v END)"
     low, high = at.format("low"), at.format("high")
@@ -132,9 +128,3 @@ def with_quantiles(df: DataFrame, value: str, names: dict[str, float]) -> DataFr
     one = quantile_row(df, value, names).select(F.struct(*names).alias("q")).scalar()
     return df.withColumn("_q", one).select("*", *[f"_q.{n}" for n in names]).drop("_q")
 
-
-def approximate_quantiles(df: DataFrame, value: str, probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
-    """One-pass quantiles within ``1/accuracy`` of the rank, as rows (p, quantile)."""
-    sketch = df.agg(F.percentile_approx(F.col(value).cast("double"), list(probs), accuracy).alias("q"))
-    pairs = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"), F.col("q").alias("quantile"))
-    return sketch.select(F.inline(pairs).alias("p", "quantile"))
