@@ -78,12 +78,62 @@ def test_landing_inference_and_names(spark, tmp_path):
     (tmp_path / "deeper").mkdir()
     (tmp_path / "deeper" / "hidden.csv").write_text("a\n1\n")
     (tmp_path / "notes.txt").write_text("text")
-    assert [files.table_name_of(f) for f in files.csv_files(spark, str(tmp_path))] == ["other"]
+    (tmp_path / "_temporary").mkdir()
+    assert [files.table_name_of(f) for f in files.csv_tables(spark, str(tmp_path))] == ["deeper", "other"]
+    (tmp_path / "deeper.csv").write_text("a\n1\n")
+    with pytest.raises(ValueError, match="two inputs"):
+        files.csv_tables(spark, str(tmp_path))
     assert files.table_name_of("/x/vendor_invoice.csv") == "vendor_invoice"
     found = files.read_landing(spark, str(path)).select(files.table_name_column(F.input_file_name())).first()[0]
     assert found == "other"
 
 
+@pytest.mark.parametrize("row", ["1,x,surplus", "1", '1,"two\nlines"'])
+def test_rows_of_another_width_fail(spark, tmp_path, row):
+    path = tmp_path / "t.csv"
+    path.write_text(f"a,b\n0,y\n{row}\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        files.typed(files.read_landing(spark, str(path)), "a bigint, b string").collect()
+
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('a,b\n1,"two\nlines"\n')
+    assert files.read_landing(spark, str(path), lines_in_quotes=True).first()["b"] == "two\nlines"
+
+
+def test_written_folders_load_back(spark, raw, tmp_path):
+    tables.create_database(spark, "folders_test")
+    files.write_csv(raw["vendor_invoice"].repartition(3), str(tmp_path / "vendor_invoice.csv"))
+    files.write_csv(raw["purchase_prices"].repartition(2), str(tmp_path / "purchase_prices"))
+    assert files.ingest_directory(spark, str(tmp_path), "folders_test") == ["purchase_prices", "vendor_invoice"]
+    assert same(spark.table("folders_test.vendor_invoice"), raw["vendor_invoice"])
+    assert same(spark.table("folders_test.purchase_prices"), raw["purchase_prices"])
+
+
+def test_every_region_counts(spark, tmp_path):
+    """Inventories have a row for each region there is."""
+    six = spark.read.parquet(f"{SMALL}/region.parquet").select("r_regionkey", "r_name")
+    six.unionAll(spark.createDataFrame([(70, "MOON")], six.schema)).write.parquet(str(tmp_path / "region.parquet"))
+    spark.read.parquet(f"{SMALL}/part.parquet").limit(1).write.parquet(str(tmp_path / "part.parquet"))
+    found = raw_table(spark, str(tmp_path), "begin_inventory").collect()
+    assert len(found) == 6 and {r.Store for r in found} == {0, 1, 2, 3, 4, 70}
+
+
+def test_a_failed_write_leaves_the_table(spark):
+    tables.create_database(spark, "atomic_test")
+    good = spark.range(10).withColumnRenamed("id", "k")
+    tables.save_table(good, "atomic_test.t")
+    bad = good.withColumn("k", F.when(F.col("k") == 7, F.raise_error(F.lit("broken"))).otherwise(F.col("k")).cast("bigint"))
+    with pytest.raises(Exception, match="broken"):
+        tables.save_table(bad, "atomic_test.t", guard=good)
+    assert spark.table("atomic_test.t").count() == 10
+    tables.save_table(spark.table("atomic_test.t").where("k < 4"), "atomic_test.t")  # reads what it replaces
+    assert spark.table("atomic_test.t").count() == 4
+    tables.save_table(good.withColumn("more", F.lit("x")), "atomic_test.t")
+    assert spark.table("atomic_test.t").columns == ["k", "more"]
+
+
 def test_landing_table_is_empty_text(spark):
     tables.create_database(spark, "landing_test")
     df = spark.createDataFrame([(1, 2.0)], "a int, b double")
@@ -131,6 +181,25 @@ def test_jdbc_options(spark):
     options = jdbc.jdbc_options("jdbc:x://h/db", "t", "u", "p", "d.Driver")
     assert options == {"url": "jdbc:x://h/db", "dbtable": "t", "user": "u", "password": "p", "driver": "d.Driver"}
     assert jdbc.jdbc_writer(spark.range(3), options, 5) is not None
+    ranges = jdbc.read_options("PODate", "2024-01-01", "2024-12-31", 8)
+    assert ranges == {"partitionColumn": "PODate", "lowerBound": "2024-01-01", "upperBound": "2024-12-31", "numPartitions": "8"}
+    assert jdbc.jdbc_reader(spark, options, "PODate", "2024-01-01", "2024-12-31", 8) is not None
+    with pytest.raises(ValueError, match="partition"):
+        jdbc.read_options("k", "0", "9", 0)
+
+
+def test_parallel_write_bounds_its_connections(spark, monkeypatch):
+    asked = []
+
+    class Writer:
+        def save(self):
+            asked.append("saved")
+
+    monkeypatch.setattr(jdbc, "jdbc_writer", lambda df, options, partitions: asked.append(partitions) or Writer())
+    monkeypatch.setattr(jdbc, "ROWS_PER_PARTITION", 10)
+    assert jdbc.append_jdbc(spark.range(95), {}) == 95
+    assert jdbc.append_jdbc(spark.range(2_000), {}) == 2_000
+    assert asked == [9, "saved", jdbc.MAX_CONNECTIONS, "saved"]
 
 
 def test_stream_adds_each_file_once(spark, raw, tmp_path):
@@ -149,6 +218,20 @@ def test_stream_adds_each_file_once(spark, raw, tmp_path):
     assert same(spark.read.parquet(target), raw["sales"])
 
 
+def test_stream_counts_beyond_its_progress_reports(spark, raw, tmp_path):
+    frame = raw["purchase_prices"].toPandas()
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    for i in range(6):
+        frame[i : i + 1].to_csv(inbox / f"{i}.csv", index=False)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        added = ingest_new_files(spark, str(inbox), "purchase_prices", str(tmp_path / "t"), str(tmp_path / "p"), per_batch=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert added == 6
+
+
 def test_stream_checks_headers(spark, tmp_path):
     inbox = tmp_path / "inbox"
     inbox.mkdir()

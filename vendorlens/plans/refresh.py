@@ -12,8 +12,7 @@ from ..operators.features import vendor_features
 from ..operators.summary import vendor_sales_summary
 from ..sources.files import ingest_directory
 from ..sources.schemas import CLEAN_SCHEMA, MART_SCHEMA, conform
-from ..sources.shared import stage
-from ..sources.tables import create_database, load_table, save_table
+from ..sources.tables import create_database, load_table, switch_tables, write_version
 
 # The tables the job writes.
 CLEAN_TABLE = "clean_data"
@@ -35,15 +34,19 @@ def mart_of(cleaned: DataFrame) -> DataFrame:
 
 
 def refresh_tables(spark: SparkSession, tables: Mapping[str, DataFrame], database: str) -> DataFrame:
-    """Write ``clean_data`` and the mart from raw tables; both are replaced as a whole.
+    """Write ``clean_data`` and the mart from raw tables; both are replaced together.
 
-    The summary is staged once, so that an empty result is noticed before a table is
-    replaced and its joins run a single time.
+    The clean rows are written once, as the next version of their table, and the mart is built
+    from that. The tables switch when both versions are there; a failure before leaves both as they were.
     """
     create_database(spark, database)
-    save_table(stage(cleaned_of(tables), CLEAN_TABLE), f"{database}.{CLEAN_TABLE}")
-    save_table(mart_of(load_table(spark, f"{database}.{CLEAN_TABLE}")), f"{database}.{MART_TABLE}")
-    return load_table(spark, f"{database}.{MART_TABLE}")
+    clean, mart = f"{database}.{CLEAN_TABLE}", f"{database}.{MART_TABLE}"
+    cleaned = cleaned_of(tables)
+    clean_path, _ = write_version(cleaned, clean, guard=tables["purchases"])
+    rows = spark.read.schema(cleaned.schema).parquet(clean_path)
+    mart_path, _ = write_version(mart_of(rows), mart, guard=rows)
+    switch_tables(spark, {clean: clean_path, mart: mart_path})
+    return load_table(spark, mart)
 
 
 def refresh(spark: SparkSession, directory: str, database: str) -> DataFrame:

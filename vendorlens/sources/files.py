@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .schemas import RAW_SCHEMAS, column_types
+from .shared import entries
 from .tables import save_table
 
 # Texts that count as missing in a CSV field.
@@ -18,8 +19,9 @@ MISSING = (
 
 # Quotes inside a quoted field are doubled, as CSV writers do by default.
 # Blanks around a text belong to it; the writer would drop them otherwise.
+# A row with more or fewer fields than the header fails the read instead of losing values.
 CSV_OPTIONS = {
-    "header": "true", "quote": '"', "escape": '"',
+    "header": "true", "quote": '"', "escape": '"', "mode": "FAILFAST",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
 
@@ -34,9 +36,14 @@ def table_name_column(path_column: Column) -> Column:
     return F.regexp_replace(F.element_at(F.split(path_column, "/"), -1), r"\.[^.]*$", "")
 
 
-def read_landing(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Every column as text, named by the header line."""
-    return spark.read.options(**{**CSV_OPTIONS, **options}).csv(path)
+def read_landing(spark: SparkSession, path: str, lines_in_quotes: bool = False, **options: str) -> DataFrame:
+    """Every column as text, named by the header line.
+
+    With ``lines_in_quotes`` a quoted field may hold line breaks; a file is then read by one
+    task. Without it files are split, and such a field fails the read as a short row.
+    """
+    several = {"multiLine": "true"} if lines_in_quotes else {}
+    return spark.read.options(**{**CSV_OPTIONS, **several, **options}).csv(path)
 
 
 def read_inferred(spark: SparkSession, path: str) -> DataFrame:
@@ -60,18 +67,27 @@ def typed(df: DataFrame, ddl: str) -> DataFrame:
     )
 
 
-def read_table_file(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file as the raw table it is named after; unknown tables get inferred types."""
+def read_table_file(spark: SparkSession, path: str, lines_in_quotes: bool = False) -> DataFrame:
+    """A CSV file or folder as the raw table it is named after; unknown tables get inferred types."""
     ddl = RAW_SCHEMAS.get(table_name_of(path))
     if ddl is None:
         return read_inferred(spark, path)
-    return typed(read_landing(spark, path), ddl)
+    return typed(read_landing(spark, path, lines_in_quotes), ddl)
 
 
-def csv_files(spark: SparkSession, directory: str) -> list[str]:
-    """The ``*.csv`` files of a folder on any file system Spark reads, by name."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(directory)
-    return sorted(row.path for row in listing.select("path").collect())  # one row per table
+def csv_tables(spark: SparkSession, directory: str) -> list[str]:
+    """The ``*.csv`` files of a folder and its sub-folders (of part files), by table name.
+
+    Works on any file system Spark reads; the list has an entry per table.
+    """
+    found = {}
+    for path, folder, *_ in entries(spark, directory):
+        base = path.rstrip("/").rsplit("/", 1)[-1]
+        if (folder and not base.startswith((".", "_"))) or (not folder and base.endswith(".csv")):
+            if table_name_of(path) in found:
+                raise ValueError(f"two inputs for table {table_name_of(path)}")
+            found[table_name_of(path)] = path
+    return [found[name] for name in sorted(found)]
 
 
 def ingest_directory(
@@ -80,15 +96,16 @@ def ingest_directory(
     database: str,
     mode: str = "overwrite",
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+    lines_in_quotes: bool = False,
 ) -> list[str]:
-    """Load each CSV file of a folder into the table named after it.
+    """Load each CSV file, or folder of CSV parts, into the table named after it.
 
     ``overwrite`` makes a second run give the same tables; ``append`` adds to them.
     """
     names = []
-    for path in csv_files(spark, directory):
+    for path in csv_tables(spark, directory):
         name = table_name_of(path)
-        rows = read_table_file(spark, path)
+        rows = read_table_file(spark, path, lines_in_quotes)
         save_table(prepare(rows), f"{database}.{name}", mode, guard=rows)
         names.append(name)
     return names

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .schemas import RAW_SCHEMAS, conform
 
-REGIONS = 5  # the region table has five rows at every scale
-
 
 def _dec(name: str, kind: str = "decimal(18,2)") -> Column:
     return F.col(name).cast(kind)
@@ -98,8 +98,10 @@ def purchase_prices(read) -> DataFrame:
 
 
 def vendor_invoice(read) -> DataFrame:
+    """Invoices add up purchases; a stored ``purchases`` is read instead of derived again."""
+    stored = read("purchases")
     return (
-        purchases(read).groupBy("VendorNumber", "VendorName", "PONumber", "PODate")
+        (purchases(read) if stored is None else stored).groupBy("VendorNumber", "VendorName", "PONumber", "PODate")
         .agg(
             F.sum("Quantity").alias("Quantity"),
             F.sum("Dollars").cast("decimal(18,2)").alias("Dollars"),
@@ -112,11 +114,10 @@ def vendor_invoice(read) -> DataFrame:
 
 
 def _inventory(read, on_hand: Column, date_name: str, date: str) -> DataFrame:
-    """One row per product and region."""
+    """One row per product and region; the regions, one for each store, come as one value."""
+    regions = read("region").agg(F.collect_list(F.struct(F.col("r_regionkey").alias("Store"), "r_name"))).scalar()
     return (
-        _parts(read)
-        .withColumn("Store", F.explode(F.sequence(F.lit(0), F.lit(REGIONS - 1))))
-        .join(read("region"), F.col("Store") == F.col("r_regionkey"))
+        _parts(read).withColumn("_regions", regions).select("*", F.inline("_regions")).drop("_regions")
         .select(
             _inventory_id(F.col("Store"), F.col("r_name"), F.col("Brand")).alias("InventoryId"),
             "Store", F.col("r_name").alias("City"), "Brand", "Description", "Size",
@@ -144,9 +145,14 @@ _BUILDERS = {
 }
 
 
-def raw_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    """One raw table over the Parquet files of ``directory``, in its declared schema."""
-    def read(table: str) -> DataFrame:
+def raw_table(spark: SparkSession, directory: str, name: str, stored: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """One raw table over the Parquet files of ``directory``, in its declared schema.
+
+    ``stored`` holds raw tables that are derived already.
+    """
+    def read(table: str) -> DataFrame | None:
+        if table in RAW_SCHEMAS:
+            return (stored or {}).get(table)
         return spark.read.parquet(f"{directory}/{table}.parquet")
 
     return conform(_BUILDERS[name](read), RAW_SCHEMAS[name])

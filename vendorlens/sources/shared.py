@@ -30,6 +30,33 @@ def application_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/vendorlens/{spark.sparkContext.applicationId}"
 
 
+def _path(spark: SparkSession, path: str):
+    """A path and its file system, whichever that is."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def entries(spark: SparkSession, path: str) -> list[tuple[str, bool, int, int]]:
+    """Path, whether it is a folder, bytes and time of change of everything directly in a folder."""
+    place, files = _path(spark, path)
+    return [(s.getPath().toString(), s.isDirectory(), s.getLen(), s.getModificationTime()) for s in files.listStatus(place)]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, files = _path(spark, path)
+    return files.exists(place)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    place, files = _path(spark, path)
+    files.delete(place, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove what this application has staged; its staged tables cannot be read any more."""
+    remove_folder(spark, application_dir(spark))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back."""
     spark = df.sparkSession

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from .schemas import MART_SCHEMA, conform
+from .shared import remove_folder
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -34,20 +37,66 @@ def require_rows(df: DataFrame) -> DataFrame:
     return df
 
 
+def _location(spark: SparkSession, name: str) -> str:
+    """A new folder for the next version of a table, beside those of its database."""
+    database, _, table = name.rpartition(".")
+    place = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{place.rstrip('/')}/{table}/v-{uuid.uuid4().hex}"
+
+
+def write_version(df: DataFrame, name: str, guard: DataFrame | None = None) -> tuple[str, int]:
+    """Write the next version of a table to a folder of its own; the table does not change yet.
+
+    Returns the folder and the number of rows, counted during the write. An empty input is refused first;
+    pass the scan behind an expensive ``df`` as ``guard`` so that this check does not run the plan twice.
+    """
+    require_rows(df if guard is None else guard)
+    written, path = Observation(), _location(df.sparkSession, name)
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return path, written.get["rows"]
+
+
+def switch_tables(spark: SparkSession, versions: Mapping[str, str]) -> None:
+    """Let tables show written versions. Only the catalog changes, after all data is there.
+
+    The folders that the tables showed before are removed at the end, if they were versions too.
+    """
+    before = []
+    for name, path in versions.items():
+        schema = spark.read.parquet(path).schema
+        if spark.catalog.tableExists(name):
+            old = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
+            same = [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in schema]
+            if same:
+                spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+                spark.catalog.refreshTable(name)
+            else:
+                spark.sql(f"DROP TABLE {name}")
+            before.append(old)
+        if not spark.catalog.tableExists(name):
+            spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    for old in before:
+        if re.search(r"/v-[0-9a-f]{32}$", old.rstrip("/")):
+            remove_folder(spark, old)
+
+
 def save_table(
     df: DataFrame, name: str, mode: str = "overwrite", guard: DataFrame | None = None
 ) -> int:
-    """Write a table and return the number of rows written, counted during the write.
+    """Write a table and return the number of rows written.
 
-    The Parquet commit makes the write all-or-nothing. An empty input is refused before
-    the table is touched; pass the scan behind an expensive ``df`` as ``guard`` so that
-    this check does not run the plan twice.
+    ``overwrite`` writes the rows beside the table and switches to them at the end, so a failed write
+    leaves the table as it was; ``df`` may read the table. ``append`` relies on the Parquet commit.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unknown mode {mode!r}")
+    if mode == "overwrite" or not df.sparkSession.catalog.tableExists(name):
+        path, rows = write_version(df, name, guard)
+        switch_tables(df.sparkSession, {name: path})
+        return rows
     require_rows(df if guard is None else guard)
     written = Observation()
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode(mode).saveAsTable(name)
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append").saveAsTable(name)
     return written.get["rows"]
 
 

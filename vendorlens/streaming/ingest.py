@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.files import CSV_OPTIONS, typed
 from ..sources.schemas import RAW_SCHEMAS, column_types
+from ..sources.shared import exists
 
 
 def read_new_files(
@@ -47,8 +48,15 @@ def ingest_new_files(
     files: str = "*.csv",
     per_batch: int | None = None,
 ) -> int:
-    """Load the new files of a raw table and return how many rows were added."""
+    """Load the new files of a raw table and return how many rows were added.
+
+    The count comes from the written files (their footers), not from the stream's progress reports, of
+    which only the last ones are kept.
+    """
+    def stored() -> int:
+        return spark.read.schema(RAW_SCHEMAS[table]).parquet(target).count() if exists(spark, target) else 0
+
+    before = stored()
     rows = read_new_files(spark, directory, RAW_SCHEMAS[table], files, per_batch)
-    query = append_stream(rows, target, progress)
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    append_stream(rows, target, progress).awaitTermination()
+    return stored() - before
