@@ -67,6 +67,14 @@ def test_critical_value(df, t):
     assert two_sided_p(t, df) == pytest.approx(0.05, abs=1e-9)
 
 
+@pytest.mark.parametrize("df", [10.0**k for k in range(5, 15)] + [99_999.0, 100_001.0])
+def test_many_degrees_of_freedom(df):
+    z = 1.959963984540054
+    exact = z + (z**3 + z) / (4 * df) + (5 * z**5 + 16 * z**3 + 3 * z) / (96 * df**2)  # known expansion of the quantile
+    assert critical_value(0.95, df) == pytest.approx(exact, abs=1e-9)
+    assert two_sided_p(exact, df) == pytest.approx(0.05, abs=1e-9)
+
+
 def test_p_value_ends():
     assert two_sided_p(0.0, 5) == 1.0
     assert two_sided_p(80.0, 4000) == 0.0
