@@ -5,6 +5,8 @@ import tempfile
 import pytest
 from pyspark.sql import SparkSession
 
+from vendorlens.sources.shared import release
+
 
 def make_session() -> SparkSession:
     scratch = tempfile.mkdtemp(prefix="vendorlens-test-")
@@ -16,6 +18,7 @@ def make_session() -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
+        .config("spark.checkpoint.dir", f"{scratch}/shared")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -26,4 +29,5 @@ def make_session() -> SparkSession:
 def spark():
     session = make_session()
     yield session
+    release(session)
     session.stop()

@@ -27,9 +27,8 @@ def add_dense_id(df: DataFrame, name: str = "spark_id") -> DataFrame:
     sizes = sparse.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    # one row per write partition, so the table is small by construction
     return (
-        sparse.join(F.broadcast(offsets), "_part")
+        sparse.join(offsets, "_part")
         .withColumn(name, F.col("_offset") + F.col("_row") + 1)
         .select(*df.columns, name)
     )

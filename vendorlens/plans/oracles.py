@@ -442,8 +442,25 @@ def oracles() -> dict[str, str]:
             f"FROM (SELECT DISTINCT {n}_twice AS x FROM {n}_twice )"
             for n in _RAW_NAMES
         ),
+        "first_invoice_of_po": _doubles(
+            "(SELECT * FROM vendor_invoice QUALIFY row_number() OVER (PARTITION BY PONumber ORDER BY VendorNumber, PODate) = 1)",
+            *_MONEY["vendor_invoice"],
+        ),
+        "surplus_copies": " UNION ALL ".join(
+            f"SELECT '{n}' AS table_name, count(*) - count(DISTINCT x) AS surplus "
+            f"FROM (SELECT {n}_twice AS x FROM {n}_twice)"
+            for n in _RAW_NAMES
+        ),
         "key_violations": """
             SELECT PONumber, count(*) AS row_count FROM vendor_invoice GROUP BY PONumber HAVING count(*) > 1""",
+        "key_violations_prices": """
+            SELECT VendorNumber, Brand, count(*) AS row_count FROM purchase_prices_twice
+            GROUP BY VendorNumber, Brand HAVING count(*) > 1""",
+        "key_violations_mart": """
+            SELECT VendorName, Volume, count(*) AS row_count FROM mart GROUP BY VendorName, Volume HAVING count(*) > 1""",
+        "csv_round_trip": _doubles("vendor_invoice", *_MONEY["vendor_invoice"]),
+        "stream_ingest": "SELECT *, (SELECT count(*) FROM purchase_prices) AS added FROM ("
+        + _doubles("purchase_prices", *_MONEY["purchase_prices"]) + ")",
         "profitable_rows": "SELECT * FROM good",
         "loss_rows": "SELECT * FROM mart WHERE GrossProfit < 0",
         "brand_performance": "SELECT * FROM brands",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -13,7 +14,9 @@ from ..operators import clean, dedupe, features, ids, profile, stats, summary, v
 from ..operators.quantiles import exact_quantiles, long_form
 from ..sources.schemas import RAW_SCHEMAS
 from ..sources.shared import application_dir
-from ..sources.tables import create_database
+from ..sources.files import ingest_directory, write_csv
+from ..sources.tables import create_database, load_table
+from ..streaming.ingest import ingest_new_files
 from .refresh import refresh_tables, summary_of
 from .workspace import Workspace, workspace
 
@@ -48,6 +51,34 @@ def _remaining(ws: Workspace) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
 
+def _surplus(ws: Workspace) -> DataFrame:
+    """Rows of each redelivered table that are there once too often."""
+    checks = [
+        dedupe.remaining_duplicates(ws.redelivered(name)).select(
+            F.lit(name).alias("table_name"), F.col("remaining_duplicates").alias("surplus"))
+        for name in ws
+    ]
+    return reduce(DataFrame.unionByName, checks)
+
+
+def _csv_round_trip(ws: Workspace) -> DataFrame:
+    """Invoices written as a folder of CSV parts and loaded from it as a table."""
+    folder, database = f"{application_dir(ws.spark)}/csv-{uuid.uuid4().hex}", "vendorlens_csv"
+    create_database(ws.spark, database, f"{application_dir(ws.spark)}/{database}.db")
+    write_csv(ws["vendor_invoice"], f"{folder}/vendor_invoice.csv")
+    ingest_directory(ws.spark, folder, database)
+    return _as_double(load_table(ws.spark, f"{database}.vendor_invoice"))
+
+
+def _stream_ingest(ws: Workspace) -> DataFrame:
+    """Prices that a stream picks up from CSV parts, and the count it reports."""
+    folder = f"{application_dir(ws.spark)}/stream-{uuid.uuid4().hex}"
+    write_csv(ws["purchase_prices"], f"{folder}/inbox")
+    added = ingest_new_files(ws.spark, f"{folder}/inbox", "purchase_prices", f"{folder}/rows", f"{folder}/progress", per_batch=1)
+    rows = ws.spark.read.schema(RAW_SCHEMAS["purchase_prices"]).parquet(f"{folder}/rows")
+    return _as_double(rows).withColumn("added", F.lit(added).cast("bigint"))
+
+
 def _surrogate(ws: Workspace) -> DataFrame:
     return ids.add_surrogate_id(ws["sales"]).agg(
         F.count(F.lit(1)).alias("row_count"), F.count_distinct("spark_id").alias("ids")
@@ -100,16 +131,19 @@ def _quantiles(ws: Workspace) -> DataFrame:
 
 
 def _quartiles_bracketed(ws: Workspace) -> DataFrame:
-    """Quartiles of every mart number the way that serves columns of any length."""
-    return _rounded(exact_quantiles(_all_numbers(ws), "value", [0.25, 0.5, 0.75], "column", gathered_rows=0), 6, "quantile")
+    """Quartiles of every mart number."""
+    return _rounded(exact_quantiles(_all_numbers(ws), "value", [0.25, 0.5, 0.75], "column"), 6, "quantile")
 
 
 _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     # the job and its steps
     "refresh_mart": _refresh,
+    # the two engines hand integers with NULLs to a comparison in different forms
     "vendor_sales_summary": lambda ws: summary.by_purchase_dollars(
         summary_of(ws).withColumn("TotalSalesQuantity", F.col("TotalSalesQuantity").cast("double"))
     ),
+    "csv_round_trip": _csv_round_trip,
+    "stream_ingest": _stream_ingest,
     "clean_summary": lambda ws: clean.clean_summary(ws.summary()),
     "rejected_volumes": lambda ws: clean.rejected_volumes(ws.summary()),
     "vendor_features": lambda ws: features.vendor_features(ws.cleaned()),
@@ -156,8 +190,14 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
         f"dedupe_{name}": lambda ws, name=name: _as_double(dedupe.drop_duplicate_rows(ws.redelivered(name)))
         for name in RAW_SCHEMAS
     },
+    "first_invoice_of_po": lambda ws: _as_double(
+        dedupe.keep_first(ws["vendor_invoice"], ["PONumber"], ["VendorNumber", "PODate"])
+    ),
     "remaining_duplicates": _remaining,
+    "surplus_copies": _surplus,
     "key_violations": lambda ws: dedupe.key_violations(ws["vendor_invoice"], ["PONumber"]),
+    "key_violations_prices": lambda ws: dedupe.key_violations(ws.redelivered("purchase_prices"), ["VendorNumber", "Brand"]),
+    "key_violations_mart": lambda ws: dedupe.key_violations(ws.mart(), ["VendorName", "Volume"]),
     # vendors and products
     "profitable_rows": lambda ws: ws.profitable(),
     "loss_rows": lambda ws: vendors.loss_rows(ws.mart()),

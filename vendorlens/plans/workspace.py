@@ -15,10 +15,10 @@ from ..operators.stats import quartile_groups
 from ..operators.vendors import brand_performance, order_sizes, profitable_rows
 from ..sources.retail import raw_table
 from ..sources.schemas import RAW_SCHEMAS
-from ..sources.shared import stage
+from ..sources.shared import entries, stage
 from .refresh import cleaned_of, mart_of, summary_of
 
-_open: dict[tuple[str, str], "Workspace"] = {}
+_open: dict[tuple, "Workspace"] = {}
 
 # Which rows of each raw table the duplicate checks deliver a second time.
 REDELIVERED = {
@@ -46,7 +46,8 @@ class Workspace(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in RAW_SCHEMAS:
             raise KeyError(name)
-        return self._once(name, lambda: raw_table(self.spark, self.directory, name))
+        stored = {"purchases": self["purchases"]} if name == "vendor_invoice" else None
+        return self._once(name, lambda: raw_table(self.spark, self.directory, name, stored))
 
     def __iter__(self):
         return iter(RAW_SCHEMAS)
@@ -90,7 +91,9 @@ class Workspace(Mapping):
 
 
 def workspace(spark: SparkSession, directory: str) -> Workspace:
-    key = (spark.sparkContext.applicationId, directory.rstrip("/"))
+    """The workspace of a folder as it is now: changed files open a new one."""
+    directory = directory.rstrip("/")
+    key = (spark.sparkContext.applicationId, directory, tuple(sorted(entries(spark, directory))))
     if key not in _open:
-        _open[key] = Workspace(spark, directory.rstrip("/"))
+        _open[key] = Workspace(spark, directory)
     return _open[key]
