@@ -6,7 +6,8 @@ passage holds a retained suffix in both copies. Suffixes whose first words occur
 dropped (through a bitmap of fixed size, which lets a few too many pass and none too few). The others are sorted
 with their words to the right, neighbours of different documents are compared, and the match is
 extended word by word right and left; `LENGTH` words in all are a repeat. A second sort, by the words to
-the left, finds the neighbours that share more on that side. Sorting is by ranges over words, document and place, so
+the left, finds the neighbours that share most on that side. Where the two sides together would allow a repeat that no single
+neighbour has, the windows in question are compared by digest, so none is missed. Sorting is by ranges over words, document and place, so
 suffixes of a passage that a third of all documents share lie in many tasks, each of which holds
 one document's run of suffixes; runs at the ends of tasks are compared in a last small step. Overlapping
 repeats of a document are joined to spans.
@@ -123,81 +124,106 @@ _FIELDS = ("h", "right", "left", "k1", "k2", "place", "doc_id")
 
 
 def _neighbours(length: int, kind: pa.DataType, edges: bool):
-    """Repeats between neighbouring suffixes of different documents, in sorted rows.
+    """Words before and after its place that a suffix shares with neighbours of other documents, in sorted rows.
 
     With ``edges`` the runs at both ends of the task are returned too, to be compared with those of the tasks beside it.
     """
 
-    def match(a: tuple, b: tuple) -> tuple[int, int] | None:
-        """Words that two suffixes share to the left and to the right, if they make a repeat."""
-        if a[0] != b[0]:
-            return None
-        right = _shared(a[1].split(), b[1].split())
-        left = _shared(a[2].split(), b[2].split())
-        return (left, right) if left + right >= length else None
+    def match(a: tuple, b: tuple) -> tuple[int, int]:
+        """Words that two suffixes share to the left and to the right."""
+        return _shared(a[2].split(), b[2].split()), _shared(a[1].split(), b[1].split())
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []
         kept: list[tuple] = []
         run: list[tuple] = []  # suffixes of the last document, in a row
-        first: list[tuple] | None = None
+        first: list[tuple] = []
+        before: tuple | None = None  # the last suffix of the document before the run
 
         def take(a: tuple, shared: tuple[int, int]) -> None:
-            found.append((a[3], a[4], a[5] - shared[0], a[5] + shared[1], a[6]))
+            found.append((a[3], a[4], a[5], *shared, a[6], a[0]))
 
         def out() -> pa.RecordBatch:
-            spans = list(zip(*found)) if found else [[]] * 5
+            pairs = list(zip(*found)) if found else [[]] * 7
             ends = list(zip(*kept)) if kept else [[]] * 7
             n, m = len(found), len(kept)
             columns = [
-                pa.array([*spans[0], *ends[3]], pa.int64()), pa.array([*spans[1], *ends[4]], pa.int64()),
-                pa.array([*spans[2], *[None] * m], pa.int64()), pa.array([*spans[3], *[None] * m], pa.int64()),
-                pa.array([*spans[4], *ends[6]], kind), pa.array([*[None] * n, *ends[0]], pa.int64()),
-                pa.array([*[None] * n, *ends[1]], pa.binary()), pa.array([*[None] * n, *ends[2]], pa.binary()),
-                pa.array([*[None] * n, *ends[5]], pa.int64())]
+                pa.array([*pairs[0], *ends[3]], pa.int64()), pa.array([*pairs[1], *ends[4]], pa.int64()),
+                pa.array([*pairs[2], *ends[5]], pa.int64()), pa.array([*pairs[3], *[None] * m], pa.int32()),
+                pa.array([*pairs[4], *[None] * m], pa.int32()), pa.array([*pairs[5], *ends[6]], kind),
+                pa.array([*pairs[6], *ends[0]], pa.int64()), pa.array([*[None] * n, *ends[1]], pa.binary()),
+                pa.array([*[None] * n, *ends[2]], pa.binary())]
             found.clear(), kept.clear()
-            return pa.RecordBatch.from_arrays(columns, ["k1", "k2", "start", "end", "doc_id", "h", "right", "left", "place"])
+            return pa.RecordBatch.from_arrays(columns, ["k1", "k2", "place", "before", "after", "doc_id", "h", "right", "left"])
 
         for batch in batches:
             for row in zip(*[batch.column(i).to_pylist() for i in range(7)]):
-                if run and (run[-1][3], run[-1][4]) != (row[3], row[4]):
-                    shared = match(run[-1], row)
-                    if shared:
-                        take(row, shared)
-                    for earlier in run:
-                        shared = match(earlier, row)
-                        if shared:
-                            take(earlier, shared)
-                    if first is None:
-                        first = run
-                    run = []
-                elif run and run[-1][0] != row[0]:  # other first words: the run's suffixes are done with
-                    if first is None:
-                        first = run
-                    run = []
+                other = run and (run[-1][3], run[-1][4]) != (row[3], row[4])
+                if run and run[-1][0] != row[0]:  # other first words: what came before is done with
+                    first, run, before = first or run, [], None
+                elif other:
+                    for earlier in run:  # each suffix of the run meets the next document's first
+                        take(earlier, match(earlier, row))
+                    first, run, before = first or run, [], run[-1]
+                if before:  # and the previous document's last
+                    take(row, match(before, row))
                 run.append(row)
                 if len(found) >= ROWS:
                     yield out()
         if edges:
-            kept.extend(first or [])
+            kept.extend(first)
             kept.extend(run)
         yield out()
 
     return task
 
 
-def repeats(contexts: DataFrame, order: list[str], length: int, kind: str, arrow: pa.DataType) -> DataFrame:
-    """Start and end of repeats that neighbours in ``order`` share; with repeats among them."""
-    schema = f"k1 bigint, k2 bigint, start bigint, end bigint, doc_id {kind}, h bigint, right binary, left binary, place bigint"
-    rows = contexts.select(*_FIELDS)
+def compared(contexts: DataFrame, order: list[str], length: int, kind: str, arrow: pa.DataType) -> DataFrame:
+    """What each suffix shares with its neighbours in ``order``: a row for each comparison."""
+    schema = f"k1 bigint, k2 bigint, place bigint, before int, after int, doc_id {kind}, h bigint, right binary, left binary"
     found = staged(
-        rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        .mapInArrow(_neighbours(length, arrow, True), schema), "repeats")
+        contexts.select(*_FIELDS).repartitionByRange(*order).sortWithinPartitions(*order)
+        .mapInArrow(_neighbours(length, arrow, True), schema), "compared")
     # runs at the ends of tasks: two for each task
-    seams = found.where("start is null").select(*_FIELDS).coalesce(1).sortWithinPartitions(*order).mapInArrow(
+    seams = found.where("before is null").select(*_FIELDS).coalesce(1).sortWithinPartitions(*order).mapInArrow(
         _neighbours(length, arrow, False), schema)
-    columns = ("k1", "k2", "start", "end", "doc_id")
-    return found.where("start is not null").select(*columns).unionByName(seams.select(*columns))
+    columns = (*ROW, "place", "doc_id", "h", "before", "after")
+    return found.where("before is not null").select(*columns).unionByName(seams.select(*columns))
+
+
+def undecided(by_right: DataFrame, by_left: DataFrame, length: int) -> DataFrame:
+    """Suffixes with the window offsets that neighbours leave open.
+
+    A neighbour by the right side shares the most words there, one by the left side the most there.
+    A window of ``length`` words that begins ``o`` words before the suffix can only repeat if both suffice; if no single
+    neighbour has both, another suffix may.
+    """
+    pairs = by_right.withColumns({"most_after": F.col("after"), "most_before": F.lit(0)}).unionByName(
+        by_left.withColumns({"most_after": F.lit(0), "most_before": F.col("before")}))
+    sums = pairs.groupBy(*ROW, "place", "doc_id", "h").agg(
+        F.max("most_after").alias("after"), F.max("most_before").alias("before"),
+        F.collect_set(F.when(F.col("before") + F.col("after") >= length, F.struct("before", "after"))).alias("sure"))
+    low = F.greatest(F.lit(length) - F.col("after"), F.lit(0))
+    offsets = F.when(low <= F.col("before"), F.sequence(low, F.col("before"))).otherwise(F.array().cast("array<int>"))
+    open_ = F.filter("offsets", lambda o: ~F.exists("sure", lambda s: (o <= s["before"]) & (o + s["after"] >= length)))
+    return sums.withColumn("offsets", offsets).withColumn("open", open_)
+
+
+def window_repeats(contexts: DataFrame, suffixes: DataFrame, length: int) -> DataFrame:
+    """Repeats among the open windows, by digests of their words; exact for every group."""
+    asked = staged(
+        suffixes.where("size(open) > 0").select("h", F.explode("open").alias("o")).distinct()
+        .groupBy("h").agg(F.collect_set("o").alias("wanted")), "open-windows")
+    at = [*ROW, "place"]
+    feasible = suffixes.join(asked, "h").withColumn("try", F.array_intersect("offsets", "wanted")).where("size(try) > 0").select(*at, "try")
+    words = lambda c, n: F.slice(F.split(F.col(c).cast("string"), " "), F.lit(1), n)
+    windows = contexts.join(feasible, at).select(*at, "doc_id", "h", "left", "right", F.explode("try").alias("o")).withColumn(
+        "digest", F.sha2(F.concat_ws(" ", words("left", F.col("o")), F.lit("|"), words("right", F.lit(length) - F.col("o"))), 256))
+    windows = staged(windows.select(*at, "doc_id", "h", "o", "digest"), "windows")
+    document = F.struct(*ROW)
+    again = windows.groupBy("h", "o", "digest").agg(F.min(document).alias("a"), F.max(document).alias("b")).where("a != b")
+    return windows.join(again.select("h", "o", "digest"), ["h", "o", "digest"]).select(
+        *ROW, (F.col("place") - F.col("o")).alias("start"), (F.col("place") - F.col("o") + length).alias("end"), "doc_id")
 
 
 def _joined(kind: pa.DataType):
@@ -249,9 +275,12 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         _contexts(length, gram), f"h bigint, right binary, left binary, k1 bigint, k2 bigint, place bigint, doc_id {kind}"
     ).write.option("compression", "zstd").parquet(path)
     contexts = docs.sparkSession.read.parquet(path)
-    by_right = repeats(contexts, ["h", "right", "left", "k1", "k2", "place"], length, kind, arrow)
-    by_left = repeats(contexts, ["h", "left", "right", "k1", "k2", "place"], length, kind, arrow)
-    spans = by_right.unionByName(by_left).distinct()
+    by_right = compared(contexts, ["h", "right", "left", "k1", "k2", "place"], length, kind, arrow)
+    by_left = compared(contexts, ["h", "left", "right", "k1", "k2", "place"], length, kind, arrow)
+    suffixes = staged(undecided(by_right, by_left, length), "compared-suffixes")
+    sure = suffixes.select(*ROW, "place", "doc_id", F.explode("sure").alias("s")).select(
+        *ROW, (F.col("place") - F.col("s.before")).alias("start"), (F.col("place") + F.col("s.after")).alias("end"), "doc_id")
+    spans = sure.unionByName(window_repeats(contexts, suffixes, length))
     return spans.repartition(*ROW).sortWithinPartitions(*ROW, "start").mapInArrow(
         _joined(arrow), f"doc_id {kind}, start_word bigint, end_word bigint"
     ).withColumn("words", F.col("end_word") - F.col("start_word"))
