@@ -6,7 +6,10 @@ where ids repeat or are NULL, and it does not change between two scans of the sa
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,7 +23,24 @@ LOCATOR = ("_file", "_row")
 FILTER_BITS = 1 << 26
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the tasks of an application, once; it need not be installed there."""
+    package = Path(__file__).resolve().parents[1]
+    if spark.sparkContext.applicationId in _shipped or not package.is_dir():
+        return
+    archive = f"{tempfile.mkdtemp(prefix='vendorlens-code-')}/vendorlens.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(spark.sparkContext.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -60,6 +80,7 @@ def plain_scan(df: DataFrame) -> DataFrame:
 
 def located(df: DataFrame) -> DataFrame:
     """``row`` (a struct of all columns) with its locator; a frame that is no plain scan is staged first."""
+    ship(df.sparkSession)
     df = plain_scan(df)
     meta = df.metadataColumn("_metadata")
     return df.select(

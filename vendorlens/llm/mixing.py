@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .common import staged, table
+from .common import ship, staged, table
 
 WEIGHTS, SHARE, CAP = (5, 2, 1), 1.5, 2
 #: Documents in a rounding bucket, on average; rounds and relative error of the dual's solution.
@@ -122,6 +122,7 @@ def word_count(text: Column) -> Column:
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Per document: id, size, its source's size and target, copies, and words taken."""
+    ship(docs.sparkSession)
     sized = staged(docs.select(
         docs[f"`{key}`"].cast("bigint").alias("doc_id"), docs[f"`{source}`"].cast("string").alias("source"),
         word_count(docs[f"`{text}`"]).alias("size")), "sized")

@@ -298,8 +298,9 @@ def near_groups(
 def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row per document: id, class id, class size, number of linked documents."""
     rows = near_groups(docs, key, text, **options)
-    classes = rows.where("root is not null").groupBy("root").agg(
-        F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    # staged, so that the join below is a plain one that may split a large class
+    classes = staged(rows.where("root is not null").groupBy("root").agg(
+        F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "classes")
     return rows.join(classes, "root", "left").select(
         F.col("id").alias("doc_id"), F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).alias("class_size"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
@@ -310,7 +311,7 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *
     docs = plain_scan(docs)
     rows = near_groups(docs, key, text, **options).where("root is not null")
     rank = F.struct(F.col("id").isNull().alias("no_id"), "id", *LOCATOR)
-    stays = rows.groupBy("root").agg(F.min(rank).alias("best"))
+    stays = staged(rows.groupBy("root").agg(F.min(rank).alias("best")), "stays")
     same = (F.col("_file") == F.col("best._file")) & (F.col("_row") == F.col("best._row"))
     gone = rows.join(stays, "root").where(~same)
     return without_rows(docs, staged(gone.select(*LOCATOR), "near-dropped"))
