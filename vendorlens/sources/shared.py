@@ -47,6 +47,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def write_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file, on whichever file system the path names."""
+    place, files = _path(spark, path)
+    out = files.create(place)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     place, files = _path(spark, path)
     files.delete(place, True)
