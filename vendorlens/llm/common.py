@@ -6,7 +6,7 @@ where ids repeat or are NULL, and it does not change between two scans of the sa
 
 from __future__ import annotations
 
-import tempfile
+import io
 import uuid
 import zipfile
 from pathlib import Path
@@ -14,7 +14,7 @@ from pathlib import Path
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..sources.shared import application_dir
+from ..sources.shared import application_dir, write_file
 
 #: The six characters that separate words.
 SPACES = " \t\n\x0b\x0c\r"
@@ -31,10 +31,11 @@ def ship(spark: SparkSession) -> None:
     package = Path(__file__).resolve().parents[1]
     if spark.sparkContext.applicationId in _shipped or not package.is_dir():
         return
-    archive = f"{tempfile.mkdtemp(prefix='vendorlens-code-')}/vendorlens.zip"
-    with zipfile.ZipFile(archive, "w") as out:
+    archive, content = f"{work_dir(spark, 'code')}/vendorlens.zip", io.BytesIO()
+    with zipfile.ZipFile(content, "w") as out:
         for file in sorted(package.rglob("*.py")):
             out.write(file, file.relative_to(package.parent))
+    write_file(spark, archive, content.getvalue())
     spark.sparkContext.addPyFile(archive)
     _shipped.add(spark.sparkContext.applicationId)
 
