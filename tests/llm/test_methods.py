@@ -282,7 +282,7 @@ def test_segmentations_against_all_cuts():
 
     words = ["a", "abba", "zab", "baab", "b"]
     assert np.allclose(np.exp(model.logs(words))[:, 0], [brute("▁" + w) for w in words])
-    lattice = language_id.Lattice(words, model.pieces, model.other)
+    lattice = language_id.Lattice(words, model.pieces)
     share = lattice.expected(chances[lattice.piece, 0])
     # every letter lies in one piece of each segmentation
     covered = np.bincount(lattice.word, weights=share * (lattice.end - lattice.start), minlength=len(words))

@@ -15,7 +15,6 @@ as often as they occur. An empty table gives an empty result; other columns are
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -25,15 +24,14 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .chains import added_pieces
-from .common import hex_id, staged, table
+from .common import hex_id, ship, staged, table
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 #: Rounds of learning; letters of a word at most; smoothing count of a piece.
 ROUNDS, LONGEST, SMOOTH = 2, 32, 0.05
-#: Words a task holds before it passes counts on, or remembers before it forgets them all.
-HELD = 200_000
+#: Words a task holds before it passes counts on, and remembers before it forgets them all; texts it takes at once.
+HELD, REMEMBERED, TEXTS = 200_000, 400_000, 500
 
-_OTHERS = re.compile(r"[\W\d_]+")
 START = "▁"
 
 
@@ -46,34 +44,76 @@ def pieces_of(path: str = PIECES) -> list[str]:
 
 def words_in(token: str) -> list[str]:
     """Letters of a lower-case token, cut where it is too long."""
-    letters = _OTHERS.sub("", token)
+    letters = token if token.isalpha() else "".join(c for c in token if c.isalpha())
     return [letters[i : i + LONGEST] for i in range(0, len(letters), LONGEST)]
 
 
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
+
+
+def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of words that follow each other, and sums and powers for hashes of their parts."""
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    back = np.full(len(codes), _BACK)
+    power = np.full(len(codes), _BASE)
+    if len(codes):
+        back[0] = power[0] = 1
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * np.cumprod(back, dtype=np.uint64), dtype=np.uint64)])
+    return codes, sums, np.cumprod(power, dtype=np.uint64)
+
+
+def _hashes(sums: np.ndarray, power: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hashes of the ``size`` letters from each place on; the same letters have the same hash."""
+    out = (sums[at + size] - sums[at]) * power[at]
+    out ^= out >> np.uint64(31)
+    return out * np.uint64(0xFF51AFD7ED558CCD)
+
+
+class Pieces:
+    """Pieces by length: sorted hashes, their numbers, and a bitmap of the hashes' first bits."""
+
+    def __init__(self, names: list[str]):
+        self.other = len(names)
+        self.by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for size in sorted({len(n) for n in names}):
+            numbers = np.array([i for i, n in enumerate(names) if len(n) == size])
+            _, sums, power = _letters([names[i] for i in numbers])
+            found = _hashes(sums, power, np.arange(len(numbers)) * size, size)
+            order, bitmap = np.argsort(found), np.zeros(1 << 16, dtype=bool)
+            bitmap[found >> np.uint64(48)] = True
+            self.by_size[size] = found[order], numbers[order], bitmap
+
+
 class Lattice:
     """All pieces at all places of some words."""
 
-    def __init__(self, words: list[str], pieces: dict[str, int], other: int):
-        """``pieces`` also has the beginnings of pieces, as -1, so that a search ends early."""
-        starts, ends, piece, per_word = [], [], [], []
-        get = pieces.get
-        for bare in words:
-            w, before = START + bare, len(piece)
-            n = len(w)
-            for i in range(n):
-                j = i + 1
-                p = get(w[i:j])
-                if p is None or p < 0:  # no piece covers the letter alone
-                    starts.append(i), ends.append(j), piece.append(other)
-                while p is not None:
-                    if p >= 0:
-                        starts.append(i), ends.append(j), piece.append(p)
-                    j += 1
-                    if j > n:
-                        break
-                    p = get(w[i:j])
-            per_word.append(len(piece) - before)
-        word, start, end = np.repeat(np.arange(len(words)), per_word), starts, ends
+    def __init__(self, words: list[str], pieces: Pieces):
+        marked = [START + w for w in words]
+        lengths = np.array([len(w) for w in marked], dtype=np.int64)
+        first = np.concatenate([[0], np.cumsum(lengths)])[:-1].astype(np.int64)
+        codes, sums, power = _letters(marked)
+        owner = np.repeat(np.arange(len(words)), lengths)
+        inside = np.arange(len(codes)) - first[owner] if len(words) else np.zeros(0, np.int64)
+        room = lengths[owner] - inside if len(words) else inside
+        places, sizes, numbers = [], [], []
+        covered = np.zeros(len(codes), dtype=bool)
+        for size, (known, number, bitmap) in pieces.by_size.items():
+            at = np.flatnonzero(room >= size)
+            found = _hashes(sums, power, at, size)
+            near = np.flatnonzero(bitmap[found >> np.uint64(48)])
+            at, found = at[near], found[near]
+            slot = np.minimum(np.searchsorted(known, found), len(known) - 1)
+            hit = known[slot] == found
+            places.append(at[hit]), sizes.append(np.full(int(hit.sum()), size)), numbers.append(number[slot[hit]])
+            if size == 1:
+                covered[at[hit]] = True
+        bare = np.flatnonzero(~covered)  # letters that are no piece
+        places.append(bare), sizes.append(np.ones(len(bare), np.int64)), numbers.append(np.full(len(bare), pieces.other))
+        place, size = np.concatenate(places), np.concatenate(sizes)
+        piece, word = np.concatenate(numbers), owner[place]
+        start = inside[place]
+        end = start + size
         self.words, self.lengths = len(words), np.array([len(w) + 1 for w in words], dtype=np.int64)
         self.width = int(self.lengths.max(initial=0)) + 1
         order = np.argsort(np.array(end, dtype=np.int64), kind="stable")
@@ -109,6 +149,7 @@ class Lattice:
 
 def _count_words(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
+    cut: dict[str, list[str]] = {}
 
     def flush() -> pa.RecordBatch:
         keys = list(counts)
@@ -121,10 +162,15 @@ def _count_words(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches_in:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             for token, n in Counter((text.as_py() or "").lower().split()).items():
-                for word in words_in(token):
+                words = cut.get(token)
+                if words is None:
+                    words = cut[token] = words_in(token)
+                for word in words:
                     counts[lang, word] += n
             if len(counts) > HELD:
                 yield flush()
+            if len(cut) > HELD:
+                cut.clear()
     yield flush()
 
 
@@ -132,12 +178,11 @@ class Model:
     """Piece probabilities [piece, language]; the last piece is any other letter."""
 
     def __init__(self, pieces: list[str], languages: list[str], chances: np.ndarray):
-        self.pieces = {p[:n]: -1 for p in pieces for n in range(1, len(p))} | {p: i for i, p in enumerate(pieces)}
-        self.languages, self.chances, self.other = languages, chances, len(pieces)
+        self.pieces, self.languages, self.chances = Pieces(pieces), languages, chances
 
     def logs(self, words: list[str]) -> np.ndarray:
         """[word, language]: log probabilities, summed over segmentations."""
-        lattice = Lattice(words, self.pieces, self.other)
+        lattice = Lattice(words, self.pieces)
         return np.column_stack([
             np.log(lattice.totals(lattice.forward(self.chances[lattice.piece, k]))) for k in range(len(self.languages))
         ])
@@ -145,6 +190,7 @@ class Model:
 
 def learn(docs: DataFrame, train: Column, lang: str, text: str, path: str = PIECES, rounds: int = ROUNDS) -> Model:
     spark, names = docs.sparkSession, pieces_of(path)
+    ship(spark)
     rows = docs.where(train & F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
     counts = staged(
         rows.mapInArrow(_count_words, "lang string, word string, c bigint").groupBy("lang", "word").agg(F.sum("c").alias("c")),
@@ -161,7 +207,7 @@ def learn(docs: DataFrame, train: Column, lang: str, text: str, path: str = PIEC
             sums = np.zeros((len(m.languages), len(m.chances)))
             for batch in batches_in:
                 if batch.num_rows:
-                    lattice = Lattice(batch.column(1).to_pylist(), m.pieces, m.other)
+                    lattice = Lattice(batch.column(1).to_pylist(), m.pieces)
                     of = np.array([number[x] for x in batch.column(0).to_pylist()])[lattice.word]
                     times = batch.column(2).to_numpy()[lattice.word]
                     share = lattice.expected(m.chances[lattice.piece, of]) * times
@@ -177,42 +223,42 @@ def learn(docs: DataFrame, train: Column, lang: str, text: str, path: str = PIEC
 
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``key`` as doc_id, the predicted language and its posterior."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def task(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         many = len(model.languages)
         place: dict[str, int] = {}
-        logs = np.zeros((0, many))
+        logs = np.zeros((0, many + 1))  # sums over a token's words
         for batch in batches_in:
             found, scores = [], []
-            if len(place) > HELD:
-                place, logs = {}, np.zeros((0, many))
-            texts = [(t or "").lower().split() for t in batch.column(0).to_pylist()]
-            new = list(set().union(*texts).difference(place)) if texts and many else []
-            for low in range(0, len(new), 20_000):
-                part = new[low : low + 20_000]
-                cut = [words_in(t) for t in part]
-                words = [w for ws in cut for w in ws]
-                owner = np.repeat(np.arange(len(part)), [len(ws) for ws in cut])
-                sums = np.zeros((len(part), many + 1))  # the last column counts words
-                if words:
-                    per_word = np.column_stack([model.logs(words), np.ones(len(words))])
-                    for k in range(many + 1):
-                        sums[:, k] = np.bincount(owner, weights=per_word[:, k], minlength=len(part))
-                if not len(logs):
-                    logs = np.zeros((0, many + 1))
-                place.update(zip(part, range(len(logs), len(logs) + len(part))))
-                logs = np.concatenate([logs, sums])
-            for tokens in texts:
-                total = logs[[place[t] for t in tokens]].sum(0) if tokens and many else np.zeros(many + 1)
-                if not total[-1]:
-                    found.append("und"), scores.append(0.0)
-                    continue
-                total = total[:-1]
-                best = int(total.argmax())
-                found.append(model.languages[best])
-                scores.append(float(1 / np.exp(total - total[best]).sum()))
+            for low in range(0, batch.num_rows, TEXTS):
+                texts = [(t or "").lower().split() for t in batch.column(0).slice(low, TEXTS).to_pylist()]
+                if len(place) > REMEMBERED:
+                    place, logs = {}, np.zeros((0, many + 1))
+                new = list(set().union(*texts).difference(place)) if many else []
+                if new:
+                    cut = [words_in(t) for t in new]
+                    words = [w for ws in cut for w in ws]
+                    owner = np.repeat(np.arange(len(new)), [len(ws) for ws in cut])
+                    sums = np.zeros((len(new), many + 1))  # the last column counts words
+                    if words:
+                        per_word = np.column_stack([model.logs(words), np.ones(len(words))])
+                        for k in range(many + 1):
+                            sums[:, k] = np.bincount(owner, weights=per_word[:, k], minlength=len(new))
+                    place.update(zip(new, range(len(logs), len(logs) + len(new))))
+                    logs = np.concatenate([logs, sums])
+                for tokens in texts:
+                    at = np.fromiter(map(place.__getitem__, tokens), dtype=np.int64, count=len(tokens)) if many else []
+                    total = logs[at].sum(0) if len(at) else np.zeros(many + 1)
+                    if not total[-1]:
+                        found.append("und"), scores.append(0.0)
+                        continue
+                    total = total[:-1]
+                    best = int(total.argmax())
+                    found.append(model.languages[best])
+                    scores.append(float(1 / np.exp(total - total[best]).sum()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), pa.array(found, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
