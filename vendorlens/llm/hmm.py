@@ -5,7 +5,7 @@ are symbols of the model; every other word is emitted as one of `CLASSES` ending
 within its class by add-one counts, so known and unknown words have probabilities that sum to one. Baum-Welch: each
 round every task runs forward-backward over its training texts and returns expected counts in
 pieces; pieces are added across tasks, and only the model (states x symbols, of fixed size)
-comes to the driver. Scores come from the scaled forward recursion over whole texts.
+comes to the driver. Texts of more than `SEGMENT` tokens are trained on in parts. Scores come from the scaled forward recursion over whole texts.
 Counts of words outside the broadcast head reach the texts by a shuffled join on the word.
 
 Words are lower-cased (A-Z) and separated by white space; an end token closes each text. NULL and empty
@@ -26,14 +26,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .chains import Layout, batches
-from .common import hex_id, staged, table, work_dir
+from .chains import Layout, added_pieces, batches
+from .common import hex_id, ship, staged, table, work_dir
 
 STATES, ROUNDS = 8, 6
 #: Words that are symbols; words whose counts are broadcast; ending classes of the other words.
 HEAD, COUNTED, CLASSES = 1 << 16, 1 << 18, 2048
 #: Symbols in a piece of expected counts; distinct words a task holds before it passes counts on.
 PIECE, HELD = 4096, 250_000
+#: Tokens in a row that training looks at together: longer texts are trained on in parts.
+SEGMENT = 512
 #: Words' worth of unigram counts added to each state's emissions.
 PRIOR = 500.0
 
@@ -87,6 +89,22 @@ class Vocabulary:
         return counts / counts.sum()
 
 
+def _most_frequent(counts: DataFrame) -> list[tuple[int, bytes]]:
+    """(-count, word) of at most `COUNTED` words, all above some count, most frequent first."""
+    # a histogram of counts on a logarithmic scale tells from which count on there are few enough
+    steps = counts.groupBy(F.floor(F.log2("c") * 16).alias("step")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least"))
+    from_, words = None, 0
+    for row in sorted(steps.collect(), key=lambda r: -r["step"]):  # some hundred rows
+        words += row["n"]
+        if words > COUNTED:
+            break
+        from_ = row["least"]
+    if from_ is None:
+        return []
+    found = counts.where(F.col("c") >= from_).select("c", "word").toArrow()
+    return sorted(zip((-c for c in found.column(0).to_pylist()), found.column(1).to_pylist()))
+
+
 def vocabulary(docs: DataFrame, train: Column, key: str, text: str) -> tuple[Vocabulary, DataFrame]:
     """The vocabulary and the table of all word counts (word, c)."""
     learned = docs.where(train).select(F.col(f"`{text}`").cast("binary").alias("text"))
@@ -94,18 +112,20 @@ def vocabulary(docs: DataFrame, train: Column, key: str, text: str) -> tuple[Voc
         learned.mapInArrow(_count_words, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c")), "words")
     texts = docs.where(train).count()
     tokens, types = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(COUNTED).collect()  # bounded
+    top = _most_frequent(counts)
     outside = F.lit(False)
     if len(top) > HEAD:
-        last = top[HEAD - 1]
-        outside = (F.col("c") < last["c"]) | ((F.col("c") == last["c"]) & (F.col("word") > F.lit(bytearray(last["word"]))))
+        least, word = top[HEAD - 1]
+        outside = (F.col("c") < -least) | ((F.col("c") == -least) & (F.col("word") > F.lit(bytearray(word))))
+    elif len(top) < types:
+        outside = F.col("c") < -top[-1][0] if top else F.lit(True)
     kind = F.crc32(F.expr("substring(word, greatest(length(word) - 2, 1), 3)")) % CLASSES
     classes = counts.where(outside).groupBy(kind.alias("kind")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
     class_tokens, class_types = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     for row in classes:
         class_tokens[row["kind"]], class_types[row["kind"]] = row["n"], row["v"]
     return Vocabulary(
-        [bytes(r["word"]) for r in top], np.array([r["c"] for r in top], dtype=np.int64),
+        [w for _, w in top], np.array([-c for c, _ in top], dtype=np.int64),
         (tokens or 0) + texts, types + (texts > 0), texts, class_tokens, class_types, min(HEAD, len(top))), counts
 
 
@@ -142,13 +162,13 @@ def encode(docs: DataFrame, train: Column, key: str, text: str, known: Vocabular
                     kind = ending_class(words[i])
                     symbols[i] = head + kind
                     inside -= class_log[kind]
-                out["symbols"].append(symbols)
+                out["symbols"].append(symbols.tobytes())
                 out["n_tokens"].append(len(words) + 1)
                 out["n_known"].append(len(near) + (v.texts > 0))
                 out["base"].append(float(base_log[near].sum()) + base_end + unknown * len(lost))
                 out["inside"].append(inside)
                 out["far"].append([{"word": w, "times": n} for w, n in far.items()])
-            kinds = [pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
+            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
                      pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], *[pa.array(x, k) for x, k in zip(out.values(), kinds)]],
@@ -158,7 +178,7 @@ def encode(docs: DataFrame, train: Column, key: str, text: str, known: Vocabular
         F.col(f"`{text}`").cast("binary").alias("text"), F.monotonically_increasing_id().alias("row"),
         F.col(f"`{key}`").cast("bigint").alias("doc_id"), train.alias("train"))
     coded = rows.mapInArrow(
-        task, "row bigint, doc_id bigint, train boolean, symbols array<int>, n_tokens bigint, n_known bigint, base double, "
+        task, "row bigint, doc_id bigint, train boolean, symbols binary, n_tokens bigint, n_known bigint, base double, "
         "inside double, far array<struct<word:binary,times:bigint>>")
     path = work_dir(docs.sparkSession, "coded")
     coded.write.option("compression", "zstd").parquet(path)
@@ -246,13 +266,17 @@ class Expected:
                 yield low, part.tobytes()
 
 
-def _sequences(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Symbols and lengths of batches of sequences."""
-    lengths = column.value_lengths().to_numpy().astype(np.int64)
-    flat = column.flatten().to_numpy()
-    ends = np.concatenate([[0], np.cumsum(lengths)])
-    for low, high in batches(lengths.tolist()):
-        yield flat[ends[low] : ends[high]], lengths[low:high]
+def _sequences(column: pa.Array, longest: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Symbols and lengths of batches of sequences; those above ``longest`` are cut into several."""
+    texts = [np.frombuffer(x.as_buffer(), dtype=np.int32) for x in column]
+    for low, high in batches([len(t) for t in texts]):
+        lengths = np.array([len(t) for t in texts[low:high]], dtype=np.int64)
+        if longest is not None:
+            pieces = -(-lengths // longest)
+            last = lengths - (pieces - 1) * longest
+            lengths = np.full(int(pieces.sum()), longest, dtype=np.int64)
+            lengths[np.cumsum(pieces) - 1] = last
+        yield np.concatenate(texts[low:high]), lengths
 
 
 def baum_welch(coded: DataFrame, model: Model, rounds: int = ROUNDS) -> tuple[Model, list[float]]:
@@ -265,27 +289,16 @@ def baum_welch(coded: DataFrame, model: Model, rounds: int = ROUNDS) -> tuple[Mo
         def task(batches_in: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             expected = Expected(shared.value)
             for batch in batches_in:
-                for symbols, lengths in _sequences(batch.column(0)):
+                for symbols, lengths in _sequences(batch.column(0), SEGMENT):
                     expected.add(symbols, lengths)
             rows = list(expected.pieces())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["piece", "counts"])
 
-        def added(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums: dict[int, np.ndarray] = {}
-            for batch in rows:
-                for piece, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    part = np.frombuffer(counts.as_buffer(), dtype=np.float64)
-                    sums[piece] = sums[piece] + part if piece in sums else part.copy()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.int64()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["piece", "counts"])
-
-        # tasks' pieces of one place meet in one partition, which holds their sums only
-        parts = train.mapInArrow(task, "piece bigint, counts binary").repartition("piece").mapInArrow(
-            added, "piece bigint, counts binary").collect()
+        parts = added_pieces(train.mapInArrow(task, "piece bigint, counts binary"))
         if prior is None:
             prior = model.emit.mean(1)
-        model, log = _maximised(model, {r["piece"]: np.frombuffer(bytes(r["counts"]), np.float64) for r in parts}, prior)
+        model, log = _maximised(model, parts, prior)
         logs.append(log)
         shared.unpersist()
     return model, logs
@@ -317,6 +330,7 @@ def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text
           rounds: int = ROUNDS) -> DataFrame:
     """Per document: id, whether it was trained on, token counts, log10 probabilities of base and model."""
     spark = docs.sparkSession
+    ship(spark)
     known, counts = vocabulary(docs, train, key, text)
     coded = encode(docs, train, key, text, known)
     unigram = known.unigram()
