@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Tokens that are laid out at once; a longer sequence is laid out alone.
-BATCH_TOKENS = 1 << 21
+BATCH_TOKENS = 1 << 19
 
 
 class Layout:

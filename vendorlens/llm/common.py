@@ -9,8 +9,10 @@ from __future__ import annotations
 import io
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -23,6 +25,17 @@ LOCATOR = ("_file", "_row")
 FILTER_BITS = 1 << 26
 
 
+#: Rows of text that a task turns into Python objects at once.
+SLICE = 1_000
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Batches in slices of few rows, so that a task's memory does not follow the size of Arrow batches."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 _shipped: set[str] = set()
 
 

@@ -29,14 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import table
+from .common import ship, sliced, table
 
 #: Most edits of a match, as a share of the item's words; the recall of items with that many edits.
 EDITS, RECALL = 0.2, 0.95
 #: Output positions in a sample; most repeats; words in a block of items; words handled at once.
 SAMPLE, REPEATS, BLOCK_WORDS, STRIP = 5, 24, 200_000, 1 << 18
 #: Words whose hashes a task remembers before it forgets them all.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 _EDGES = re.compile(r"^\W+|\W+$")
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -253,6 +253,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
          item_text: str = "text", edits: float = EDITS, recall: float = RECALL) -> DataFrame:
     """A row per contaminated document and item: ids, word edits, item's words, code-point range of the passage."""
     spark = docs.sparkSession
+    ship(spark)
     kept = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{key}`").alias("doc_id"))
     kind = benchmark.select(F.col(f"`{item}`")).schema[0].dataType.simpleString()
     schema = f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, item_id {kind}, distance int, item_words int, start int, end int"
@@ -266,7 +267,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
 def _find_task(shared, items: pa.DataType):
     def task(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, normal = shared.value, Normal()
-        for batch in batches_in:
+        for batch in sliced(batches_in):
             texts = [t or "" for t in batch.column(0).to_pylist()]
             rows = []
             for low, high in _strips(texts):
@@ -290,13 +291,14 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                       item_text: str = "text", edits: float = EDITS, recall: float = RECALL) -> DataFrame:
     """``docs`` without those that hold an item of the benchmark; all columns."""
     spark, at = docs.sparkSession, docs.columns.index(text)
+    ship(spark)
     out = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     for block in blocks(benchmark, item, item_text):
         shared = spark.sparkContext.broadcast(Index(block, edits, recall))
 
         def task(batches_in: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, normal = shared.value, Normal()
-            for batch in batches_in:
+            for batch in sliced(batches_in):
                 texts = [t or "" for t in batch.column(at).to_pylist()]
                 clean = []
                 for low, high in _strips(texts):

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import LOCATOR, located, plain_scan, rows_in, staged, table, without_rows
+from .common import LOCATOR, located, plain_scan, rows_in, sliced, staged, table, without_rows
 from .components import components
 from .shingles import Words, shingles
 
@@ -86,7 +86,7 @@ def _text_sets(column: pa.Array, words: Words) -> list[np.ndarray]:
 def _sketch(bands: int, rows: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
-        for batch in batches:
+        for batch in sliced(batches):
             sets = _text_sets(batch.column(0), words)
             filled = [i for i, s in enumerate(sets) if len(s)]
             hashes = signatures([sets[i] for i in filled], bands, rows).view(np.int64) if filled else []
@@ -104,7 +104,7 @@ def _sketch(bands: int, rows: int):
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = Words()
-    for batch in batches:
+    for batch in sliced(batches):
         sets = _text_sets(batch.column(0), words)
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[1:], pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],

@@ -7,7 +7,7 @@ import xxhash
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Words whose hashes a task remembers before it forgets them all.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 
 class Words:

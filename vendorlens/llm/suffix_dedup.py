@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import located, plain_scan, rows_in, staged, table, work_dir
+from .common import located, plain_scan, rows_in, sliced, staged, table, work_dir
 from .shingles import Words
 
 #: Words of a repeat, and of the sequences whose hashes choose the suffixes.
@@ -66,7 +66,7 @@ def _words(text: str | None) -> list[bytes]:
 def _anchors(length: int, gram: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
-        for batch in batches:
+        for batch in sliced(batches):
             owner, places, hashes = [], [], []
             for i, text in enumerate(batch.column(0)):
                 p, h = minimisers(words((text.as_py() or "").encode("utf-8", "surrogatepass")), length, gram)

@@ -28,18 +28,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .chains import Layout, batches
-from .common import hex_id, staged, table
+from .common import hex_id, ship, sliced, staged, table
 
 #: Labelled documents that feature counts are learned from: (toxic, clean).
 SAMPLE = (8_000, 16_000)
 #: Of these, how many of each kind the field's weights are fitted on, and their longest text.
-FIT, FIT_CHARS = 1_500, 20_000
+FIT, FIT_CHARS = 1_000, 8_000
 #: Most informative features kept, and steps of the fit.
-FEATURES, STEPS = 50_000, 60
+FEATURES, STEPS = 20_000, 60
 #: Least toxic documents times log lift of a feature that marks tokens as toxic.
 MARK = 25.0
 #: Words whose scores a task remembers before it forgets them all.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 _EDGES = re.compile(r"^\W+|\W+$")
 SPANS = "array<struct<start:int,end:int>>"
@@ -225,6 +225,7 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPL
 
 def fit(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) -> Field:
     """Learn the field from a bounded sample of labelled documents."""
+    ship(docs.sparkSession)
     rows = staged(labelled(docs, labels, sample), "toxic-sample")
     sizes = {r["mark"]: r["n"] for r in rows.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
@@ -263,25 +264,23 @@ def _spans(text: str, toxic: np.ndarray) -> list[dict]:
 
 def score(docs: DataFrame, field: Field, columns: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``columns`` of ``docs`` with ``score`` and ``spans`` (code-point offsets of toxic spans)."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(field)  # at most FEATURES weights
 
     def task(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field, known = shared.value, {}
-        for batch in batches_in:
+        for batch in sliced(batches_in):
             texts = [t or "" for t in batch.column(0).to_pylist()]
             scores, spans = np.zeros(len(texts)), [[]] * len(texts)
             sizes = [t.count(" ") + 1 for t in texts]  # near enough to cut batches
             for low, high in batches(sizes):
-                tokens = [t.lower().split() for t in texts[low:high]]
-                lengths = np.array([len(t) for t in tokens])
-                emissions = np.empty(int(lengths.sum()))
-                at = 0
-                for words in tokens:
+                parts = []
+                for t in texts[low:high]:  # one text's tokens at a time
+                    words = t.lower().split()
                     for w in set(words).difference(known):
                         known[w] = field.emission(w)
-                    emissions[at : at + len(words)] = [known[w] for w in words]
-                    at += len(words)
-                del tokens
+                    parts.append(np.fromiter(map(known.__getitem__, words), dtype=float, count=len(words)))
+                lengths, emissions = np.array([len(x) for x in parts]), np.concatenate(parts)
                 marginals = field.marginals(emissions, lengths)
                 scores[low:high] = field.scores(field.evidence(marginals, lengths))
                 first = np.concatenate([[0], np.cumsum(lengths)])
