@@ -363,6 +363,24 @@ def test_repeated_spans_against_all_windows(spark):
     assert found == want
 
 
+def test_repeats_of_a_run_over_many_tasks(spark):
+    """One document's suffixes with the same first words fill several tasks; the other document follows inside the last one."""
+    shared = [prose(900 + i, 60, 900) for i in range(8)]
+    rows = [(0, "so " * 700, "en", "a", 1), (1, "so " * 40, "en", "a", 1)]
+    rows += [(2 + i, shared[i % 8], "en", "a", 1) for i in range(16)]
+    names = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        spark.conf.set(names[0], "false"), spark.conf.set(names[1], "8")
+        found: dict[int, set[int]] = {}
+        for r in suffix_dedup.repeated_spans(documents(spark, rows).coalesce(1), length=20, gram=8).collect():
+            found.setdefault(r["doc_id"], set()).update(range(r["start_word"], r["end_word"]))
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+    assert found == repeated_words([r[:2] for r in rows], 20)
+
+
 def test_archive_lookup(spark):
     hosts = ["b.example.org", "a.example.org", "example.org", "x.net"]
     pages = [(i, f"http://{hosts[i % 4]}/p/{i // 8}" if i % 50 else None, f"<p>{i % 90}</p>") for i in range(400)]

@@ -9,7 +9,8 @@ extended word by word right and left; `LENGTH` words in all are a repeat. A seco
 the left, finds the neighbours that share most on that side. Where the two sides together would allow a repeat that no single
 neighbour has, the windows in question are compared by digest, so none is missed. Sorting is by ranges over words, document and place, so
 suffixes of a passage that a third of all documents share lie in many tasks, each of which holds
-one document's run of suffixes; runs at the ends of tasks are compared in a last small step. Overlapping
+one document's run of suffixes. A run at the end of a task meets the nearest suffix of another document, however
+many tasks away: a few rows for each task say which one. Overlapping
 repeats of a document are joined to spans.
 
 A match reaches `LENGTH` words to the right of a minimiser and to the last possible start on its left;
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import located, plain_scan, rows_in, sliced, staged, table, work_dir
@@ -123,38 +125,47 @@ def _shared(a: list[bytes], b: list[bytes]) -> int:
 _FIELDS = ("h", "right", "left", "k1", "k2", "place", "doc_id")
 
 
-def _neighbours(length: int, kind: pa.DataType, edges: bool):
+def _match(a: tuple, b: tuple) -> tuple[int, int]:
+    """Words that two suffixes (left, right) share to the left and to the right."""
+    return _shared(a[0].split(), b[0].split()), _shared(a[1].split(), b[1].split())
+
+
+#: What a row at the end of a task is: in its first run, in its last run, its first row, its last row, next to one of these runs.
+FIRST, LAST, LEAD, TAIL, BESIDE = 1, 2, 4, 8, 16
+
+
+def _neighbours(kind: pa.DataType):
     """Words before and after its place that a suffix shares with neighbours of other documents, in sorted rows.
 
-    With ``edges`` the runs at both ends of the task are returned too, to be compared with those of the tasks beside it.
+    The runs at both ends of the task are returned too, to meet the tasks beside it, and so are the suffixes
+    of other documents next to these runs, which the runs of the tasks beside it may have to meet.
     """
 
-    def match(a: tuple, b: tuple) -> tuple[int, int]:
-        """Words that two suffixes share to the left and to the right."""
-        return _shared(a[2].split(), b[2].split()), _shared(a[1].split(), b[1].split())
-
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []
-        kept: list[tuple] = []
         run: list[tuple] = []  # suffixes of the last document, in a row
         first: list[tuple] = []
+        after: tuple | None = None  # the next document's first suffix after the first run
         before: tuple | None = None  # the last suffix of the document before the run
+        number = TaskContext.get().partitionId()
 
-        def take(a: tuple, shared: tuple[int, int]) -> None:
-            found.append((a[3], a[4], a[5], *shared, a[6], a[0]))
+        def take(a: tuple, b: tuple) -> None:
+            found.append((a[3], a[4], a[5], *_match((a[2], a[1]), (b[2], b[1])), a[6], a[0]))
 
-        def out() -> pa.RecordBatch:
+        def out(kept: list[tuple]) -> pa.RecordBatch:
             pairs = list(zip(*found)) if found else [[]] * 7
-            ends = list(zip(*kept)) if kept else [[]] * 7
+            ends, marks = list(zip(*[row for row, _ in kept])) if kept else [[]] * 7, [mark for _, mark in kept]
             n, m = len(found), len(kept)
             columns = [
                 pa.array([*pairs[0], *ends[3]], pa.int64()), pa.array([*pairs[1], *ends[4]], pa.int64()),
                 pa.array([*pairs[2], *ends[5]], pa.int64()), pa.array([*pairs[3], *[None] * m], pa.int32()),
                 pa.array([*pairs[4], *[None] * m], pa.int32()), pa.array([*pairs[5], *ends[6]], kind),
                 pa.array([*pairs[6], *ends[0]], pa.int64()), pa.array([*[None] * n, *ends[1]], pa.binary()),
-                pa.array([*[None] * n, *ends[2]], pa.binary())]
-            found.clear(), kept.clear()
-            return pa.RecordBatch.from_arrays(columns, ["k1", "k2", "place", "before", "after", "doc_id", "h", "right", "left"])
+                pa.array([*[None] * n, *ends[2]], pa.binary()), pa.array([None] * n + [number] * m, pa.int32()),
+                pa.array([None] * n + marks, pa.int32())]
+            found.clear()
+            return pa.RecordBatch.from_arrays(
+                columns, ["k1", "k2", "place", "before", "after", "doc_id", "h", "right", "left", "task", "mark"])
 
         for batch in batches:
             for row in zip(*[batch.column(i).to_pylist() for i in range(7)]):
@@ -163,32 +174,79 @@ def _neighbours(length: int, kind: pa.DataType, edges: bool):
                     first, run, before = first or run, [], None
                 elif other:
                     for earlier in run:  # each suffix of the run meets the next document's first
-                        take(earlier, match(earlier, row))
-                    first, run, before = first or run, [], run[-1]
+                        take(earlier, row)
+                    if not first:
+                        first, after = run, row
+                    run, before = [], run[-1]
                 if before:  # and the previous document's last
-                    take(row, match(before, row))
+                    take(row, before)
                 run.append(row)
                 if len(found) >= ROWS:
-                    yield out()
-        if edges:
-            kept.extend(first)
-            kept.extend(run)
-        yield out()
+                    yield out([])
+        yield out([])
+        if run:
+            marked = [[row, FIRST] for row in first] + [[row, LAST if first else FIRST | LAST] for row in run]
+            marked[0][1] |= LEAD
+            marked[-1][1] |= TAIL
+            marked += [[row, BESIDE] for row in (after, before) if row]
+            for low in range(0, len(marked), ROWS):
+                yield out(marked[low : low + ROWS])
 
     return task
 
 
-def compared(contexts: DataFrame, order: list[str], length: int, kind: str, arrow: pa.DataType) -> DataFrame:
+def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The nearest suffix of another document outside the task, for the first run of a task and for the last, in sorted rows."""
+    waiting: list[int] = []  # tasks whose last run is the present one
+    last = before = None
+    for batch in batches:
+        out = []
+        for row in zip(*[batch.column(i).to_pylist() for i in range(7)]):
+            h, right, left, document, task, mark = *row[:3], row[3:5], row[5], row[6]
+            if last and last[0] != h:
+                waiting, before = [], None
+            elif last and last[3] != document:
+                out += [(t, LAST, left, right) for t in waiting]
+                waiting, before = [], last
+            if mark & LEAD and before:
+                out.append((task, FIRST, before[2], before[1]))
+            if mark & TAIL:
+                waiting.append(task)
+            last = (h, right, left, document)
+        columns = list(zip(*out)) if out else [[]] * 4
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
+            ["task", "side", "other_left", "other_right"])
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Suffixes with what they share with their partners."""
+    for batch in batches:
+        left, right, other_left, other_right = (batch.column(i).to_pylist() for i in range(4))
+        pairs = [_match((a, b), (c, d)) for a, b, c, d in zip(left, right, other_left, other_right)]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[4:], pa.array([p[0] for p in pairs], pa.int32()), pa.array([p[1] for p in pairs], pa.int32())],
+            [*batch.schema.names[4:], "before", "after"])
+
+
+def compared(contexts: DataFrame, order: list[str], kind: str, arrow: pa.DataType) -> DataFrame:
     """What each suffix shares with its neighbours in ``order``: a row for each comparison."""
-    schema = f"k1 bigint, k2 bigint, place bigint, before int, after int, doc_id {kind}, h bigint, right binary, left binary"
+    columns = f"k1 bigint, k2 bigint, place bigint, doc_id {kind}, h bigint, before int, after int"
     found = staged(
         contexts.select(*_FIELDS).repartitionByRange(*order).sortWithinPartitions(*order)
-        .mapInArrow(_neighbours(length, arrow, True), schema), "compared")
-    # runs at the ends of tasks: two for each task
-    seams = found.where("before is null").select(*_FIELDS).coalesce(1).sortWithinPartitions(*order).mapInArrow(
-        _neighbours(length, arrow, False), schema)
-    columns = (*ROW, "place", "doc_id", "h", "before", "after")
-    return found.where("before is not null").select(*columns).unionByName(seams.select(*columns))
+        .mapInArrow(_neighbours(arrow), f"k1 bigint, k2 bigint, place bigint, before int, after int, doc_id {kind}, h bigint, "
+                    "right binary, left binary, task int, mark int"), "compared")
+    ends = found.where("mark is not null")
+    # at most four rows for each task decide whom its first and its last run meet; the runs themselves stay spread
+    partners = staged(
+        ends.where(F.col("mark") >= LEAD).select(*order[:3], *_FIELDS[3:6], "task", "mark").coalesce(1).sortWithinPartitions(*order)
+        .select("h", "right", "left", *ROW, "task", "mark").mapInArrow(
+            _partners, "task int, side int, other_left binary, other_right binary"), "partners")
+    sides = F.filter(F.array(F.lit(FIRST), F.lit(LAST)), lambda side: F.col("mark").bitwiseAND(side) != 0)
+    met = ends.withColumn("side", F.explode(sides)).join(partners, ["task", "side"]).select(
+        "left", "right", "other_left", "other_right", *ROW, "place", "doc_id", "h").mapInArrow(_met, columns)
+    names = (*ROW, "place", "doc_id", "h", "before", "after")
+    return found.where("mark is null").select(*names).unionByName(met.select(*names))
 
 
 def undecided(by_right: DataFrame, by_left: DataFrame, length: int) -> DataFrame:
@@ -275,8 +333,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         _contexts(length, gram), f"h bigint, right binary, left binary, k1 bigint, k2 bigint, place bigint, doc_id {kind}"
     ).write.option("compression", "zstd").parquet(path)
     contexts = docs.sparkSession.read.parquet(path)
-    by_right = compared(contexts, ["h", "right", "left", "k1", "k2", "place"], length, kind, arrow)
-    by_left = compared(contexts, ["h", "left", "right", "k1", "k2", "place"], length, kind, arrow)
+    by_right = compared(contexts, ["h", "right", "left", "k1", "k2", "place"], kind, arrow)
+    by_left = compared(contexts, ["h", "left", "right", "k1", "k2", "place"], kind, arrow)
     suffixes = staged(undecided(by_right, by_left, length), "compared-suffixes")
     sure = suffixes.select(*ROW, "place", "doc_id", F.explode("sure").alias("s")).select(
         *ROW, (F.col("place") - F.col("s.before")).alias("start"), (F.col("place") + F.col("s.after")).alias("end"), "doc_id")
