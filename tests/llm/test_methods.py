@@ -422,3 +422,22 @@ def test_trust_travels_along_links(spark):
     for _ in range(url_filter.ROUNDS):
         t, d = 0.15 * seed_t + 0.85 * w.T @ t, 0.15 * seed_d + 0.85 * w @ d
     assert np.allclose([found[h]["trust"] for h in hosts], t / 0.15) and np.allclose([found[h]["distrust"] for h in hosts], d / 0.15)
+
+
+def test_trust_of_long_chains_is_settled(spark):
+    """Hosts more than ten links from a seed, and a cycle, against the solved linear system."""
+    hosts = ["h0.net", *[f"h{i}.com" for i in range(1, 13)], "good.org", "friend.com"]
+    links = {hosts[i]: [hosts[i - 1]] for i in range(1, 13)} | {"good.org": ["friend.com"], "friend.com": ["good.org"] + [f"x{i}.com" for i in range(9)]}
+    pages = [(i, f"http://{h}/{'fr/' if h == 'good.org' else 'x'}", "".join(f'<a href="http://{t}/">x</a>' for t in links.get(h, []))) for i, h in enumerate(hosts)]
+    found = {r["host"]: r for r in url_filter.judge(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    index = {h: i for i, h in enumerate(hosts + [f"x{i}.com" for i in range(9)])}
+    w = np.zeros((len(index), len(index)))
+    for a, bs in links.items():
+        for b in bs:
+            w[index[a], index[b]] = 1 / len(bs)
+    seed_t, seed_d = np.zeros(len(index)), np.zeros(len(index))
+    seed_t[index["good.org"]] = seed_d[index["h0.net"]] = 1.0
+    t, d = np.linalg.solve(np.eye(len(index)) - 0.85 * w.T, seed_t), np.linalg.solve(np.eye(len(index)) - 0.85 * w, seed_d)
+    assert np.allclose([found[h]["trust"] for h in hosts], [t[index[h]] for h in hosts], atol=1e-8)
+    assert np.allclose([found[h]["distrust"] for h in hosts], [d[index[h]] for h in hosts], atol=1e-8)
+    assert [found[h]["verdict"] for h in hosts[1:13]] == ["block"] * 4 + ["allow"] * 8

@@ -4,7 +4,7 @@ A rule names a host (with its subdomains) and the beginning of a path; of the ru
 the longest decides. Hosts are joined by their pages' links: an edge runs from a page's host to the host of
 each absolute link, weighted by its share of the host's links. Trust starts at hosts by the share of their pages that
 allow rules cover, distrust by the share that block rules cover. Personalised PageRank moves
-trust along the edges; distrust moves against them, to hosts that link to blocked ones. A URL without a rule is
+trust along the edges; distrust moves against them, to hosts that link to blocked ones, until both are settled. A URL without a rule is
 blocked if its host's distrust is at least `BLOCK` and above its trust, else allowed.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: from there up
@@ -28,9 +28,9 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-#: Share that moves on, rounds of moving, distrust that blocks.
+#: Share that moves on, rounds of moving written out in the SQL, distrust that blocks.
 DAMPING, ROUNDS, BLOCK = 0.85, 10, 0.5
-#: Moves smaller than this end the rounds early.
+#: Rounds end when all that is still to move cannot change a host's trust or distrust by more than this.
 SETTLED = 1e-9
 
 
@@ -70,33 +70,34 @@ def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     return pairs.join(out, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("weight"))
 
 
-def propagate(hosts: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """``hosts`` (host, trust_seed, distrust_seed) with trust and distrust, on the scale of the seeds."""
+def propagate(hosts: DataFrame, edges: DataFrame, damping: float = DAMPING) -> DataFrame:
+    """``hosts`` (host, trust_seed, distrust_seed) with trust and distrust, on the scale of the seeds.
+
+    Each round moves on what came in the round before and adds it up, so the sums never pass the settled values.
+    """
     spark_edges = staged(edges, "edges")
     state = staged(hosts.select("host", "trust_seed", "distrust_seed", F.col("trust_seed").alias("trust"), F.col("distrust_seed").alias("distrust")), "trust")
     if spark_edges.isEmpty():
         return state
     everyone = spark_edges.select(F.col("src").alias("host")).unionByName(spark_edges.select(F.col("dst").alias("host"))).distinct()
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0)).alias(c)
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    # a host no edge reaches keeps its seed: restarts are on the scale of the seeds
     state = staged(everyone.join(state, "host", "full").select(
-        "host", *map(zero, ("trust_seed", "distrust_seed", "trust", "distrust"))), "trust")
-    for _ in range(rounds):
-        forward = spark_edges.join(state.select(F.col("host").alias("src"), "trust"), "src").groupBy(
-            F.col("dst").alias("host")).agg(F.sum(F.col("trust") * F.col("weight")).alias("came"))
-        backward = spark_edges.join(state.select(F.col("host").alias("dst"), "distrust"), "dst").groupBy(
-            F.col("src").alias("host")).agg(F.sum(F.col("distrust") * F.col("weight")).alias("back"))
-        came, back = F.coalesce("came", F.lit(0.0)), F.coalesce("back", F.lit(0.0))
-        trust = (1 - damping) * F.col("trust_seed") + damping * came
-        distrust = (1 - damping) * F.col("distrust_seed") + damping * back
-        moved = staged(state.join(forward, "host", "left").join(backward, "host", "left").select(
-            "host", "trust_seed", "distrust_seed", trust.alias("trust"), distrust.alias("distrust"),
-            (F.abs(trust - F.col("trust")) + F.abs(distrust - F.col("distrust"))).alias("move")), "trust")
-        state = moved.drop("move")
-        if (moved.agg(F.max("move")).first()[0] or 0.0) < SETTLED:
-            break
-    # a host no edge reaches keeps its seed: scale restarts back up
-    scale = 1 - damping
-    return state.withColumn("trust", F.col("trust") / scale).withColumn("distrust", F.col("distrust") / scale)
+        "host", *[zero(c).alias(c) for c in ("trust_seed", "distrust_seed", "trust", "distrust")],
+        zero("trust").alias("trust_step"), zero("distrust").alias("distrust_step")), "trust")
+    while True:
+        # all trust that moves shrinks by the damping, and so does the largest distrust of a host
+        trust_left, distrust_left = state.agg(F.sum("trust_step"), F.max("distrust_step")).first()
+        if max(trust_left or 0.0, distrust_left or 0.0) * damping / (1 - damping) < SETTLED:
+            return state.drop("trust_step", "distrust_step")
+        forward = spark_edges.join(state.where("trust_step > 0").select(F.col("host").alias("src"), "trust_step"), "src").groupBy(
+            F.col("dst").alias("host")).agg(F.sum(F.col("trust_step") * F.col("weight")).alias("came"))
+        backward = spark_edges.join(state.where("distrust_step > 0").select(F.col("host").alias("dst"), "distrust_step"), "dst").groupBy(
+            F.col("src").alias("host")).agg(F.sum(F.col("distrust_step") * F.col("weight")).alias("back"))
+        came, back = damping * zero("came"), damping * zero("back")
+        state = staged(state.join(forward, "host", "left").join(backward, "host", "left").select(
+            "host", "trust_seed", "distrust_seed", (F.col("trust") + came).alias("trust"), (F.col("distrust") + back).alias("distrust"),
+            came.alias("trust_step"), back.alias("distrust_step")), "trust")
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -120,7 +121,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    """The same rules and as many rounds of moving, written out."""
+    """The same rules and `ROUNDS` rounds of moving, written out: equal where links settle in them, as in the given pages."""
     by_length = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
     case = lambda value: "CASE " + " ".join(
         f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{value(k, h, p)}'" for k, h, p in by_length) + " END"
