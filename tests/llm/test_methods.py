@@ -97,6 +97,26 @@ def test_toxicity_on_held_out_documents(spark):
     assert hit and all(any(x in h for x in stems) for h in hit)
 
 
+@pytest.mark.parametrize("clean_words", [60, 2_500])
+def test_toxicity_learns_from_long_documents(spark, clean_words):
+    """Toxic documents, then all documents, are longer than 8,000 characters."""
+    rows, labels = [], []
+    for i in range(160):
+        toxic = i % 4 == 0
+        words = prose(i, 2_500 if toxic else clean_words).split()
+        if toxic:
+            for k in range(6):
+                words.insert(300 * k + i, "vile" + "a" * (k % 3))
+        rows.append((i, " ".join(words), "en", "a", 1))
+        labels.append((i, 1, int(toxic)))
+    docs = documents(spark, rows)
+    field = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    if clean_words > 60:  # unseen texts, longer still; without long clean texts to learn from they cannot be told apart
+        rows += [(1_000, prose(1_000, 6_000), "en", "a", 1), (1_001, prose(1_001, 6_000) + " vile vilea vileaa vile", "en", "a", 1)]
+    scored = {r["doc_id"]: r["score"] >= 0.5 for r in toxicity.score(documents(spark, rows), field).collect()}
+    assert scored == {i: i == 1_001 or (i < 1_000 and i % 4 == 0) for i in scored}
+
+
 def _distance(pattern, text):
     before = [0] * (len(text) + 1)
     for i, a in enumerate(pattern):

@@ -8,7 +8,7 @@ gradient steps on forward-backward expectations. Marginals of all tokens of a wh
 the expected number of toxic tokens and the surest one; a logistic fit on those is the score.
 
 The model is fitted on a bounded sample of labelled rows (`SAMPLE`, `FIT`), chosen by a hash
-of the id; every document is scored over its whole text, and neither labels nor any column but the text
+of the id from texts of all lengths; every document is scored over its whole text, and neither labels nor any column but the text
 enter a score. NULL and empty texts score as texts without toxic tokens. Labels with NULL id or
 mark are not learned from; a document with several labels is toxic if one says so. Documents
 without a label are scored like any other; repeated ids give repeated rows. Without usable labels of both kinds, scores are
@@ -32,7 +32,8 @@ from .common import hex_id, ship, sliced, staged, table
 
 #: Labelled documents that feature counts are learned from: (toxic, clean).
 SAMPLE = (8_000, 16_000)
-#: Of these, how many of each kind the field's weights are fitted on, and their longest text.
+#: Of these, how many of each kind the field's weights are fitted on at most, and the characters to draw for each of them:
+#: texts of any length are drawn whole until `FIT` * `FIT_CHARS` characters of a kind are reached.
 FIT, FIT_CHARS = 1_000, 8_000
 #: Most informative features kept, and steps of the fit.
 FEATURES, STEPS = 20_000, 60
@@ -128,11 +129,11 @@ def fit_field(texts: list[str], toxic: list[int], marks: dict[str, bool]) -> Fie
                 words[t] = len(words)
                 seen.append([known[f] for f in features(t) if f in known])
             ids.append(words[t])
-    ids, lengths = np.array(ids, dtype=np.int64), np.array(lengths)
+    ids, lengths = np.array(ids, dtype=np.int64), np.array(lengths, dtype=np.int64)
     flags = np.array([bool(fs) and bool(marking[fs].any()) for fs in seen], dtype=bool)
     gold = flags[ids] & np.repeat(np.array(toxic, dtype=bool), lengths)
     # (word, feature) pairs, to spread expectations over features
-    pair_word = np.repeat(np.arange(len(seen)), [len(fs) for fs in seen])
+    pair_word = np.repeat(np.arange(len(seen)), np.array([len(fs) for fs in seen], dtype=np.int64))
     pair_feature = np.array([f for fs in seen for f in fs], dtype=np.int64)
 
     layout = Layout(lengths)
@@ -243,10 +244,26 @@ def fit(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) ->
     )
     # a mark is far commoner in toxic documents, and too often so for chance
     marks = {r["feature"]: r["lift"] > 10 and r["toxic"] * math.log(r["lift"]) > MARK for r in best}
-    order = (F.xxhash64("id"), F.col("id"))
-    small = rows.where(F.length("text") <= FIT_CHARS)
-    fitted = [r for mark in (1, 0) for r in small.where(F.col("mark") == mark).orderBy(*order).limit(FIT).collect()]
-    return fit_field([r["text"] for r in fitted], [r["mark"] for r in fitted], marks)
+    fitted = [(text, mark) for mark in (1, 0) for text in drawn(rows.where(F.col("mark") == mark))]
+    if len({mark for _, mark in fitted}) < 2:
+        return Field({}, -10.0, np.zeros((2, 2)))
+    return fit_field([text for text, _ in fitted], [mark for _, mark in fitted], marks)
+
+
+def drawn(rows: DataFrame) -> list[str]:
+    """Whole texts in the order of their ids' hashes, whatever their lengths: at most `FIT`, until the characters are reached.
+
+    The text that reaches them is the last one.
+    """
+    rows = rows.select(F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("id").alias("_h"), "id")
+    order = ("_h", "id", F.xxhash64("text"))
+    sizes = rows.orderBy(*order).limit(FIT).select("_h", F.length("text").alias("n")).collect()
+    if not sizes:
+        return []
+    total = np.cumsum([r["n"] for r in sizes])
+    count = min(len(sizes), int(np.searchsorted(total, FIT * FIT_CHARS)) + 1)
+    # only texts up to the last one wanted are sorted with their content
+    return [r["text"] for r in rows.where(F.col("_h") <= sizes[count - 1]["_h"]).orderBy(*order).limit(count).collect()]
 
 
 def _spans(text: str, toxic: np.ndarray) -> list[dict]:
