@@ -166,6 +166,17 @@ def test_decontamination_against_all_passages(spark):
     assert kept == {r[0] for r in rows} - {i for i, _ in got}
 
 
+@pytest.mark.parametrize("words", [60, 200, 500])
+def test_recall_of_a_single_long_item(words):
+    """One item alone in its size class; fresh edit patterns at the most edits a match may have."""
+    index, random_ = decontamination.Index([(0, prose(77, words, 5_000))]), np.random.default_rng(123)
+    item = index.items[0][1]
+    edited = [decontamination._edited(item, int(0.2 * len(item)), random_) for _ in range(200)]
+    filler = decontamination.Normal()(prose(78, 100, 5_000))
+    found = index.search([np.concatenate([filler, e, filler]) for e in edited])
+    assert sum(map(bool, found)) >= 0.93 * len(edited)  # 95 % less the chance of 200 draws
+
+
 def test_benchmark_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "BLOCK_WORDS", 30)
     items = [(i, prose(50 + i, 25)) for i in range(4)]

@@ -4,9 +4,9 @@ Texts are sequences of words (lower case, punctuation at their edges ignored). T
 word by word: at each step it outputs the current word and moves on if a random bit of
 (step, word) says so. Windows at a small edit distance then give outputs at a small Hamming
 distance, so samples of few output positions often agree; each repeat has a walk and a
-sample of its own. The number of repeats is the least one that reaches the target recall on the items
-themselves with as many random edits as a match may have. Items are cut into windows at every word, documents at every few
-words; the window size follows the item's size (half to a quarter of its words), so a leaked passage
+sample of its own. The number of repeats is the least one that reaches the target recall on many random edit patterns
+of the items with as many edits as a match may have; where it would be too large, windows are halved. Items are cut into windows at every word, documents at every few
+words; the window size follows the item's size (half to a quarter of its words, or less for the recall), so a leaked passage
 covers several document windows. A collision is verified: the edit distance of the whole item to
 the best-fitting passage around the window must be at most `EDITS` of the item's words.
 
@@ -33,8 +33,10 @@ from .common import ship, sliced, table
 
 #: Most edits of a match, as a share of the item's words; the recall of items with that many edits.
 EDITS, RECALL = 0.2, 0.95
-#: Output positions in a sample; most repeats; words in a block of items; words handled at once.
+#: Output positions in a sample; most repeats before windows are halved; words in a block of items; words handled at once.
 SAMPLE, REPEATS, BLOCK_WORDS, STRIP = 5, 24, 200_000, 1 << 18
+#: Random edit patterns that the recall of a window size is measured on: least for each item, and least in all.
+PATTERNS = (4, 200)
 #: Words whose hashes a task remembers before it forgets them all.
 REMEMBERED = 200_000
 
@@ -122,7 +124,14 @@ class Index:
         self.classes: dict[int, list[int]] = {}
         for i, (_, words) in enumerate(self.items):
             self.classes.setdefault(window_size(len(words)), []).append(i)
-        self.tables = {size: self._table(size, members, recall) for size, members in self.classes.items()}
+        # windows of a class may end up as short as those of another
+        plans: dict[int, list[tuple[int, list[int]]]] = {}
+        for members in self.classes.values():
+            size, repeats = self._plan(members, recall)
+            plans.setdefault(size, []).append((repeats, members))
+        self.tables = {
+            size: [self._entry(size, [i for n, members in parts if repeat < n for i in members], repeat) for repeat in range(max(parts)[0])]
+            for size, parts in plans.items()}
 
     def _windows(self, sequences: list[np.ndarray], size: int, stride: int = 1) -> tuple[np.ndarray, ...]:
         """Sequences with gaps of zeros, starts of windows, and the sequence and offset of each."""
@@ -136,26 +145,38 @@ class Index:
         join = lambda x: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64)
         return words, join(starts), join(owner), join(offset)
 
-    def _table(self, size: int, members: list[int], recall: float) -> list[tuple]:
-        """Per repeat: sorted keys, their items, their offsets and a bitmap of their low bits."""
+    def _entry(self, size: int, members: list[int], repeat: int) -> tuple:
+        """Sorted keys, their items, their offsets and a bitmap of their low bits."""
         words, starts, owner, offset = self._windows([self.items[i][1] for i in members], size)
-        trial, random = [], np.random.default_rng(size)
-        for i in members:
-            trial.append(_edited(self.items[i][1], int(self.edits * len(self.items[i][1])), random))
-        edited = self._windows(trial, size, stride(size))
-        found = np.zeros(len(members), dtype=bool)
-        out = []
-        for repeat in range(REPEATS):
-            own = keys(words, starts, size, repeat)
-            order = np.argsort(own, kind="stable")
-            bitmap = np.zeros(1 << 16, dtype=bool)
-            bitmap[own & np.uint64(0xFFFF)] = True
-            out.append((own[order], np.array(members)[owner[order]], offset[order], bitmap))
-            for w, _, item, _ in _collisions(out[-1], keys(edited[0], edited[1], size, repeat)):
-                found[edited[2][w]] |= item == members[edited[2][w]]
-            if found.mean() >= recall:
-                break
-        return out
+        own = keys(words, starts, size, repeat)
+        order = np.argsort(own, kind="stable")
+        bitmap = np.zeros(1 << 16, dtype=bool)
+        bitmap[own & np.uint64(0xFFFF)] = True
+        return own[order], np.array(members)[owner[order]], offset[order], bitmap
+
+    def _plan(self, members: list[int], recall: float) -> tuple[int, int]:
+        """Window size and repeats that find ``recall`` of the items with as many random edits as a match may have.
+
+        Measured on many edit patterns of each item, all of them in every repeat; the lower bound of the measured share counts.
+        Where `REPEATS` do not reach it, windows are halved; windows of one word find whatever shares a word.
+        """
+        size, random = window_size(len(self.items[members[0]][1])), np.random.default_rng(members[0])
+        owners = [i for i in members for _ in range(max(PATTERNS[0], -(-PATTERNS[1] // len(members))))]
+        slack = np.array([int(self.edits * len(self.items[i][1])) for i in owners])
+        patterns = [_edited(self.items[i][1], n, random) for i, n in zip(owners, slack.tolist())]
+        while True:
+            words, starts, owner, offset = self._windows(patterns, size, stride(size))
+            found = np.zeros(len(owners), dtype=bool)
+            for repeat in range(REPEATS):
+                for w, at, item, _ in _collisions(self._entry(size, members, repeat), keys(words, starts, size, repeat)):
+                    n = owner[w]
+                    found[n] |= item == owners[n] and abs(int(offset[w]) - at) <= slack[n]
+                share = found.mean()
+                if share - 1.64 * (share * (1 - share) / len(found)) ** 0.5 >= recall:
+                    return size, repeat + 1
+            if size == 1:
+                return size, REPEATS
+            size //= 2
 
     def search(self, documents: list[np.ndarray]) -> list[dict[int, tuple[int, int, int]]]:
         """Per document: item number -> (distance, first word, end) of its best passage."""
