@@ -6,7 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vendorlens.llm import decontamination, exact_dedup, hmm, language_id, mixing, ngram_join, suffix_dedup, toxicity, url_filter, warc
+from vendorlens.llm import (
+    decontamination, exact_dedup, hard_negatives, hmm, language_id, mixing, ngram_join, periodic_runs, rule_quality, suffix_dedup, toxicity,
+    url_filter, warc,
+)
 
 from .cases import CLASHES, documents, odd_rows
 
@@ -33,6 +36,8 @@ OPERATORS = {
     "language": lambda spark, docs: language_id.identify(docs, language_id.learn(docs, _train(), "lang", "text")),
     "toxicity": lambda spark, docs: toxicity.score(docs, toxicity.fit(docs, _labels(spark))),
     "hmm": lambda spark, docs: hmm.score(docs, _train(), states=2, rounds=2),
+    "quality": lambda spark, docs: rule_quality.score(docs, rule_quality.fit(docs, _labels(spark))),
+    "runs": lambda spark, docs: periodic_runs.periodic_runs(docs, fold=periodic_runs.folded_places),
 }
 FILTERS = {
     "exact": lambda spark, docs: exact_dedup.drop_exact_copies(docs),

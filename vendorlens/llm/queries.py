@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, hmm, language_id, mixing, ngram_join, suffix_dedup, toxicity, url_filter, warc
+from . import (
+    decontamination, exact_dedup, hard_negatives, hmm, language_id, mixing, ngram_join, periodic_runs, rule_quality, suffix_dedup, toxicity,
+    url_filter, warc,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +24,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
         "op9_warc": warc.op9_warc,
         "op10_url_filter": url_filter.op10_url_filter,
+        "op11_rule_quality": rule_quality.op11_rule_quality,
+        "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+        "op13_periodic_runs": periodic_runs.op13_periodic_runs,
     }
 
 
@@ -29,4 +35,5 @@ def oracles() -> dict[str, str]:
         "op1_exact_dedup": exact_dedup.ORACLE,
         "op9_warc": warc.ORACLE,
         "op10_url_filter": url_filter.ORACLE,
+        "op12_hard_negatives": hard_negatives.ORACLE,
     }
