@@ -1,19 +1,26 @@
-"""Exact quantiles of columns of any length, in one plan that runs no job of its own.
+"""Exact quantiles of columns of any length by radix selection, in one plan that runs no job of its own.
 
-A bounded sketch brackets each wanted rank and the rows up to each cut are counted. The values
-of a bracket are then counted in `CELLS` cells of equal width, and only the values of the one
-cell that holds a wanted rank are put in order. The sketch and the cells decide how little is
-ordered, never the result: all counts are exact.
+A double becomes a 64-bit key that sorts like it. Each of `PASSES` scans counts one digit of 16 bits: the first
+one of all values, the later ones only of values whose earlier digits are those of a wanted rank.
+A task counts its values in Arrow batches of the wide rows, all columns at once, and sends
+counts of digits; no value is shuffled, sorted or sketched, whatever the spread of a column. The state between two
+scans, a few numbers for each wanted rank, is a scalar subquery that rides on the first row of every partition.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-ACCURACY = 10_000  # sketch ranks are within 1/ACCURACY of the rows
-CELLS = 1 << 16  # cells of a bracket; a task orders their counts, and the values of one cell
+from ..sources.shared import ship
+
+BITS, PASSES = 16, 4
+_SIGN = np.uint64(1 << 63)
+_ROW_BITS = 33  # monotonically_increasing_id: partition number above 33 row bits
+_COUNTED = "label string, prefix bigint, digit int, place int, rank bigint, n bigint, v double"
 
 
 def long_form(df: DataFrame, columns: Sequence[str], label: str = "column") -> DataFrame:
@@ -22,94 +29,156 @@ def long_form(df: DataFrame, columns: Sequence[str], label: str = "column") -> D
     return doubles.unpivot([], list(columns), label, "value").dropna(subset=["value"])  # drops NaN too
 
 
-def _cut_points(probs: Sequence[float]) -> list[float]:
-    """Two cuts around each probability, wider apart than the sketch can err."""
-    margin = 2.0 / ACCURACY
-    return sorted({min(max(p + side, 0.0), 1.0) for p in probs for side in (-margin, margin)})
+def keys_of(values: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit keys that sort like the values; both zeros have one key."""
+    bits = (values + 0.0).view(np.uint64)
+    return np.where(bits & _SIGN, ~bits, bits | _SIGN)
+
+
+def values_of(keys: np.ndarray) -> np.ndarray:
+    return np.where(keys & _SIGN, keys & ~_SIGN, ~keys).view(np.float64)
+
+
+class _Counter:
+    """A task's counts of the ``number``-th digit, by label and the digits before it."""
+
+    def __init__(self, number: int, state: list[dict] | None):
+        self.number, self.shift = number, np.uint64(64 - BITS * (number + 1))
+        self.state = state or []
+        self.wanted: dict[str, np.ndarray] = {}
+        for label in {s["label"] for s in self.state}:
+            self.wanted[label] = np.array(sorted({s["prefix"] for s in self.state if s["label"] == label}), dtype=np.uint64)
+        self.counts: dict[str, np.ndarray] = {}
+
+    def add(self, label: str, column: pa.Array) -> None:
+        values = column.drop_null().to_numpy(zero_copy_only=False)
+        values = values[~np.isnan(values)]
+        wanted = self.wanted.get(label, np.zeros(1, np.uint64)) if self.number == 0 else self.wanted.get(label)
+        if wanted is None or not len(values):
+            return
+        keys = keys_of(values)
+        digits = (keys >> self.shift) & np.uint64((1 << BITS) - 1)
+        if self.number:
+            prefixes = keys >> (self.shift + np.uint64(BITS))
+            place = np.minimum(np.searchsorted(wanted, prefixes), len(wanted) - 1)
+            mine = wanted[place] == prefixes
+            digits = digits[mine] + (place[mine].astype(np.uint64) << np.uint64(BITS))
+        if label not in self.counts:
+            self.counts[label] = np.zeros(len(wanted) << BITS, dtype=np.int64)
+        self.counts[label] += np.bincount(digits.astype(np.int64), minlength=len(wanted) << BITS)
+
+    def out(self) -> Iterator[pa.RecordBatch]:
+        """Cells that hold values; and the wanted ranks, from each task alike."""
+        names = [c.split()[0] for c in _COUNTED.split(", ")]
+        for label, counts in self.counts.items():
+            at = np.flatnonzero(counts)
+            prefix = self.wanted[label][at >> BITS] if self.number else np.zeros(len(at), np.uint64)
+            digit = (at & ((1 << BITS) - 1)).astype(np.int32)
+            none = np.ones(len(at), dtype=bool)
+            last = values_of((prefix << np.uint64(BITS)) | digit.astype(np.uint64)) if self.number == PASSES - 1 else np.zeros(len(at))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([label] * len(at), pa.string()), pa.array(prefix.astype(np.int64)), pa.array(digit),
+                pa.array(np.zeros(len(at), np.int32), mask=none), pa.array(np.zeros(len(at), np.int64), mask=none),
+                pa.array(counts[at]), pa.array(last)], names)
+        s = self.state
+        yield pa.RecordBatch.from_arrays([
+            pa.array([x["label"] for x in s], pa.string()), pa.array([x["prefix"] for x in s], pa.int64()), pa.array([-1] * len(s), pa.int32()),
+            pa.array([x["place"] for x in s], pa.int32()), pa.array([x["rank"] for x in s], pa.int64()),
+            pa.array([0] * len(s), pa.int64()), pa.array([0.0] * len(s), pa.float64())], names)
+
+
+def _count_digits(number: int, labels: list[str] | None):
+    """A scan's task: the state is in the first row; then come columns of numbers, or a label and its number."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if counter is None:
+                counter = _Counter(number, batch.column(0)[0].as_py())
+            if labels is not None:
+                for i, label in enumerate(labels):
+                    counter.add(label, batch.column(i + 1))
+                continue
+            coded = batch.column(1).dictionary_encode()
+            place = coded.indices.to_numpy(zero_copy_only=False)
+            for i, label in enumerate(coded.dictionary.to_pylist()):
+                counter.add(label, batch.column(2).filter(pa.array(place == i)))
+        if counter is not None:
+            yield from counter.out()
+
+    return task
+
+
+def _selected(rows: DataFrame, labels: list[str] | None, probs: Sequence[float]) -> DataFrame:
+    """The values of the wanted ranks: (label, place, v); ``place`` counts two ranks for each of ``probs``."""
+    wanted = ", ".join(f"{float(p)!r}D" for p in probs)
+    ranks = f"""flatten(transform(array({wanted}), (p, i) -> array(
+        struct(int(2 * i) AS place, bigint(floor((total - 1) * p)) AS rank),
+        struct(int(2 * i + 1) AS place, bigint(least(floor((total - 1) * p) + 1, total - 1)) AS rank))))"""
+    first_row = F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1) == 0
+    shape = "array<struct<label:string,place:int,prefix:bigint,rank:bigint>>"
+    state = None
+    for number in range(PASSES):
+        carried = F.lit(None).cast(shape) if state is None else F.when(first_row, state)
+        counted = rows.select(carried.alias("_state"), *rows.columns).mapInArrow(_count_digits(number, labels), _COUNTED)
+        cells = counted.groupBy("label", "prefix", "digit", "place", "rank").agg(F.sum("n").alias("n"), F.max("v").alias("v"))
+        group = Window.partitionBy("label", "prefix")
+        upto = group.orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)
+        if state is None:
+            cells = cells.withColumn("total", F.sum("n").over(group)).withColumn("ranks", F.expr(ranks))
+        else:  # the ranks that the tasks sent along
+            cells = cells.withColumn("ranks", F.collect_list(F.when(F.col("digit") < 0, F.struct("place", "rank"))).over(group))
+        found = cells.where("digit >= 0").withColumn("past", F.sum("n").over(upto)).select(
+            "label", "prefix", "digit", "v", "n", "past",
+            F.expr("inline(filter(ranks, r -> r.rank >= past - n AND r.rank < past))"))
+        found = found.select(
+            "label", "place", ((F.col("prefix") * (1 << BITS)) + F.col("digit")).alias("prefix"),
+            (F.col("rank") - F.col("past") + F.col("n")).alias("rank"), "v")
+        if number < PASSES - 1:  # the last prefix would be the whole key, which is not wanted
+            state = found.agg(F.collect_list(F.struct("label", "place", "prefix", "rank"))).scalar()
+    return found.select("label", "place", "v")
+
+
+def _interpolated(rows: DataFrame, labels: list[str] | None, probs: Sequence[float], counts: DataFrame) -> DataFrame:
+    """Quantiles with linear interpolation: (label, p, quantile). ``counts`` has n for each label."""
+    ship(rows.sparkSession)
+    index = F.floor(F.col("place") / 2).cast("int")
+    ends = _selected(rows, labels, probs).groupBy("label", index.alias("i")).agg(
+        F.max(F.when(F.col("place") % 2 == 0, F.col("v"))).alias("low"), F.max(F.when(F.col("place") % 2 == 1, F.col("v"))).alias("high"))
+    p = F.element_at(F.array(*[F.lit(float(x)) for x in probs]), F.col("i") + 1)
+    sizes = counts.agg(F.map_from_entries(F.collect_list(F.struct("label", "n")))).scalar()
+    share = (F.col("n") - 1) * F.col("p") - F.floor((F.col("n") - 1) * F.col("p"))
+    return ends.withColumn("p", p).withColumn("n", F.element_at(sizes, F.col("label"))).select(
+        "label", "p", (F.col("low") + (F.col("high") - F.col("low")) * share).alias("quantile"))
+
+
+def wide_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], label: str = "column") -> DataFrame:
+    """Quantiles of several columns at once, as rows (``label``, p, quantile), without unpivoting a row.
+
+    NULL and NaN are left out; a column without values gives no rows.
+    """
+    names = list(columns)
+    rows = df.select([F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(names)])
+    there = [F.struct(F.lit(c).alias("label"), F.count_if(F.col(f"v{i}").isNotNull() & ~F.isnan(f"v{i}")).alias("n")) for i, c in enumerate(names)]
+    counts = rows.agg(F.array(*there).alias("c")).select(F.inline("c"))
+    return _interpolated(rows, names, probs, counts).withColumnRenamed("label", label)
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: str | None = None) -> DataFrame:
     """Quantiles with linear interpolation, as rows (``by``, p, quantile).
 
     ``by`` names a column with a small fixed set of values, such as measure names or
-    size labels. NULL and NaN values are left out; a group without values gives no rows.
-    The column is scanned four times and never shuffled: only counts and the values of single
-    cells move.
+    size labels: a task holds the counts of each. NULL and NaN values are left out, as are rows without a label;
+    a group without values gives no rows. The column is scanned five times and never shuffled: only counts move.
     """
-    keys = [by] if by else []
-    rows = df.select(*keys, F.col(value).cast("double").alias("v"))
-    rows = rows.where(F.col("v").isNotNull() & ~F.isnan("v"))
-
-    def attach(small: DataFrame, name: str) -> DataFrame:
-        """``rows`` with a column of ``small``, which has one row per group."""
-        if keys:
-            return rows.join(small.select(*keys, name), keys)
-        return rows.withColumn(name, small.select(name).scalar())
-
-    # 1. a sketch per group: as many numbers as there are cuts
-    points = _cut_points(probs)
-    cuts = rows.groupBy(*keys).agg(F.percentile_approx("v", points, ACCURACY).alias("cuts"))
-
-    # 2. exact number of rows up to each cut
-    upto = ", ".join(f"count_if(v <= cuts[{i}])" for i in range(len(points)))
-    same = ", ".join(f"max(cuts[{i}])" for i in range(len(points)))  # equal on all rows of a group
-    counted = attach(cuts, "cuts").groupBy(*keys).agg(
-        F.expr(f"array({same})").alias("cuts"), F.expr(f"array({upto})").alias("upto"), F.count("v").alias("n"),
-        F.min("v").alias("least"), F.max("v").alias("greatest"),
-    ).where("n > 0")
-
-    # 3. the ranks around each probability, and the cuts around those; an end may be open
-    wanted = ", ".join(f"{float(p)!r}D" for p in probs)
-    ranks = f"""transform(array({wanted}), p -> struct(
-        p, floor((n - 1) * p) AS low, least(floor((n - 1) * p) + 1, n - 1) AS high,
-        (n - 1) * p - floor((n - 1) * p) AS share))"""
-    zones = """transform(ranks, r -> struct(
-        r, size(filter(upto, rows -> rows <= r.low)) AS below, size(filter(upto, rows -> rows <= r.high)) AS past))"""
-    bounds = f"""transform(zones, z -> struct(
-        z.r.p AS p, z.r.low AS low, z.r.high AS high, z.r.share AS share,
-        get(cuts, z.below - 1) AS above, get(cuts, z.past) AS most,
-        coalesce(get(cuts, z.below - 1), least) AS bottom,
-        (coalesce(get(cuts, z.past), greatest) - coalesce(get(cuts, z.below - 1), least)) / {CELLS} AS width,
-        coalesce(get(upto, z.below - 1), 0) AS before))"""
-    brackets = counted
-    for name, step in (("ranks", ranks), ("zones", zones), ("brackets", bounds)):
-        brackets = brackets.withColumn(name, F.expr(step))
-
-    # 4. count the values of each bracket by cell, and find the cells of the ranks
-    inside = "({0}.above IS NULL OR v > {0}.above) AND ({0}.most IS NULL OR v <= {0}.most)"
-    cell = f"CASE WHEN {{0}}.width > 0 AND {{0}}.width < double('infinity') THEN least({CELLS - 1}, floor((v - {{0}}.bottom) / {{0}}.width)) ELSE 0 END"
-    picked = f"transform(filter(brackets, b -> {inside.format('b')}), b -> struct(b.p AS p, {cell.format('b')} AS cell))"
-    any_inside = " OR ".join(f"({inside.format(f'brackets[{i}]')})" for i in range(len(probs)))
-    cells = (
-        attach(brackets, "brackets").where(any_inside).select(*keys, F.expr(f"inline({picked})"))
-        .groupBy(*keys, "p", "cell").agg(F.count(F.lit(1)).alias("rows"))
-    )
-    facts = brackets.select(*keys, F.expr("inline(brackets)"))
-    order = Window.partitionBy(*keys, "p").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-    past = F.col("before") + F.sum("rows").over(order)
-    holds = "({0} >= past - rows AND {0} < past)"
-    targets = (
-        cells.join(facts, [*keys, "p"]).withColumn("past", past)
-        .where(f"{holds.format('low')} OR {holds.format('high')}")
-        .groupBy(*keys).agg(F.collect_list(F.struct(
-            "p", "cell", "low", "high", "share", "above", "most", "bottom", "width", (F.col("past") - F.col("rows")).alias("start"),
-        )).alias("targets"))  # two for each wanted rank at most
-    )
-
-    # 5. order the values of those cells only, equal values as one row
-    mine = f"{inside.format('t')} AND {cell.format('t')} = t.cell"
-    found = attach(targets, "targets").where(f"exists(targets, t -> {mine})").select(
-        *keys, "v", F.expr(f"inline(filter(targets, t -> {mine}))"))
-    order = Window.partitionBy(*keys, "p", "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    values = (
-        found.groupBy(*keys, "v", "p", "cell", "low", "high", "share", "start").agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("past", F.col("start") + F.sum("copies").over(order))
-    )
-    at = "max(CASE WHEN {0} >= past - copies AND {0} < past THEN v END)"
-    low, high = at.format("low"), at.format("high")
-    return values.groupBy(*keys, "p").agg(
-        F.expr(f"{low} + ({high} - {low}) * max(share)").alias("quantile")
-    )
+    if by is None:
+        return wide_quantiles(df, [value], probs, "_label").drop("_label")
+    rows = df.select(F.col(by).cast("string").alias("label"), F.col(value).cast("double").alias("v"))
+    rows = rows.where(F.col("label").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
+    counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return _interpolated(rows, None, probs, counts).withColumnRenamed("label", by)
 
 
 def quantile_columns(quantiles: DataFrame, names: dict[str, float], by: str | None = None) -> DataFrame:
@@ -127,4 +196,3 @@ def with_quantiles(df: DataFrame, value: str, names: dict[str, float]) -> DataFr
     """Attach named quantiles of a column to each row, through a scalar subquery."""
     one = quantile_row(df, value, names).select(F.struct(*names).alias("q")).scalar()
     return df.withColumn("_q", one).select("*", *[f"_q.{n}" for n in names]).drop("_q")
-

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.numbers import exact_mean
 from ..functions.student import t_critical, t_two_sided_p
 from .clean import numeric_columns
-from .quantiles import exact_quantiles, long_form, quantile_columns, with_quantiles
+from .quantiles import exact_quantiles, long_form, quantile_columns, wide_quantiles, with_quantiles
 
 BINS = 30
 GRID = 200
@@ -20,12 +20,13 @@ QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles, one row per numeric column."""
-    values = long_form(df, columns or numeric_columns(df))
+    columns = list(columns or numeric_columns(df))
+    values = long_form(df, columns)
     moments = values.groupBy("column").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
     )
-    quartiles = exact_quantiles(values, "value", list(QUARTILES.values()), by="column")
+    quartiles = wide_quantiles(df, columns, list(QUARTILES.values()))
     return moments.join(quantile_columns(quartiles, QUARTILES, by="column"), "column").select(
         "column", "count", "mean", "std", "min", *QUARTILES, "max"
     )
@@ -121,6 +122,13 @@ def _edges(values: DataFrame, bins: int) -> DataFrame:
     ).withColumn("step", (F.col("high") - F.col("low")) / bins)
 
 
+def _with_facts(values: DataFrame, facts: DataFrame, *names: str) -> DataFrame:
+    """Attach a row of facts to each value by its column: few by the meaning of ``column``, so no value is shuffled for it."""
+    found = facts.agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct(*names))))).scalar()
+    placed = values.withColumn("_facts", found).withColumn("_fact", F.try_element_at("_facts", F.col("column")))
+    return placed.where("_fact IS NOT NULL").select("column", "value", "_fact.*")
+
+
 def _edge(i: Column, bins: int) -> Column:
     return F.when(i == bins, F.col("high")).otherwise(i * F.col("step") + F.col("low"))
 
@@ -140,7 +148,7 @@ def histogram(values: DataFrame, bins: int = BINS) -> DataFrame:
     """
     edges = _edges(values, bins)
     counts = (
-        values.join(edges, "column")
+        _with_facts(values, edges, "low", "high", "step")
         .groupBy("column", _bin_of(bins).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
     )
     frame = edges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
@@ -181,12 +189,8 @@ def density(values: DataFrame, grid: int = GRID, bins: int = BINS) -> DataFrame:
         "column", "low", "high", "step",
         (F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("bandwidth"),
     )
-    # a value for each column: few by the meaning of ``column``, attached without a join
-    facts = edges.agg(F.map_from_entries(F.collect_list(F.struct(
-        "column", F.struct("low", "high", "bandwidth"))))).scalar()
-    placed = values.withColumn("_facts", facts).withColumn("_fact", F.try_element_at("_facts", F.col("column")))
     sums = (
-        placed.where("_fact IS NOT NULL").select("column", "value", "_fact.*")
+        _with_facts(values, edges, "low", "high", "bandwidth")
         .mapInPandas(_kernel_sums(grid), "column string, point int, weight double")
         .groupBy("column", "point").agg(F.sum("weight").alias("weight"))
     )
@@ -198,15 +202,23 @@ def density(values: DataFrame, grid: int = GRID, bins: int = BINS) -> DataFrame:
 
 
 def boxplot(values: DataFrame) -> DataFrame:
-    """Quartiles, whiskers within 1.5 interquartile ranges, and the rows beyond them."""
-    quartiles = quantile_columns(
-        exact_quantiles(values, "value", list(QUARTILES.values()), by="column"), QUARTILES, by="column"
-    )
+    """Quartiles, whiskers within 1.5 interquartile ranges, and the rows beyond them, of (column, value) rows."""
+    return _boxplot(values, exact_quantiles(values, "value", list(QUARTILES.values()), by="column"))
+
+
+def boxplot_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """`boxplot` of numeric columns side by side."""
+    columns = list(columns or numeric_columns(df))
+    return _boxplot(long_form(df, columns), wide_quantiles(df, columns, list(QUARTILES.values())))
+
+
+def _boxplot(values: DataFrame, quantiles: DataFrame) -> DataFrame:
+    quartiles = quantile_columns(quantiles, QUARTILES, by="column")
     reach = (F.col("q75") - F.col("q25")) * 1.5
     low, high = F.col("q25") - reach, F.col("q75") + reach
     x = F.col("value")
     return (
-        values.join(quartiles, "column")
+        _with_facts(values, quartiles, *QUARTILES)
         .groupBy("column", *QUARTILES)
         .agg(
             F.min(F.when(x >= low, x)).alias("lowest"), F.max(F.when(x <= high, x)).alias("highest"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import exact_mean, exact_sum, round_cents, safe_ratio
 from ..functions.text import dollars
-from .quantiles import exact_quantiles, long_form, quantile_columns, with_quantiles
+from .quantiles import wide_quantiles, with_quantiles
 
 # The shares that bound low sales and high margins.
 LOW_SALES, HIGH_MARGIN = 0.15, 0.85
@@ -36,9 +36,8 @@ def brand_performance(rows: DataFrame) -> DataFrame:
 
 
 def _with_thresholds(brands: DataFrame) -> DataFrame:
-    """Attach the low-sales and high-margin bounds, both from one pass over ``brands``."""
-    measures = long_form(brands, ["TotalSalesDollars", "ProfitMargin"])
-    found = exact_quantiles(measures, "value", [LOW_SALES, HIGH_MARGIN], by="column")
+    """Attach the low-sales and high-margin bounds, both from the same scans of ``brands``."""
+    found = wide_quantiles(brands, ["TotalSalesDollars", "ProfitMargin"], [LOW_SALES, HIGH_MARGIN])
 
     def pick(column: str, p: float) -> Column:
         return F.max(F.when((F.col("column") == column) & (F.col("p") == p), F.col("quantile")))
@@ -134,8 +133,7 @@ def order_sizes(rows: DataFrame) -> DataFrame:
     Bins are closed on the right. Quantities too alike to give three bins raise.
     """
     quantity = F.col("TotalPurchaseQuantity")
-    bounds = {"least": 0.0, "third": 1 / 3, "two_thirds": 2 / 3, "most": 1.0}
-    edges = list(bounds)
+    edges = ["least", "third", "two_thirds", "most"]
     alike = F.lit(False)
     for a, b in zip(edges, edges[1:]):
         alike = alike | (F.col(a) == F.col(b))
@@ -146,7 +144,11 @@ def order_sizes(rows: DataFrame) -> DataFrame:
         .when(quantity.isNotNull(), SIZES[2])
     )
     price = F.try_divide(F.col("TotalPurchaseDollars"), quantity)
-    sized = with_quantiles(rows, "TotalPurchaseQuantity", bounds)
+    number = F.col("TotalPurchaseQuantity").cast("double")
+    number = F.when(~F.isnan(number), number)
+    ends = rows.agg(F.struct(F.min(number).alias("least"), F.max(number).alias("most"))).scalar()
+    thirds = with_quantiles(rows, "TotalPurchaseQuantity", {"third": 1 / 3, "two_thirds": 2 / 3})
+    sized = thirds.withColumn("_ends", ends).select("*", "_ends.*").drop("_ends")
     return sized.withColumns({"UnitPurchasePrice": price, "OrderSize": size}).drop(*edges)
 
 

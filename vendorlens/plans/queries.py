@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import dollars
 from ..operators import clean, dedupe, features, ids, profile, stats, summary, vendors
-from ..operators.quantiles import exact_quantiles, long_form
+from ..operators.quantiles import exact_quantiles, long_form, wide_quantiles
 from ..sources.schemas import RAW_SCHEMAS
 from ..sources.shared import application_dir
 from ..sources.files import ingest_directory, write_csv
@@ -111,10 +111,8 @@ def _describe(ws: Workspace) -> DataFrame:
     return _rounded(stats.describe(ws.mart()), 6, "mean", "std", "q25", "q50", "q75")
 
 
-def _boxplot(values: DataFrame) -> DataFrame:
-    return _rounded(
-        stats.boxplot(values), 6, "q25", "q50", "q75", "whisker_low", "whisker_high"
-    )
+def _boxplot(found: DataFrame) -> DataFrame:
+    return _rounded(found, 6, "q25", "q50", "q75", "whisker_low", "whisker_high")
 
 
 def _histogram(values: DataFrame) -> DataFrame:
@@ -132,7 +130,8 @@ def _quantiles(ws: Workspace) -> DataFrame:
 
 def _quartiles_bracketed(ws: Workspace) -> DataFrame:
     """Quartiles of every mart number."""
-    return _rounded(exact_quantiles(_all_numbers(ws), "value", [0.25, 0.5, 0.75], "column"), 6, "quantile")
+    mart = ws.mart()
+    return _rounded(wide_quantiles(mart, clean.numeric_columns(mart), [0.25, 0.5, 0.75]), 6, "quantile")
 
 
 _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
@@ -234,8 +233,8 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "density_all": lambda ws: _density(_all_numbers(ws)),
     "density_margin": lambda ws: _density(_margins(ws)),
     "density_margin_groups": lambda ws: _density(ws.margin_groups()),
-    "boxplot_stats": lambda ws: _boxplot(_all_numbers(ws)),
-    "boxplot_unit_price": lambda ws: _boxplot(ws.unit_prices()),
+    "boxplot_stats": lambda ws: _boxplot(stats.boxplot_columns(ws.mart())),
+    "boxplot_unit_price": lambda ws: _boxplot(stats.boxplot(ws.unit_prices())),
     "margin_ci_stats": lambda ws: _rounded(stats.group_moments(ws.margin_groups()), 6, "mean", "std"),
     "margin_ci": lambda ws: _rounded(
         stats.confidence_intervals(ws.margin_groups()), 6, "mean", "lower", "upper"

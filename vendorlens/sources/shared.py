@@ -6,8 +6,11 @@ push-down) and a lost executor costs a re-read, not a re-run of the plan before
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,6 +70,23 @@ def release(spark: SparkSession) -> None:
     remove_folder(spark, application_dir(spark))
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the tasks of an application, once; it need not be installed there."""
+    package = Path(__file__).resolve().parents[1]
+    if spark.sparkContext.applicationId in _shipped or not package.is_dir():
+        return
+    archive, content = f"{application_dir(spark)}/code-{uuid.uuid4().hex}/vendorlens.zip", io.BytesIO()
+    with zipfile.ZipFile(content, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    write_file(spark, archive, content.getvalue())
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(spark.sparkContext.applicationId)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back."""
     spark = df.sparkSession
