@@ -9,6 +9,7 @@ scans, a few numbers for each wanted rank, is a scalar subquery that rides on th
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -42,9 +43,9 @@ def values_of(keys: np.ndarray) -> np.ndarray:
 class _Counter:
     """A task's counts of the ``number``-th digit, by label and the digits before it."""
 
-    def __init__(self, number: int, state: list[dict] | None):
+    def __init__(self, number: int, state: list[dict]):
         self.number, self.shift = number, np.uint64(64 - BITS * (number + 1))
-        self.state = state or []
+        self.state = state
         self.wanted: dict[str, np.ndarray] = {}
         for label in {s["label"] for s in self.state}:
             self.wanted[label] = np.array(sorted({s["prefix"] for s in self.state if s["label"] == label}), dtype=np.uint64)
@@ -96,7 +97,7 @@ def _count_digits(number: int, labels: list[str] | None):
             if not batch.num_rows:
                 continue
             if counter is None:
-                counter = _Counter(number, batch.column(0)[0].as_py())
+                counter = _Counter(number, json.loads(batch.column(0)[0].as_py() or "[]"))
             if labels is not None:
                 for i, label in enumerate(labels):
                     counter.add(label, batch.column(i + 1))
@@ -118,10 +119,9 @@ def _selected(rows: DataFrame, labels: list[str] | None, probs: Sequence[float])
         struct(int(2 * i) AS place, bigint(floor((total - 1) * p)) AS rank),
         struct(int(2 * i + 1) AS place, bigint(least(floor((total - 1) * p) + 1, total - 1)) AS rank))))"""
     first_row = F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1) == 0
-    shape = "array<struct<label:string,place:int,prefix:bigint,rank:bigint>>"
     state = None
     for number in range(PASSES):
-        carried = F.lit(None).cast(shape) if state is None else F.when(first_row, state)
+        carried = F.lit(None).cast("string") if state is None else F.when(first_row, state)
         counted = rows.select(carried.alias("_state"), *rows.columns).mapInArrow(_count_digits(number, labels), _COUNTED)
         cells = counted.groupBy("label", "prefix", "digit", "place", "rank").agg(F.sum("n").alias("n"), F.max("v").alias("v"))
         group = Window.partitionBy("label", "prefix")
@@ -137,7 +137,8 @@ def _selected(rows: DataFrame, labels: list[str] | None, probs: Sequence[float])
             "label", "place", ((F.col("prefix") * (1 << BITS)) + F.col("digit")).alias("prefix"),
             (F.col("rank") - F.col("past") + F.col("n")).alias("rank"), "v")
         if number < PASSES - 1:  # the last prefix would be the whole key, which is not wanted
-            state = found.agg(F.collect_list(F.struct("label", "place", "prefix", "rank"))).scalar()
+            # as text: a nested column costs far more on its way to the tasks, even where it is NULL
+            state = found.agg(F.to_json(F.collect_list(F.struct("label", "place", "prefix", "rank")))).scalar()
     return found.select("label", "place", "v")
 
 
