@@ -6,23 +6,20 @@ where ids repeat or are NULL, and it does not change between two scans of the sa
 
 from __future__ import annotations
 
-import io
 import uuid
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..sources.shared import application_dir, write_file
+from ..sources.shared import application_dir, remove_folder, ship
 
 #: The six characters that separate words.
 SPACES = " \t\n\x0b\x0c\r"
 LOCATOR = ("_file", "_row")
-#: Bits of the filter that `rows_in` sends to every task: 8 MB, whatever the table's length.
-FILTER_BITS = 1 << 26
+#: Bits of the filter that `rows_in` sends to every task, for each key, and in all: at least 128 KB and at most 128 MB.
+BITS_PER_KEY, FEWEST_BITS, MOST_BITS = 16, 1 << 20, 1 << 30
 
 
 #: Rows of text that a task turns into Python objects at once.
@@ -36,23 +33,6 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
             yield batch.slice(low, rows)
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package's code to the tasks of an application, once; it need not be installed there."""
-    package = Path(__file__).resolve().parents[1]
-    if spark.sparkContext.applicationId in _shipped or not package.is_dir():
-        return
-    archive, content = f"{work_dir(spark, 'code')}/vendorlens.zip", io.BytesIO()
-    with zipfile.ZipFile(content, "w") as out:
-        for file in sorted(package.rglob("*.py")):
-            out.write(file, file.relative_to(package.parent))
-    write_file(spark, archive, content.getvalue())
-    spark.sparkContext.addPyFile(archive)
-    _shipped.add(spark.sparkContext.applicationId)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -67,7 +47,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends there."""
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.__dict__["_staged"] = path
+    return out
+
+
+def freed(*frames: DataFrame) -> None:
+    """Remove the folders of frames that `staged` returned and whose successors are written; they cannot be read again."""
+    for frame in frames:
+        remove_folder(frame.sparkSession, frame.__dict__["_staged"])
 
 
 def hex_id(column: str = "doc_id") -> Column:
@@ -103,15 +91,21 @@ def located(df: DataFrame) -> DataFrame:
     )
 
 
+def filter_bits(keys: int) -> int:
+    """Bits of the filter for so many keys: a power of two."""
+    return min(MOST_BITS, max(FEWEST_BITS, 1 << (keys * BITS_PER_KEY - 1).bit_length())) if keys else FEWEST_BITS
+
+
 def rows_in(
-    rows: DataFrame, keys: DataFrame, columns: tuple[str, ...] = LOCATOR, bits: int = FILTER_BITS
+    rows: DataFrame, keys: DataFrame, columns: tuple[str, ...] = LOCATOR, bits: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Split ``rows`` into those certainly not among ``keys`` (by ``columns``) and those perhaps among them.
 
-    ``keys`` are hashed into a bitmap of fixed size; only that goes to every task.
-    Rows whose bit is unset need no shuffle. The others are few unless the bitmap is crowded,
-    which costs time and no row.
+    ``keys`` are hashed into a bitmap, sized by their number up to `MOST_BITS`; only that goes to every task.
+    Rows whose bit is unset need no shuffle. The others are few, below a fifth of the clear rows up to 2 * 10^8 keys;
+    a crowded bitmap costs time and no row.
     """
+    bits = filter_bits(keys.count()) if bits is None else bits
     place = F.pmod(F.xxhash64(*columns), F.lit(bits))
     bitmap = (
         keys.select(place.alias("_p"))

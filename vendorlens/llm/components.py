@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import staged
+from .common import freed, staged
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -25,13 +25,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` (the least node) of every node of ``edges`` (columns u, v).
 
-    The table of a round is written to the shared folder; rounds grow with the logarithm of
-    the longest chain. A node with many edges is combined before the shuffle.
+    The table of a round is written to the shared folder, and that of the round before removed; rounds grow with the
+    logarithm of the longest chain. The least neighbour of a node is combined before the shuffle.
     """
     now = staged(edges.where("u != v").select("u", "v").distinct(), "edges")
     mark = None
     while True:
-        now = staged(_small_star(_large_star(now)), "edges")
+        before, now = now, staged(_small_star(_large_star(now)), "edges")
+        freed(before)
         row = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if tuple(row) == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import LOCATOR, located, plain_scan, rows_in, sliced, staged, table, without_rows
+from .common import LOCATOR, freed, located, plain_scan, rows_in, sliced, staged, table, without_rows
 from .components import components
 from .shingles import Words, shingles
 
@@ -226,14 +226,19 @@ def sketch(docs: DataFrame, key: str, text: str, threshold: float, recall: float
 
 
 def node_links(docs: DataFrame, rows: DataFrame, text: str, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Links of nodes to other nodes: (node, links) with repeats to be added up, and edges (u, v)."""
+    """Links of nodes to other nodes: (node, links) with repeats to be added up, and edges (u, v).
+
+    ``rows`` is what `sketch` staged; it is removed once its nodes are written.
+    """
     nodes = staged(
         rows.where("node is not null").groupBy("node").agg(
             F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands"),
             F.min(F.struct(*LOCATOR)).alias("at")), "nodes")
+    freed(rows)
     members = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
     buckets = staged(members.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
     met = staged(members.join(buckets, ["band", "hash"]), "met")
+    freed(buckets)
     wide = nodes.select("node", "n", "bands", "copies")
 
     small = met.where(F.col("size") <= SMALL).join(wide, "node").select("band", "hash", "node", "n", "bands")
@@ -250,6 +255,7 @@ def node_links(docs: DataFrame, rows: DataFrame, text: str, threshold: float) ->
     sets = staged(
         marked.join(places, list(LOCATOR)).select(F.col(f"row.`{text}`").alias("text"), "node")
         .mapInArrow(_sets, "node binary, grams array<bigint>"), "sets")
+    freed(places)
 
     left = sets.select(F.col("node").alias("a"), F.col("grams").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("grams").alias("right"))
@@ -257,6 +263,7 @@ def node_links(docs: DataFrame, rows: DataFrame, text: str, threshold: float) ->
     linked = pairs.join(left, "a").join(right, "b").where(
         shared * (1 + threshold) >= threshold * (F.size("left") + F.size("right")) - 1e-6).select("a", "b")
     linked = staged(linked, "linked")
+    freed(pairs)
 
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -271,8 +278,10 @@ def node_links(docs: DataFrame, rows: DataFrame, text: str, threshold: float) ->
     met_in_blocks = staged(
         tasks.repartition(*keys).sortWithinPartitions(*keys)
         .mapInArrow(_block_links(threshold), "node binary, links bigint, root binary"), "blocks")
+    freed(met, sets)
 
-    copies = nodes.select("node", "copies")
+    copies = staged(nodes.select("node", "copies"), "copies")
+    freed(nodes)
     one = linked.join(copies.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), F.col("copies").alias("links"))
     two = linked.join(copies.withColumnRenamed("node", "a"), "a").select(F.col("b").alias("node"), F.col("copies").alias("links"))
     links = one.unionByName(two).unionByName(met_in_blocks.select("node", "links"))
@@ -286,8 +295,9 @@ def near_groups(
 ) -> DataFrame:
     """Per row: locator, id, number of links, node and root node of its class (NULL without shingles)."""
     docs = plain_scan(docs)
-    rows = sketch(docs, key, text, threshold, recall)
-    links, edges = node_links(docs, rows, text, threshold)
+    sketched = sketch(docs, key, text, threshold, recall)
+    rows = staged(sketched.select(*LOCATOR, "id", "node"), "rows")  # the band hashes stay with the nodes
+    links, edges = node_links(docs, sketched, text, threshold)
     counted = rows.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("copies"))
     summed = links.groupBy("node").agg(F.sum("links").alias("links"))
     per_node = counted.join(summed, "node", "left").join(components(edges), "node", "left").select(
