@@ -2,7 +2,7 @@
 
 Suffixes are retained only at minimisers: of every `LENGTH` words, the start of the `GRAM` words in a row
 with the least hash. Equal passages have equal minimisers at equal places, so each repeated
-passage holds a retained suffix in both copies. Suffixes whose first words occur once in the corpus are
+passage holds a retained suffix in both copies. Suffixes whose first words only one document has are
 dropped (through a bitmap of fixed size, which lets a few too many pass and none too few). The others are sorted
 with their words to the right, neighbours of different documents are compared, and the match is
 extended word by word right and left; `LENGTH` words in all are a repeat. A second sort, by the words to
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import located, plain_scan, rows_in, sliced, staged, table, work_dir
+from .common import freed, located, plain_scan, rows_in, sliced, staged, table, work_dir
 from .shingles import Words
 
 #: Words of a repeat, and of the sequences whose hashes choose the suffixes.
@@ -113,13 +113,16 @@ def _contexts(length: int, gram: int):
     return task
 
 
-def _shared(a: list[bytes], b: list[bytes]) -> int:
-    n = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        n += 1
-    return n
+def _shared(a: bytes, b: bytes) -> int:
+    """Leading words that two texts of words with one space between them share."""
+    if a == b:
+        return a.count(b" ") + 1 if a else 0
+    low, high = 0, min(len(a), len(b))
+    while low < high:  # bytes that agree
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if a[:middle] == b[:middle] else (low, middle - 1)
+    whole = low > 0 and a[low : low + 1] in (b"", b" ") and b[low : low + 1] in (b"", b" ")
+    return a.count(b" ", 0, low) + whole
 
 
 _FIELDS = ("h", "right", "left", "k1", "k2", "place", "doc_id")
@@ -127,7 +130,7 @@ _FIELDS = ("h", "right", "left", "k1", "k2", "place", "doc_id")
 
 def _match(a: tuple, b: tuple) -> tuple[int, int]:
     """Words that two suffixes (left, right) share to the left and to the right."""
-    return _shared(a[0].split(), b[0].split()), _shared(a[1].split(), b[1].split())
+    return _shared(a[0], b[0]), _shared(a[1], b[1])
 
 
 #: What a row at the end of a task is: in its first run, in its last run, its first row, its last row, next to one of these runs.
@@ -229,8 +232,8 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [*batch.schema.names[4:], "before", "after"])
 
 
-def compared(contexts: DataFrame, order: list[str], kind: str, arrow: pa.DataType) -> DataFrame:
-    """What each suffix shares with its neighbours in ``order``: a row for each comparison."""
+def compared(contexts: DataFrame, order: list[str], kind: str, arrow: pa.DataType) -> tuple[DataFrame, list[DataFrame]]:
+    """What each suffix shares with its neighbours in ``order``, a row for each comparison; and the staged frames behind it."""
     columns = f"k1 bigint, k2 bigint, place bigint, doc_id {kind}, h bigint, before int, after int"
     found = staged(
         contexts.select(*_FIELDS).repartitionByRange(*order).sortWithinPartitions(*order)
@@ -246,7 +249,7 @@ def compared(contexts: DataFrame, order: list[str], kind: str, arrow: pa.DataTyp
     met = ends.withColumn("side", F.explode(sides)).join(partners, ["task", "side"]).select(
         "left", "right", "other_left", "other_right", *ROW, "place", "doc_id", "h").mapInArrow(_met, columns)
     names = (*ROW, "place", "doc_id", "h", "before", "after")
-    return found.where("mark is null").select(*names).unionByName(met.select(*names))
+    return found.where("mark is null").select(*names).unionByName(met.select(*names)), [found, partners]
 
 
 def undecided(by_right: DataFrame, by_left: DataFrame, length: int) -> DataFrame:
@@ -267,20 +270,37 @@ def undecided(by_right: DataFrame, by_left: DataFrame, length: int) -> DataFrame
     return sums.withColumn("offsets", offsets).withColumn("open", open_)
 
 
+def _of_two_documents(rows: DataFrame, *keys: str) -> DataFrame:
+    """Keys that two different documents have (``low1`` to ``high2``: least and greatest of both parts of the locator)."""
+    ends = [f(c).alias(n) for f, c, n in ((F.min, "low1", "a1"), (F.max, "high1", "b1"), (F.min, "low2", "a2"), (F.max, "high2", "b2"))]
+    return rows.groupBy(*keys).agg(*ends).where("a1 != b1 OR a2 != b2").select(*keys)
+
+
 def window_repeats(contexts: DataFrame, suffixes: DataFrame, length: int) -> DataFrame:
-    """Repeats among the open windows, by digests of their words; exact for every group."""
+    """Repeats among the open windows, by digests of their words; exact for every group.
+
+    All windows that could be like an open one are evidence, those of equal contexts once for all
+    documents that have them; only the open ones are looked up in it.
+    """
     asked = staged(
         suffixes.where("size(open) > 0").select("h", F.explode("open").alias("o")).distinct()
         .groupBy("h").agg(F.collect_set("o").alias("wanted")), "open-windows")
     at = [*ROW, "place"]
-    feasible = suffixes.join(asked, "h").withColumn("try", F.array_intersect("offsets", "wanted")).where("size(try) > 0").select(*at, "try")
+    feasible = suffixes.join(asked, "h").withColumn("try", F.array_intersect("offsets", "wanted")).where("size(try) > 0").select(*at, "try", "open")
+    _, near = rows_in(contexts, asked, ("h",))
+    context = F.sha2(F.concat(F.col("left"), F.lit(b"|"), F.col("right")), 256)
+    held = staged(near.join(feasible, at).select(*at, "doc_id", "h", "left", "right", "try", "open", context.alias("context")), "held")
+    freed(asked)
     words = lambda c, n: F.slice(F.split(F.col(c).cast("string"), " "), F.lit(1), n)
-    windows = contexts.join(feasible, at).select(*at, "doc_id", "h", "left", "right", F.explode("try").alias("o")).withColumn(
-        "digest", F.sha2(F.concat_ws(" ", words("left", F.col("o")), F.lit("|"), words("right", F.lit(length) - F.col("o"))), 256))
-    windows = staged(windows.select(*at, "doc_id", "h", "o", "digest"), "windows")
-    document = F.struct(*ROW)
-    again = windows.groupBy("h", "o", "digest").agg(F.min(document).alias("a"), F.max(document).alias("b")).where("a != b")
-    return windows.join(again.select("h", "o", "digest"), ["h", "o", "digest"]).select(
+    digest = F.sha2(F.concat_ws(" ", words("left", F.col("o")), F.lit("|"), words("right", F.lit(length) - F.col("o"))), 256)
+    kinds = held.groupBy("h", "context").agg(
+        F.min("k1").alias("low1"), F.max("k1").alias("high1"), F.min("k2").alias("low2"), F.max("k2").alias("high2"),
+        F.array_distinct(F.flatten(F.collect_set("try"))).alias("try"), F.first("left").alias("left"), F.first("right").alias("right"))
+    evidence = kinds.select("h", "low1", "high1", "low2", "high2", "left", "right", F.explode("try").alias("o")).select(
+        "h", "o", digest.alias("digest"), "low1", "high1", "low2", "high2")
+    again = _of_two_documents(evidence, "h", "o", "digest")
+    mine = held.select(*at, "doc_id", "h", "left", "right", F.explode("open").alias("o")).select(*at, "doc_id", "h", "o", digest.alias("digest"))
+    return mine.join(again, ["h", "o", "digest"], "left_semi").select(
         *ROW, (F.col("place") - F.col("o")).alias("start"), (F.col("place") - F.col("o") + length).alias("end"), "doc_id")
 
 
@@ -321,11 +341,13 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         arrow = pa.string()
     anchors = staged(
         rows.select("text", *ROW).mapInArrow(_anchors(length, gram), "k1 bigint, k2 bigint, place bigint, h bigint"), "anchors")
-    again = staged(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "anchors-again")
+    both = anchors.select("h", F.col("k1").alias("low1"), F.col("k1").alias("high1"), F.col("k2").alias("low2"), F.col("k2").alias("high2"))
+    again = staged(_of_two_documents(both, "h"), "anchors-again")
     _, retained = rows_in(anchors, again, ("h",))
     places = staged(
         retained.groupBy(*ROW).agg(F.sort_array(F.collect_list(F.struct("place", "h"))).alias("at"))
         .select(*ROW, F.col("at.place").alias("places"), F.col("at.h").alias("hashes")), "places")
+    freed(anchors, again)
     _, marked = rows_in(rows, places, ROW)
     wanted = marked.join(places, list(ROW)).select("text", *ROW, "places", "hashes", "doc_id")
     path = work_dir(docs.sparkSession, "suffixes")
@@ -333,9 +355,11 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         _contexts(length, gram), f"h bigint, right binary, left binary, k1 bigint, k2 bigint, place bigint, doc_id {kind}"
     ).write.option("compression", "zstd").parquet(path)
     contexts = docs.sparkSession.read.parquet(path)
-    by_right = compared(contexts, ["h", "right", "left", "k1", "k2", "place"], kind, arrow)
-    by_left = compared(contexts, ["h", "left", "right", "k1", "k2", "place"], kind, arrow)
+    freed(places)
+    by_right, one = compared(contexts, ["h", "right", "left", "k1", "k2", "place"], kind, arrow)
+    by_left, other = compared(contexts, ["h", "left", "right", "k1", "k2", "place"], kind, arrow)
     suffixes = staged(undecided(by_right, by_left, length), "compared-suffixes")
+    freed(*one, *other)
     sure = suffixes.select(*ROW, "place", "doc_id", F.explode("sure").alias("s")).select(
         *ROW, (F.col("place") - F.col("s.before")).alias("start"), (F.col("place") + F.col("s.after")).alias("end"), "doc_id")
     spans = sure.unionByName(window_repeats(contexts, suffixes, length))
