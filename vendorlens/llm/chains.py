@@ -33,6 +33,12 @@ class Layout:
         #: place of each token (given sequence after sequence) in the layout
         self.place = self.starts[within] + np.repeat(self.rank, lengths)
 
+    @property
+    def before(self) -> np.ndarray:
+        """For each place the place of the token before it (of first tokens: no sense)."""
+        step = np.concatenate([[0], self.starts[:-2]]) - self.starts[:-1] if len(self.active) else np.zeros(0, np.int64)
+        return np.arange(int(self.starts[-1])) + np.repeat(step, self.active)
+
     def steps(self) -> Iterator[tuple[int, int]]:
         """Start and number of tokens of each position."""
         return zip(self.starts[:-1].tolist(), self.active.tolist())

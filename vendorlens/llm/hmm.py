@@ -1,11 +1,11 @@
 """Hidden Markov language model over words, and the unigram base it is held against.
 
 Vocabulary: word counts of all training documents, a table of any length. The `HEAD` most frequent words
-are symbols of the model; every other word is emitted as one of `CLASSES` ending classes and then drawn
-within its class by add-one counts, so known and unknown words have probabilities that sum to one. Baum-Welch: each
-round every task runs forward-backward over its training texts and returns expected counts in
-pieces; pieces are added across tasks, and only the model (states x symbols, of fixed size)
-comes to the driver. Texts of more than `SEGMENT` tokens are trained on in parts. Scores come from the scaled forward recursion over whole texts.
+are symbols of the model; every other word is emitted as one of some ending classes (their number follows the
+vocabulary, up to `CLASSES`) and then drawn within its class by add-one counts, so known and unknown words have probabilities
+that sum to one. Baum-Welch: each round every task runs forward-backward over its whole training texts and returns expected
+counts in pieces; pieces are added across tasks, and only the model (states x symbols, of fixed size)
+comes to the driver. Scores come from the scaled forward recursion over whole texts.
 Counts of words outside the broadcast head reach the texts by a shuffled join on the word.
 
 Words are lower-cased (A-Z) and separated by white space; an end token closes each text. NULL and empty
@@ -21,6 +21,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +31,14 @@ from .chains import Layout, added_pieces, batches
 from .common import hex_id, ship, staged, table, work_dir
 
 STATES, ROUNDS = 8, 6
-#: Words that are symbols; words whose counts are broadcast; ending classes of the other words.
-HEAD, COUNTED, CLASSES = 1 << 16, 1 << 18, 2048
+#: Words that are symbols; words whose counts are broadcast.
+HEAD, COUNTED = 1 << 16, 1 << 18
+#: Ending classes of the other words at most (a power of two); distinct words of a class, on average, below that.
+CLASSES, IN_CLASS = 2048, 64
 #: Symbols in a piece of expected counts; distinct words a task holds before it passes counts on.
 PIECE, HELD = 4096, 250_000
-#: Tokens in a row that training looks at together: longer texts are trained on in parts.
-SEGMENT = 512
+#: Tokens laid out at once; positions after which the forward and backward numbers are brought back to a sum of 1.
+TOKENS, RESCALED = 1 << 18, 12
 #: Words' worth of unigram counts added to each state's emissions.
 PRIOR = 500.0
 
@@ -44,8 +47,13 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def ending_class(word: bytes) -> int:
-    return zlib.crc32(word[-3:]) % CLASSES
+def ending_class(word: bytes, classes: int) -> int:
+    return zlib.crc32(word[-3:]) % classes
+
+
+def classes_for(types: int) -> int:
+    """How many ending classes ``types`` distinct words are dealt to: a power of two."""
+    return min(CLASSES, 1 << max(0, (types // IN_CLASS).bit_length() - 1))
 
 
 def _count_words(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +89,7 @@ class Vocabulary:
     @property
     def symbols(self) -> int:
         """Head words, then classes, then the end."""
-        return self.head + CLASSES + 1
+        return self.head + len(self.class_tokens) + 1
 
     def unigram(self) -> np.ndarray:
         """Smoothed probabilities of symbols."""
@@ -121,9 +129,11 @@ def vocabulary(docs: DataFrame, train: Column, key: str, text: str) -> tuple[Voc
         outside = F.col("c") < -top[-1][0] if top else F.lit(True)
     kind = F.crc32(F.expr("substring(word, greatest(length(word) - 2, 1), 3)")) % CLASSES
     classes = counts.where(outside).groupBy(kind.alias("kind")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
-    class_tokens, class_types = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
+    number = classes_for(sum(row["v"] for row in classes))
+    class_tokens, class_types = np.zeros(number, np.int64), np.zeros(number, np.int64)
     for row in classes:
-        class_tokens[row["kind"]], class_types[row["kind"]] = row["n"], row["v"]
+        class_tokens[row["kind"] % number] += row["n"]
+        class_types[row["kind"] % number] += row["v"]
     return Vocabulary(
         [w for _, w in top], np.array([-c for c, _ in top], dtype=np.int64),
         (tokens or 0) + texts, types + (texts > 0), texts, class_tokens, class_types, min(HEAD, len(top))), counts
@@ -135,14 +145,14 @@ def encode(docs: DataFrame, train: Column, key: str, text: str, known: Vocabular
 
     def task(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
-        head = v.head
+        head, classes = v.head, len(v.class_tokens)
         place = {w: i for i, w in enumerate(v.words)}
         base_log = np.log10(v.counts + 1.0)
         class_log = np.log10(v.class_tokens + v.class_types + 1.0)
         # symbol and log of the word's share of its class, by place
         symbol, share = np.arange(len(v.words)), np.zeros(len(v.words))
         for i in range(head, len(v.words)):
-            symbol[i] = head + ending_class(v.words[i])
+            symbol[i] = head + ending_class(v.words[i], classes)
             share[i] = base_log[i] - class_log[symbol[i] - head]
         base_log, end = base_log - math.log10(v.tokens + v.types + 1), v.symbols - 1
         base_end = math.log10((v.texts + 1) / (v.tokens + v.types + 1))
@@ -151,7 +161,7 @@ def encode(docs: DataFrame, train: Column, key: str, text: str, known: Vocabular
             out = {c: [] for c in ("symbols", "n_tokens", "n_known", "base", "inside", "far")}
             for text in batch.column(0):
                 words = words_of(text.as_py())
-                at = np.fromiter((place.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+                at = np.fromiter(map(place.get, words, repeat(-1)), dtype=np.int64, count=len(words))
                 lost = np.flatnonzero(at < 0)
                 near = at[at >= 0]
                 symbols = np.empty(len(words) + 1, dtype=np.int32)
@@ -159,7 +169,7 @@ def encode(docs: DataFrame, train: Column, key: str, text: str, known: Vocabular
                 symbols[-1] = end
                 inside, far = float(share[near].sum()), Counter(words[i] for i in lost)
                 for i in lost:
-                    kind = ending_class(words[i])
+                    kind = ending_class(words[i], classes)
                     symbols[i] = head + kind
                     inside -= class_log[kind]
                 out["symbols"].append(symbols.tobytes())
@@ -201,19 +211,37 @@ def first_model(unigram: np.ndarray, states: int) -> Model:
     return Model(np.full(states, 1 / states), move, emit / emit.sum(0))
 
 
+class _Forward:
+    """Forward numbers of every token of some sequences, by position, brought back to a sum of 1 now and then."""
+
+    def __init__(self, model: Model, symbols: np.ndarray, lengths: np.ndarray):
+        self.layout = layout = Layout(lengths)
+        self.laid = np.empty(len(symbols), dtype=np.int64)
+        self.laid[layout.place] = symbols
+        self.emitted = model.emit[self.laid]
+        self.alpha = alpha = np.empty_like(self.emitted)
+        self.steps = list(layout.steps())
+        taken, before = np.zeros(len(lengths)), 0
+        for t, (at, n) in enumerate(self.steps):
+            here = alpha[at : at + n]
+            if t:
+                np.matmul(alpha[before : before + n], model.move, out=here)
+                here *= self.emitted[at : at + n]
+            else:
+                np.multiply(self.emitted[:n], model.start, out=here)
+            if t % RESCALED == RESCALED - 1:
+                scale = here.sum(1)
+                here /= scale[:, None]
+                taken[:n] += np.log(scale)
+            before = at
+        self.ends = layout.place[np.cumsum(lengths) - 1]
+        #: natural log of each sequence's probability
+        self.log = taken[layout.rank] + np.log(alpha[self.ends].sum(1))
+
+
 def log_likelihood(model: Model, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Natural log of each sequence's probability, by the scaled forward recursion."""
-    layout = Layout(lengths)
-    laid = np.empty(len(symbols), dtype=np.int64)
-    laid[layout.place] = symbols
-    out, alpha = np.zeros(len(lengths)), None
-    for at, n in layout.steps():
-        here = model.emit[laid[at : at + n]]
-        here *= model.start if alpha is None else alpha[:n] @ model.move
-        scale = here.sum(1)
-        out[:n] += np.log(scale)
-        alpha = here / scale[:, None]
-    return out[layout.rank]
+    return _Forward(model, symbols, lengths).log
 
 
 class Expected:
@@ -225,37 +253,33 @@ class Expected:
         self.emit, self.log = np.zeros(model.emit.shape), 0.0
 
     def add(self, symbols: np.ndarray, lengths: np.ndarray) -> None:
-        model, layout = self.model, Layout(lengths)
-        laid = np.empty(len(symbols), dtype=np.int64)
-        laid[layout.place] = symbols
-        states = len(model.start)
-        kept = np.empty((len(laid), states), dtype=np.float32)  # forward shares, then marginals
-        steps, alpha = list(layout.steps()), None
-        for at, n in steps:
-            here = model.emit[laid[at : at + n]]
-            here *= model.start if alpha is None else alpha[:n] @ model.move
-            scale = here.sum(1)
-            self.log += float(np.log(scale).sum())
-            alpha = here / scale[:, None]
-            kept[at : at + n] = alpha
-        beta = np.ones((steps[-1][1], states)) if steps else None
-        flow = np.zeros((states, states))
-        for (at, n), (after, m) in zip(reversed(steps[:-1]), reversed(steps[1:])):
-            ahead = model.emit[laid[after : after + m]] * beta  # beta of the later position
-            up = ahead @ model.move.T
-            alpha = kept[at : at + m]
-            scale = (alpha * up).sum(1)[:, None]
-            flow += (alpha / scale).T @ ahead
-            up /= scale
-            kept[after : after + m] *= beta
-            beta = np.ones((n, states))
-            beta[:m] = up
-        if steps:
-            kept[: steps[0][1]] *= beta
-            self.start += kept[: steps[0][1]].sum(0, dtype=np.float64)
-        self.move += flow * model.move
-        for k in range(states):
-            self.emit[:, k] += np.bincount(laid, weights=kept[:, k], minlength=len(self.emit))
+        model, forward = self.model, _Forward(self.model, symbols, lengths)
+        alpha, steps = forward.alpha, forward.steps
+        self.log += float(forward.log.sum())
+        beta = np.ones_like(alpha)
+        ahead = forward.emitted  # becomes emission times backward number
+        back = np.ascontiguousarray(model.move.T)
+        for t in range(len(steps) - 1, 0, -1):
+            at, n = steps[t]
+            before = steps[t - 1][0]
+            later, here = ahead[at : at + n], beta[before : before + n]
+            later *= beta[at : at + n]
+            np.matmul(later, back, out=here)
+            if t % RESCALED == 0:
+                here /= here.sum(1)[:, None]
+        # shares of the states at each token; and of the moves into each token but the first ones
+        first = steps[0][1]
+        beta *= alpha
+        beta /= beta.sum(1)[:, None]
+        self.start += beta[:first].sum(0)
+        for k in range(len(model.start)):
+            self.emit[:, k] += np.bincount(forward.laid, weights=beta[:, k], minlength=len(self.emit))
+        before = forward.layout.before
+        for low in range(first, len(alpha), 1 << 16):
+            high = min(len(alpha), low + (1 << 16))
+            prior, later = alpha[before[low:high]], ahead[low:high]
+            prior /= ((prior @ model.move) * later).sum(1)[:, None]
+            self.move += (prior.T @ later) * model.move
 
     def pieces(self) -> Iterator[tuple[int, bytes]]:
         head = np.concatenate([self.start, self.move.ravel(), [self.log]])
@@ -266,17 +290,13 @@ class Expected:
                 yield low, part.tobytes()
 
 
-def _sequences(column: pa.Array, longest: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Symbols and lengths of batches of sequences; those above ``longest`` are cut into several."""
+def _sequences(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Symbols and lengths of batches of sequences, and their places; those of like length together, as all walk in step."""
     texts = [np.frombuffer(x.as_buffer(), dtype=np.int32) for x in column]
-    for low, high in batches([len(t) for t in texts]):
-        lengths = np.array([len(t) for t in texts[low:high]], dtype=np.int64)
-        if longest is not None:
-            pieces = -(-lengths // longest)
-            last = lengths - (pieces - 1) * longest
-            lengths = np.full(int(pieces.sum()), longest, dtype=np.int64)
-            lengths[np.cumsum(pieces) - 1] = last
-        yield np.concatenate(texts[low:high]), lengths
+    order = np.argsort([len(t) for t in texts], kind="stable") if texts else np.zeros(0, np.int64)
+    lengths = np.array([len(texts[i]) for i in order], dtype=np.int64)
+    for low, high in batches(lengths.tolist(), TOKENS):
+        yield np.concatenate([texts[i] for i in order[low:high]]), lengths[low:high], order[low:high]
 
 
 def baum_welch(coded: DataFrame, model: Model, rounds: int = ROUNDS) -> tuple[Model, list[float]]:
@@ -289,7 +309,7 @@ def baum_welch(coded: DataFrame, model: Model, rounds: int = ROUNDS) -> tuple[Mo
         def task(batches_in: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             expected = Expected(shared.value)
             for batch in batches_in:
-                for symbols, lengths in _sequences(batch.column(0), SEGMENT):
+                for symbols, lengths, _ in _sequences(batch.column(0)):
                     expected.add(symbols, lengths)
             rows = list(expected.pieces())
             yield pa.RecordBatch.from_arrays(
@@ -319,8 +339,9 @@ def _maximised(model: Model, parts: dict[int, np.ndarray], prior: np.ndarray) ->
 def _score(shared):
     def task(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_in:
-            logs = [log_likelihood(shared.value, s, n) for s, n in _sequences(batch.column(0))]
-            total = np.concatenate(logs) / math.log(10) if logs else np.zeros(0)
+            total = np.zeros(batch.num_rows)
+            for symbols, lengths, places in _sequences(batch.column(0)):
+                total[places] = log_likelihood(shared.value, symbols, lengths) / math.log(10)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(total)], [*batch.schema.names[1:], "path"])
 
     return task
