@@ -5,13 +5,14 @@ payloads is a ``response``, the others are ``revisit`` records that refer to it
 The index has a line per record under its reversed-host key (``org,example,www)/path``). Lines are
 sorted by ranges over all tasks and written as compressed blocks; the end of each index file is the sparse
 directory of its blocks (first key, offset, length), and a small table holds the first and last key of each
-file. A lookup bisects the files, then the directory, range-reads the blocks, bisects their lines, and
-range-reads the records. Tasks write files under names of their own, and only those that a finished task reports are
+file. A lookup bisects the files, then, file by file, the directory, range-reads each block once, bisects its lines, and
+range-reads the records; a key whose lines fill several files is looked up in each of them by another task. Tasks write files under names of their own, and only those that a finished task reports are
 used, so a lost or repeated task does no harm.
 
 Payload: html in UTF-8, NULL is empty. Empty payloads are equal like others. Of equal page ids
 the first row is the response; NULL ids come last. NULL urls have an empty key and no target. Control
-characters of urls are percent-encoded. An empty table gives an empty result and no files; other columns are not read.
+characters of urls are percent-encoded. The shared folder must be of a kind that tasks can open by themselves (`SCHEMES`), else
+nothing is begun. An empty table gives an empty result and no files; other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,8 +35,12 @@ from .common import LOCATOR, located, plain_scan, rows_in, staged, table, work_d
 
 #: Bytes of an archive file before the next one begins; lines of an index block.
 FILE_BYTES, BLOCK_LINES = 256 << 20, 512
+#: Lines that a lookup gathers before it passes them on.
+LINES = 10_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
+#: Kinds of folders by Spark's name, and the name that tasks open them by.
+SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
 #: Capture date of pages that come without one.
 DATE = "1970-01-01T00:00:00Z"
 
@@ -53,8 +58,19 @@ def reversed_key(url: str | None) -> str:
     return ",".join(reversed(host.lower().split("."))) + ")" + tail
 
 
+def openable(path: str) -> str:
+    """``path`` under the name that tasks open it by; an error for other kinds of folders."""
+    scheme, colon, rest = path.partition("://")
+    if not colon and ":" not in path.split("/")[0]:
+        return path
+    scheme = scheme if colon else path.split(":")[0]
+    if scheme not in SCHEMES:
+        raise ValueError(f"archives cannot be written to {scheme}: folders, only to {', '.join(SCHEMES)}")
+    return f"{SCHEMES[scheme]}://{rest}" if colon else path
+
+
 def _filesystem(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(path)
+    return pyarrow.fs.FileSystem.from_uri(openable(path))
 
 
 def _record(row: dict, date: str) -> bytes:
@@ -193,10 +209,15 @@ class IndexFile:
         length = int.from_bytes(self.file.read_at(8, size - 8), "big")
         self.directory = json.loads(zlib.decompress(self.file.read_at(length, size - 8 - length)))
         self.keys = [d[0] for d in self.directory]
+        self.held: tuple[int, list[list]] = (-1, [])
 
     def block(self, number: int) -> list[list]:
-        _, offset, length = self.directory[number]
-        return [json.loads(line) for line in zlib.decompress(self.file.read_at(length, offset)).decode().split("\n")]
+        """Lines of a block; the last one read is kept, so rising keys read each block once."""
+        if self.held[0] != number:
+            _, offset, length = self.directory[number]
+            lines = zlib.decompress(self.file.read_at(length, offset)).decode().split("\n")
+            self.held = number, [json.loads(line) for line in lines]
+        return self.held[1]
 
     def lines(self, key: str) -> Iterator[list]:
         """Lines of a key: from the last block that begins before it, on while blocks begin with it."""
@@ -268,31 +289,44 @@ class Archive:
         return spread.mapInArrow(task, CAPTURE)
 
     def lookup(self, urls: DataFrame, url: str = "url") -> DataFrame:
-        """Index lines of the urls' keys. Ranges of index files (a row for each file) go to all tasks."""
+        """Index lines of the urls' keys, each line once, whatever number of urls ask for it.
+
+        The first and last keys of the index files go to all tasks: a row for each task that wrote the index.
+        """
         folder = f"{self.folder}/index"
         spans = sorted((r["first_key"], r["last_key"], r["file"]) for r in self.index.collect())
         shared = self.spark.sparkContext.broadcast(spans)
 
-        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            files, base = _filesystem(folder)
-            opened: dict[str, IndexFile] = {}
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             firsts = [s[0] for s in shared.value]
             for batch in batches:
-                rows = []
-                for u in batch.column(0).to_pylist():
-                    key = reversed_key(u)
+                rows = set()
+                for key in set(map(reversed_key, batch.column(0).to_pylist())):
                     at = bisect.bisect_right(firsts, key) - 1
                     while at >= 0 and shared.value[at][1] >= key:
-                        name = shared.value[at][2]
-                        if name not in opened:
-                            if len(opened) > 64:
-                                opened.clear()
-                            opened[name] = IndexFile(files, f"{base}/{name}")
-                        rows += [tuple(line) for line in opened[name].lines(key)]
+                        rows.add((shared.value[at][2], key))
                         at -= 1
-                yield _batch(rows, ["key", "record", "file", "offset", "length"])
+                columns = list(zip(*rows)) if rows else [[], []]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["in_file", "key"])
+
+        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            files, base = _filesystem(folder)
+            name, file = None, None
+            for batch in batches:
+                rows = []
+                for in_file, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    if in_file != name:
+                        name, file = in_file, IndexFile(files, f"{base}/{in_file}")
+                    for line in file.lines(key):
+                        rows.append(tuple(line))
+                        if len(rows) >= LINES:
+                            yield _batch(rows, names)
+                            rows = []
+                yield _batch(rows, names)
 
-        return urls.select(F.col(f"`{url}`")).distinct().mapInArrow(task, CAPTURE)
+        names = ["key", "record", "file", "offset", "length"]
+        asked = urls.select(F.col(f"`{url}`")).distinct().mapInArrow(place, "in_file string, key string").distinct()
+        return asked.repartition("in_file").sortWithinPartitions("in_file", "key").mapInArrow(find, CAPTURE)
 
     def read(self, captures: DataFrame) -> DataFrame:
         """Records of index lines, file by file."""
@@ -325,6 +359,7 @@ def write_archive(
         "page_id", "url", "html", *LOCATOR, "sha1", "payload_bytes", F.col("first.page_id").alias("first_id"),
         F.col("first._file").alias("first_file"), F.col("first._row").alias("first_row"))
     folder = work_dir(spark, "warc")
+    openable(folder)
     lines = staged(ready.mapInArrow(_write(f"{folder}/records", date, file_bytes), CAPTURE), "warc-lines")
     index = staged(
         lines.repartitionByRange("key", "record").sortWithinPartitions("key", "record")
@@ -333,8 +368,9 @@ def write_archive(
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archive = write_archive(table(spark, sf_dir, "pages"))
-    return archive.read(archive.captures()).select(
+    pages = table(spark, sf_dir, "pages")
+    archive = write_archive(pages)
+    return archive.read(archive.lookup(pages)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
