@@ -7,8 +7,11 @@ its letters. Letters that no piece covers are one piece more. Piece probabilitie
 language: expected piece counts over all segmentations (forward-backward), added across
 tasks, for a few rounds. A text's score is the posterior of its best language, all languages equally likely before.
 
+Recursions stay within the range of doubles whatever the probabilities and the length of a word: each letter
+carries a fixed factor that is taken out again, and words too long for that are summed in logarithms.
+
 Only text and language of training rows are learned from; language, source and id never
-enter a prediction. Words longer than `LONGEST` letters are cut there. NULL, empty and letterless texts
+enter a prediction. Words are never cut. NULL, empty and letterless texts
 are `und` with score 0; so is every text if nothing could be learned. Ties go to the first language by code point. Repeated rows count
 as often as they occur. An empty table gives an empty result; other columns are not read.
 """
@@ -27,8 +30,10 @@ from .chains import added_pieces
 from .common import hex_id, ship, staged, table
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
-#: Rounds of learning; letters of a word at most; smoothing count of a piece.
-ROUNDS, LONGEST, SMOOTH = 2, 32, 0.05
+#: Rounds of learning; smoothing count of a piece.
+ROUNDS, SMOOTH = 2, 0.05
+#: Greatest natural logarithm that plain sums may reach; numbers in a table of a lattice, about.
+RANGE, TABLE = 600.0, 1 << 22
 #: Words a task holds before it passes counts on, and remembers before it forgets them all; texts it takes at once.
 HELD, REMEMBERED, TEXTS = 200_000, 400_000, 500
 
@@ -43,9 +48,9 @@ def pieces_of(path: str = PIECES) -> list[str]:
 
 
 def words_in(token: str) -> list[str]:
-    """Letters of a lower-case token, cut where it is too long."""
+    """The letters of a lower-case token as one word, if it has any."""
     letters = token if token.isalpha() else "".join(c for c in token if c.isalpha())
-    return [letters[i : i + LONGEST] for i in range(0, len(letters), LONGEST)]
+    return [letters] if letters else []
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -118,6 +123,7 @@ class Lattice:
         self.width = int(self.lengths.max(initial=0)) + 1
         order = np.argsort(np.array(end, dtype=np.int64), kind="stable")
         self.word, self.start, self.end, self.piece = (np.array(x, dtype=np.int64)[order] for x in (word, start, end, piece))
+        self.size = self.end - self.start
         self.cuts = np.searchsorted(self.end, np.arange(self.width + 1))
         self.by_start = np.argsort(self.start, kind="stable")
         self.start_cuts = np.searchsorted(self.start[self.by_start], np.arange(self.width + 1))
@@ -146,6 +152,34 @@ class Lattice:
         through = alpha[self.start, self.word] * chances * beta[self.end, self.word]
         return through / self.totals(alpha)[self.word]
 
+    def _added(self, word: np.ndarray, terms: np.ndarray) -> np.ndarray:
+        """Logarithms of the sums of each word's terms, given as logarithms."""
+        most = np.full(self.words, -np.inf)
+        np.maximum.at(most, word, terms)
+        base = np.where(np.isfinite(most), most, 0.0)
+        with np.errstate(divide="ignore"):
+            return base + np.log(np.bincount(word, weights=np.exp(terms - base[word]), minlength=self.words))
+
+    def forward_logs(self, logs: np.ndarray) -> np.ndarray:
+        """`forward` in logarithms."""
+        alpha = np.full((self.width, self.words), -np.inf)
+        alpha[0] = 0
+        for j in range(1, self.width):
+            a, b = self.cuts[j], self.cuts[j + 1]
+            alpha[j] = self._added(self.word[a:b], alpha[self.start[a:b], self.word[a:b]] + logs[a:b])
+        return alpha
+
+    def expected_from_logs(self, logs: np.ndarray) -> np.ndarray:
+        """`expected` in logarithms."""
+        alpha = self.forward_logs(logs)
+        beta = np.full_like(alpha, -np.inf)
+        for i in range(self.width - 1, -1, -1):
+            if i < self.width - 1:
+                at = self.by_start[self.start_cuts[i] : self.start_cuts[i + 1]]
+                beta[i] = self._added(self.word[at], logs[at] + beta[self.end[at], self.word[at]])
+            beta[i, self.lengths == i] = 0
+        return np.exp(alpha[self.start, self.word] + logs + beta[self.end, self.word] - self.totals(alpha)[self.word])
+
 
 def _count_words(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
@@ -179,13 +213,47 @@ class Model:
 
     def __init__(self, pieces: list[str], languages: list[str], chances: np.ndarray):
         self.pieces, self.languages, self.chances = Pieces(pieces), languages, chances
+        #: logarithm of the factor that each letter carries in plain sums: half of what the least likely piece would need
+        self.lift = -np.log(chances.min(axis=0)) / 2
+
+    def lattices(self, words: list[str]) -> Iterator[tuple[np.ndarray, Lattice, bool]]:
+        """Lattices of words of like length: the words' places, and whether plain sums hold all their probabilities."""
+        sizes = np.array([len(w) + 1 for w in words], dtype=np.int64)
+        order = np.argsort(sizes, kind="stable")
+        sizes = sizes[order]
+        plain, low = int(np.searchsorted(sizes * self.lift.max(initial=0.0), RANGE, side="right")), 0
+        while low < len(words):
+            end = plain if low < plain else len(words)
+            table = np.arange(1, end - low + 1) * sizes[low:end]
+            high = low + max(1, int(np.searchsorted(table, TABLE, side="right")))
+            yield order[low:high], Lattice([words[i] for i in order[low:high]], self.pieces), low < plain
+            low = high
 
     def logs(self, words: list[str]) -> np.ndarray:
         """[word, language]: log probabilities, summed over segmentations."""
-        lattice = Lattice(words, self.pieces)
-        return np.column_stack([
-            np.log(lattice.totals(lattice.forward(self.chances[lattice.piece, k]))) for k in range(len(self.languages))
-        ])
+        out = np.zeros((len(words), len(self.languages)))
+        for places, lattice, plain in self.lattices(words):
+            for k in range(len(self.languages)):
+                chances = self.chances[lattice.piece, k]
+                if plain:
+                    alpha = lattice.forward(chances * np.exp(self.lift[k] * lattice.size))
+                    out[places, k] = np.log(lattice.totals(alpha)) - self.lift[k] * lattice.lengths
+                else:
+                    out[places, k] = lattice.totals(lattice.forward_logs(np.log(chances)))
+        return out
+
+    def expected(self, words: list[str], language: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """[language, piece]: expected pieces of words, each in its language and so many times."""
+        sums = np.zeros((len(self.languages), len(self.chances)))
+        for places, lattice, plain in self.lattices(words):
+            of, n = language[places][lattice.word], times[places][lattice.word]
+            chances = self.chances[lattice.piece, of]
+            if plain:
+                share = lattice.expected(chances * np.exp(self.lift[of] * lattice.size))
+            else:
+                share = lattice.expected_from_logs(np.log(chances))
+            sums += np.bincount(of * len(self.chances) + lattice.piece, weights=share * n, minlength=sums.size).reshape(sums.shape)
+        return sums
 
 
 def learn(docs: DataFrame, train: Column, lang: str, text: str, path: str = PIECES, rounds: int = ROUNDS) -> Model:
@@ -207,11 +275,8 @@ def learn(docs: DataFrame, train: Column, lang: str, text: str, path: str = PIEC
             sums = np.zeros((len(m.languages), len(m.chances)))
             for batch in batches_in:
                 if batch.num_rows:
-                    lattice = Lattice(batch.column(1).to_pylist(), m.pieces)
-                    of = np.array([number[x] for x in batch.column(0).to_pylist()])[lattice.word]
-                    times = batch.column(2).to_numpy()[lattice.word]
-                    share = lattice.expected(m.chances[lattice.piece, of]) * times
-                    sums += np.bincount(of * len(m.chances) + lattice.piece, weights=share, minlength=sums.size).reshape(sums.shape)
+                    of = np.array([number[x] for x in batch.column(0).to_pylist()])
+                    sums += m.expected(batch.column(1).to_pylist(), of, batch.column(2).to_numpy())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(len(sums)), pa.int64()), pa.array([s.tobytes() for s in sums], pa.binary())], ["piece", "counts"])
 
