@@ -303,7 +303,7 @@ def score(docs: DataFrame, field: Field, columns: tuple[str, ...] = ("doc_id",),
                 first = np.concatenate([[0], np.cumsum(lengths)])
                 hits = np.flatnonzero(marginals >= 0.5)
                 for i in np.unique(np.searchsorted(first, hits, side="right") - 1):
-                    spans[low + i] = _spans(texts[low + i].lower(), marginals[first[i] : first[i + 1]] >= 0.5)
+                    spans[low + i] = _spans(texts[low + i], marginals[first[i] : first[i + 1]] >= 0.5)
                 if len(known) > REMEMBERED:
                     known = {}
             yield pa.RecordBatch.from_arrays(

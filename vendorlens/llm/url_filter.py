@@ -28,8 +28,8 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-#: Share that moves on, rounds of moving written out in the SQL, distrust that blocks.
-DAMPING, ROUNDS, BLOCK = 0.85, 10, 0.5
+#: Share that moves on, rounds of moving in the SQL (by then settled), distrust that blocks.
+DAMPING, ROUNDS, BLOCK = 0.85, 150, 0.5
 #: Rounds end when all that is still to move cannot change a host's trust or distrust by more than this.
 SETTLED = 1e-9
 
@@ -49,7 +49,7 @@ def path_of(url: Column) -> Column:
 def fitting(rules: Sequence[tuple[str, str, str]], host: Column, path: Column) -> tuple[Column, Column]:
     """Text and verdict of the longest rule that fits, NULL without one."""
     name = verdict = F.lit(None).cast("string")
-    for kind, rule_host, rule_path in sorted(rules, key=lambda r: len(r[1] + r[2])):
+    for kind, rule_host, rule_path in sorted(reversed(rules), key=lambda r: len(r[1] + r[2])):  # the last one that fits counts
         own = (host == rule_host) | host.endswith("." + rule_host)
         fits = own & path.startswith(rule_path)
         name = F.when(fits, F.lit(rule_host + rule_path)).otherwise(name)
@@ -121,20 +121,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    """The same rules and `ROUNDS` rounds of moving, written out: equal where links settle in them, as in the given pages."""
+    """The same rules and `ROUNDS` rounds of moving, after which less than 1e-10 of a seed is left to move."""
     by_length = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
     case = lambda value: "CASE " + " ".join(
         f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{value(k, h, p)}'" for k, h, p in by_length) + " END"
-    rounds = []
-    for i in range(ROUNDS):
-        rounds.append(f"""
-s{i + 1} AS (
-  SELECT n.host, n.ts, n.ds, {1 - DAMPING} * n.ts + {DAMPING} * coalesce(f.v, 0) AS t, {1 - DAMPING} * n.ds + {DAMPING} * coalesce(b.v, 0) AS d
-  FROM s{i} n
-  LEFT JOIN (SELECT dst AS host, sum(s.t * w) AS v FROM edges JOIN s{i} s ON s.host = src GROUP BY dst) f USING (host)
-  LEFT JOIN (SELECT src AS host, sum(s.d * w) AS v FROM edges JOIN s{i} s ON s.host = dst GROUP BY src) b USING (host))""")
     return rf"""
-WITH parsed AS (
+WITH RECURSIVE parsed AS (
   SELECT page_id, html,
          translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path
@@ -150,12 +142,17 @@ edges AS (
 seeds AS (
   SELECT host, avg(CASE WHEN ruled = 'allow' THEN 1.0 ELSE 0.0 END) AS ts, avg(CASE WHEN ruled = 'block' THEN 1.0 ELSE 0.0 END) AS ds
   FROM ruled WHERE host <> '' GROUP BY host),
-s0 AS (
-  SELECT host, coalesce(ts, 0) AS ts, coalesce(ds, 0) AS ds, coalesce(ts, 0) AS t, coalesce(ds, 0) AS d
-  FROM seeds FULL JOIN (SELECT src AS host FROM edges UNION SELECT dst FROM edges) e USING (host)),{','.join(rounds)}
-SELECT page_id, host, path, rule,
-       coalesce(ruled, CASE WHEN d / {1 - DAMPING} >= {BLOCK} AND d > t THEN 'block' ELSE 'allow' END) AS verdict
-FROM ruled LEFT JOIN s{ROUNDS} USING (host)
+state AS (
+  SELECT 0 AS i, host, coalesce(ts, 0.0) AS ts, coalesce(ds, 0.0) AS ds, coalesce(ts, 0.0) AS t, coalesce(ds, 0.0) AS d
+  FROM seeds FULL JOIN (SELECT src AS host FROM edges UNION SELECT dst FROM edges) e USING (host)
+  UNION ALL
+  SELECT n.i + 1, n.host, n.ts, n.ds, n.ts + {DAMPING} * coalesce(f.v, 0), n.ds + {DAMPING} * coalesce(b.v, 0)
+  FROM state n
+  LEFT JOIN (SELECT dst AS host, sum(s.t * w) AS v FROM edges JOIN state s ON s.host = src GROUP BY dst) f ON f.host = n.host
+  LEFT JOIN (SELECT src AS host, sum(s.d * w) AS v FROM edges JOIN state s ON s.host = dst GROUP BY src) b ON b.host = n.host
+  WHERE n.i < {ROUNDS})
+SELECT page_id, ruled.host, path, rule, coalesce(ruled, CASE WHEN d >= {BLOCK} AND d > t THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled LEFT JOIN (SELECT host, t, d FROM state WHERE i = {ROUNDS}) s ON s.host = ruled.host
 """
 
 
