@@ -8,7 +8,8 @@ number ``a`` per source. The dual is convex; Newton steps on it, one grouped sum
 (source, size) counts each, run for all sources at once and fall back on bisection where a
 step leaves its bracket. Rates become 0, 1 or 2 copies: documents of a source are dealt by a hash into
 buckets, and in a bucket, longest first, the part of a rate that rounding takes or adds is
-passed on to the next document. A bucket needs one number of memory, so a source may be of any length.
+passed on to the next document. A bucket needs one number of memory, so a source may be of any length. Rows of equal id, source
+and size are one entry with a count there, and are written out from the count by many tasks.
 
 Sums are taken over decimals, so results do not depend on the order of rows. NULL and empty
 texts have size 0 and one copy of nothing. A source without words has target 0. A NULL source is a
@@ -28,8 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from .common import ship, staged, table
 
 WEIGHTS, SHARE, CAP = (5, 2, 1), 1.5, 2
-#: Documents in a rounding bucket, on average; rounds and relative error of the dual's solution.
-BUCKET, ROUNDS, CLOSE = 4096, 60, 1e-7
+#: Documents in a rounding bucket, on average; rounds and relative error of the dual's solution; rows a task writes out of a count.
+BUCKET, ROUNDS, CLOSE, WRITTEN = 4096, 60, 1e-7, 1 << 16
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -97,23 +98,31 @@ def solve(sizes: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def _round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Copies of documents, sorted by bucket and falling size."""
+    """Copies of documents, sorted by bucket and falling size; of ``n`` equal ones some get a copy more than the others."""
     bucket, carried = None, 0.0
     for batch in batches:
         names = batch.schema.names
         codes = list(zip(batch.column(names.index("rank")).to_pylist(), batch.column(names.index("bucket")).to_pylist()))
         sizes, rates = batch.column(names.index("size")).to_pylist(), batch.column(names.index("rate")).to_pylist()
-        copies = np.ones(len(codes), dtype=np.int64)
-        for i, (code, size, rate) in enumerate(zip(codes, sizes, rates)):
+        many = batch.column(names.index("n")).to_pylist()
+        at, copies, times = [], [], []
+        for i, (code, size, rate, n) in enumerate(zip(codes, sizes, rates, many)):
             if code != bucket:
                 bucket, carried = code, 0.0
+            base, more = 1, 0
             if size:
-                want = rate * size + carried
-                copies[i] = min(CAP, max(0, math.floor(want / size + 0.5)))
-                carried = want - int(copies[i]) * size
-        keep = [batch.column(names.index(c)) for c in ("doc_id", "size", "source_size", "target", "rate")]
+                want = rate * size * n + carried
+                taken = min(CAP * n, max(0, math.floor(want / size + 0.5)))
+                carried = want - taken * size
+                base, more = divmod(taken, n)
+            for c, t in ((base, n - more), (base + 1, more)):
+                if t:
+                    at.append(i), copies.append(c), times.append(t)
+        at = pa.array(at, pa.int64())
+        keep = [batch.column(names.index(c)).take(at) for c in ("doc_id", "size", "source_size", "target", "rate")]
         yield pa.RecordBatch.from_arrays(
-            [*keep, pa.array(copies)], ["doc_id", "size", "source_size", "target", "rate", "copies"])
+            [*keep, pa.array(copies, pa.int64()), pa.array(times, pa.int64())],
+            ["doc_id", "size", "source_size", "target", "rate", "copies", "times"])
 
 
 def word_count(text: Column) -> Column:
@@ -135,12 +144,18 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     rate = F.when(F.col("a").isNull(), F.lit(float(CAP))).otherwise(
         F.least(F.lit(float(CAP)), F.round(F.exp(F.col("a") * F.col("size") / F.col("mean")), 9)))
     bucket = F.pmod(F.xxhash64("doc_id", "size"), F.ceil(F.col("docs") / BUCKET)).alias("bucket")
-    rows = sized.join(solved, sized["source"].eqNullSafe(solved["source"])).select(
-        "rank", bucket, sized["doc_id"], sized["size"], "source_size", "target", rate.alias("rate"))
-    schema = "doc_id bigint, size bigint, source_size bigint, target double, rate double, copies bigint"
-    rounded = rows.repartition("rank", "bucket").sortWithinPartitions(
-        "rank", "bucket", F.desc("size"), "doc_id").mapInArrow(_round, schema)
-    return rounded.select(
+    entries = sized.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("n"))
+    rows = entries.join(solved, entries["source"].eqNullSafe(solved["source"])).select(
+        "rank", bucket, entries["doc_id"], entries["size"], entries["n"], "source_size", "target", rate.alias("rate"))
+    schema = "doc_id bigint, size bigint, source_size bigint, target double, rate double, copies bigint, times bigint"
+    rounded = staged(rows.repartition("rank", "bucket").sortWithinPartitions(
+        "rank", "bucket", F.desc("size"), "doc_id").mapInArrow(_round, schema), "rounded")
+    parts = F.sequence(F.lit(0), F.floor((F.col("times") - 1) / WRITTEN))
+    long = rounded.where(F.col("times") > WRITTEN).withColumn("part", F.explode(parts)).withColumn(
+        "times", F.least(F.lit(WRITTEN), F.col("times") - F.col("part") * WRITTEN)).repartition("doc_id", "size", "part").drop("part")
+    each = F.explode(F.sequence(F.lit(1), F.col("times")))
+    written = rounded.where(F.col("times") <= WRITTEN).unionByName(long).withColumn("each", each)
+    return written.select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate")
 
 
