@@ -7,6 +7,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -17,6 +18,7 @@ from vendorlens.llm import (
     chains, common, components, decontamination, exact_dedup, hmm, language_id, mixing, ngram_join, suffix_dedup, toxicity, url_filter, warc,
 )
 
+from ..compare import difference
 from .cases import bare, documents, near_links, odd_rows, prose, repeated_words
 
 
@@ -61,6 +63,16 @@ def test_rows_in_loses_no_row(spark):
         assert clear.count() + marked.count() == 1_000
 
 
+def test_filter_grows_with_its_keys(spark):
+    """Up to its bound the filter has sixteen bits for each key, so few rows are marked in vain, however many keys there are."""
+    assert common.filter_bits(0) == common.filter_bits(1_000) == 1 << 20 and common.filter_bits(10**7) == 1 << 28
+    assert common.filter_bits(10**12) == common.MOST_BITS
+    rows = common.staged(spark.range(3_000_000).select(F.lit("f").alias("_file"), F.col("id").alias("_row")), "rows")
+    keys = rows.where("_row % 2 = 0")  # more than the bits of the least filter
+    _, marked = common.rows_in(rows, keys)
+    assert marked.where("_row % 2 = 0").count() == 1_500_000 and marked.where("_row % 2 = 1").count() < 150_000
+
+
 def test_marginals_against_all_taggings():
     field = toxicity.Field({"bad$": 4.0}, -2.0, np.array([[0.3, -0.5], [0.1, 1.2]]))
     words = ["bad", "good", "bad", "x"]
@@ -95,6 +107,10 @@ def test_toxicity_on_held_out_documents(spark):
     texts = dict((r[0], r[1]) for r in rows)
     hit = [texts[r["doc_id"]][s["start"] : s["end"]] for r in scored if r["doc_id"] % 4 == 0 for s in r["spans"]]
     assert hit and all(any(x in h for x in stems) for h in hit)
+    # offsets are those of the text, also where lower case is longer
+    longer = documents(spark, [(1, "İİİ İ vilest words\u2003İ vilest", "en", "a", 1)])
+    spans = toxicity.score(longer, toxicity.fit(docs, marks)).first()["spans"]
+    assert [("İİİ İ vilest words\u2003İ vilest"[s["start"] : s["end"]]) for s in spans] == ["vilest", "vilest"]
 
 
 @pytest.mark.parametrize("clean_words", [60, 2_500])
@@ -215,6 +231,16 @@ def test_mix_meets_targets(spark):
     assert (abs(per["taken"] - per["target"]) <= 0.005 * per["target"]).all()
 
 
+def test_mixing_rows_of_one_id(spark, monkeypatch):
+    """Equal rows are one entry of a bucket, and are all written out."""
+    monkeypatch.setattr(mixing, "WRITTEN", 100)
+    rows = [(None if i % 2 else 7, "a b c", "en", "hot", 1) for i in range(1_000)] + [(i, "w " * (i % 30), "en", "b", 1) for i in range(400)]
+    found = mixing.mix(documents(spark, rows)).toPandas()
+    assert len(found) == 1_400 and (found["doc_id"].isna().sum(), (found["doc_id"] == 7).sum()) == (500, 501)
+    hot = found[found["source_size"] == 3_000]
+    assert len(hot) == 1_000 and abs(hot["taken"].sum() - hot["target"].iloc[0]) <= 3 and hot["copies"].between(0, 2).all()
+
+
 def test_ranks_over_ranges(spark):
     frame = spark.createDataFrame([(f"s{i:03d}",) for i in range(500)] + [(None,)], "source string").repartition(7)
     ranked = mixing.ranked(frame, "source").orderBy("rank").collect()
@@ -320,6 +346,53 @@ def test_segmentations_against_all_cuts():
     assert np.allclose(covered, [len(w) + 1 for w in words])
 
 
+def test_long_words_and_tiny_probabilities():
+    """Words of 40 and 4,000 letters, with probabilities of 1e-14, against decimals of any size; plain sums and logarithms agree."""
+    pieces = ["▁", "▁a", "a", "ab", "b", "ba", "abab"]
+    chances = np.array([1e-3, 1e-14, 1e-14, 1e-9, 1e-14, 1e-5, 1e-14, 1e-14])[:, None] * np.array([[1.0, 0.5]])
+    model = language_id.Model(pieces, ["x", "y"], chances)
+
+    def exact(word: str, k: int) -> float:
+        sums = [Decimal(1)]
+        for j in range(1, len(word) + 1):
+            here = Decimal(0)
+            for n in range(1, min(4, j) + 1):
+                part = word[j - n : j]
+                if part in pieces:
+                    here += sums[j - n] * Decimal(chances[pieces.index(part), k])
+                elif n == 1:
+                    here += sums[j - n] * Decimal(chances[-1, k])
+            sums.append(here)
+        return float(sums[-1].ln())
+
+    words = ["ab" * 20, "a", "abba" * 10, "z" * 33, "ab" * 2_000, "baz" * 500]
+    found = model.logs(words)
+    assert np.isfinite(found).all()
+    assert np.allclose(found, [[exact("▁" + w, k) for k in range(2)] for w in words], rtol=1e-9)
+    kinds = {plain for _, _, plain in model.lattices(words)}
+    assert kinds == {True, False}
+    lattice = language_id.Lattice(["abab" * 6, "b"], model.pieces)
+    c = chances[lattice.piece, 0]
+    assert np.allclose(lattice.expected(c * np.exp(model.lift[0] * lattice.size)), lattice.expected_from_logs(np.log(c)), rtol=1e-9)
+    expected = model.expected(words, np.array([0, 1, 0, 1, 0, 1]), np.array([1, 2, 1, 1, 3, 1]))
+    sizes = np.array([len(p) for p in pieces] + [1])
+    letters = [sum(n * (len(w) + 1) for w, n, of in zip(words, [1, 2, 1, 1, 3, 1], [0, 1, 0, 1, 0, 1]) if of == k) for k in range(2)]
+    assert np.allclose(expected @ sizes, letters)
+
+
+def test_languages_of_words_without_spaces(spark):
+    rows = [(i, ("abcde" if i % 2 else "vwxyz") * (20 + 40 * (i % 5)), "aa" if i % 2 else "bb", "s", 1) for i in range(40)]
+    docs = documents(spark, rows + [(40, "a" * 5_000 + "!" + "b" * 3_000, "aa", "s", 1)])
+    found = {r["doc_id"]: r for r in language_id.identify(docs, language_id.learn(docs, F.col("doc_id") < 30, "lang", "text")).collect()}
+    assert all(found[r[0]]["lang_pred"] == r[2] for r in rows) and all(0 <= r["score"] <= 1 for r in found.values())
+
+
+def test_language_ties_go_to_the_first(spark):
+    docs = documents(spark, [(1, "same words", "bb", "s", 1), (2, "same words", "aa", "s", 1), (3, "words", None, "s", 1)])
+    found = {r["doc_id"]: r for r in language_id.identify(docs, language_id.learn(docs, F.lit(True), "lang", "text")).collect()}
+    assert found[3]["lang_pred"] == "aa" and math.isclose(found[3]["score"], 0.5)
+
+
 def test_language_on_held_out_documents(spark):
     random_ = random.Random(1)
     letters = {"aa": "abcdeilmnorst", "bb": "fghkpquvwxyzo", "cc": "äöüßeinrst"}
@@ -429,6 +502,26 @@ def test_archive_lookup(spark):
     assert got == {i for i, u, _ in pages if u in ("http://example.org/p/3", "http://x.net/p/7")}
 
 
+def test_lookup_of_keys_that_fill_files(spark):
+    """A key with most lines fills blocks and index files; every line is found once, whoever asks how often."""
+    pages = [(i, "http://hot.org/x" if i % 3 else f"http://h{i % 7}.org/{i}", f"<p>{i % 50}</p>") for i in range(900)]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # or one task would write the index
+    try:
+        archive = warc.write_archive(frame, block_lines=16)
+        assert archive.index.count() > 2
+        found = [r["page_id"] for r in archive.read(archive.lookup(frame.unionByName(frame))).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(found) == list(range(900))
+
+
+def test_folders_that_tasks_can_open():
+    assert warc.openable("file:///a/b") == "file:///a/b" and warc.openable("/a/b") == "/a/b" and warc.openable("s3a://b/k") == "s3://b/k"
+    with pytest.raises(ValueError):
+        warc.openable("wasb://b/k")
+
+
 def test_keys_sort_hosts_with_their_subdomains():
     assert warc.reversed_key("https://WWW.Example.org/a?b#c") == "org,example,www)/a?b"
     assert warc.reversed_key("http://example.org") == "org,example)/" and warc.reversed_key(None) == ""
@@ -455,6 +548,30 @@ def test_trust_travels_along_links(spark):
     assert np.allclose([found[h]["trust"] for h in hosts], t / 0.15) and np.allclose([found[h]["distrust"] for h in hosts], d / 0.15)
 
 
+def test_longest_rule_and_first_of_equal_ones(spark):
+    rules = (("allow", "a.org", "/x"), ("block", "b.a.org", ""), ("block", "a.org", "/y"), ("allow", "org", "/y/zz"), ("block", "a.org", "/x"))
+    pages = [(1, "http://b.a.org/x", None), (2, "http://a.org/x", None), (3, "http://a.org/y/zz", None), (4, "http://b.a.org/q", None)]
+    found = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge(
+        spark.createDataFrame(pages, "page_id bigint, url string, html string"), rules).collect()}
+    assert found == {1: ("a.org/x", "allow"), 2: ("a.org/x", "allow"), 3: ("org/y/zz", "allow"), 4: ("b.a.org", "block")}
+
+
+def test_url_sql_with_links_between_hosts(spark, tmp_path):
+    """The SQL settles too, over links that the given pages do not have."""
+    random_ = random.Random(9)
+    hosts = [f"h{i}.{'net' if i % 5 == 0 else 'org' if i % 7 == 0 else 'com'}" for i in range(40)]
+    pages = [(i, f"http://{random_.choice(hosts)}/{random_.choice(['fr/', 'x', 'y/z'])}", "".join(
+        f'<a href="http://{random_.choice(hosts)}/">x</a>' for _ in range(random_.randrange(3)))) for i in range(150)]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    found = url_filter.op10_url_filter(spark, str(tmp_path)).toPandas()
+    import duckdb
+
+    with duckdb.connect() as connection:
+        connection.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+        assert difference(found, connection.sql(url_filter.ORACLE).df()) is None
+    assert (found["rule"].isna() & (found["verdict"] == "block")).any()
+
+
 def test_trust_of_long_chains_is_settled(spark):
     """Hosts more than ten links from a seed, and a cycle, against the solved linear system."""
     hosts = ["h0.net", *[f"h{i}.com" for i in range(1, 13)], "good.org", "friend.com"]

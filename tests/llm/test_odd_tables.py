@@ -97,11 +97,11 @@ PAGES = [
 
 
 def test_pages(spark):
-    clashes = [F.lit("clash").alias(c) for c in CLASHES if c not in ("host", "path")]
+    clashes = [F.lit("clash").alias(c) for c in CLASHES]
     pages = spark.createDataFrame(PAGES, "page_id bigint, url string, html string").select("*", *clashes)
     archive = warc.write_archive(pages)
-    rows = {(r["page_id"], r["record_type"]): r for r in archive.read(archive.captures()).collect()}
-    assert len(rows) == 7
+    rows = {(r["page_id"], r["record_type"]): r for r in archive.read(archive.lookup(pages)).collect()}
+    assert len(rows) == 7 and archive.read(archive.captures()).count() == 7
     assert rows[(None, "revisit")]["refers_to"] == 1 and rows[(3, "revisit")]["refers_to"] == 2
     assert rows[(5, "revisit")]["payload_bytes"] == 200_000 and rows[(2, "response")]["payload_bytes"] == 0
     verdicts = {r["page_id"]: r for r in url_filter.judge(pages).collect()}
