@@ -30,8 +30,10 @@ def _rows(frame: pd.DataFrame) -> list[tuple]:
         values = frame[name]
         if pd.api.types.is_datetime64_any_dtype(values):
             values = values.dt.date
+        missing = values.isna().any()  # whole numbers beside NULL come as floats from one side, or as objects
         columns.append([
-            "NULL" if pd.isna(v) else repr(float(v)) if isinstance(v, float) else str(v) for v in values.tolist()
+            "NULL" if pd.isna(v) else repr(float(v)) if isinstance(v, float) or (missing and isinstance(v, int)) else str(v)
+            for v in values.tolist()
         ])
     return sorted(zip(*columns)) if columns else []
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Iterator
 
-from ..sources.shared import stage
+import numpy as np
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, functions as F
 
-_ROWS_BITS = 33  # monotonically_increasing_id: partition number above 33 row bits
+from ..sources.shared import ship, stage
 
 
 def add_surrogate_id(df: DataFrame, name: str = "spark_id") -> DataFrame:
@@ -14,21 +17,40 @@ def add_surrogate_id(df: DataFrame, name: str = "spark_id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def _offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files with the number of rows before each."""
+    for batch in batches:
+        for files in batch.column(0).to_pylist():
+            sizes = np.array([f["n"] for f in files], dtype=np.int64)
+            before = np.cumsum(sizes) - sizes
+            found = [{"file": f["file"], "before": int(n)} for f, n in zip(files, before)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([found], pa.list_(pa.struct([("file", pa.string()), ("before", pa.int64())])))], ["offsets"])
+
+
+def _scan(df: DataFrame) -> DataFrame:
+    """``df`` if it is a plain Parquet scan, which knows its rows' places; else a staged copy."""
+    try:
+        df.select(df.metadataColumn("_metadata")["row_index"]).schema
+        return df
+    except AnalysisException:
+        return stage(df, "ids")
+
+
 def add_dense_id(df: DataFrame, name: str = "spark_id") -> DataFrame:
-    """Ids 1..n without gaps, without a global window.
+    """Ids 1..n without gaps, by file and row.
 
-    The sparse ids are written first, so that counting and numbering see the same
-    rows. Only one row per write partition takes part in the running total.
+    A row's place in its file comes from the scan, and the rows of a file are counted without reading a
+    column, from the files' footers; the rows before a file (a number for each file) are a scalar. No row moves.
+    A frame that is no plain Parquet scan is written first, as its rows have no fixed places.
     """
-    sparse = stage(add_surrogate_id(df, "_sparse"), "ids").withColumns({
-        "_part": F.shiftrightunsigned("_sparse", _ROWS_BITS),
-        "_row": F.col("_sparse").bitwiseAND((1 << _ROWS_BITS) - 1),
-    })
-    sizes = sparse.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    return (
-        sparse.join(offsets, "_part")
-        .withColumn(name, F.col("_offset") + F.col("_row") + 1)
-        .select(*df.columns, name)
-    )
+    ship(df.sparkSession)
+    rows = _scan(df)
+    meta = rows.metadataColumn("_metadata")
+    placed = rows.select(*[rows[f"`{c}`"] for c in df.columns], meta["file_path"].alias("_file"), meta["row_index"].alias("_row"))
+    sizes = rows.select(meta["file_path"].alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    listed = sizes.agg(F.array_sort(F.collect_list(F.struct("file", "n"))).alias("files"))
+    offsets = listed.mapInArrow(_offsets, "offsets array<struct<file:string,before:bigint>>")
+    before = offsets.select(F.map_from_entries("offsets")).scalar()
+    return placed.withColumn("_before", before).select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.element_at("_before", F.col("_file")) + F.col("_row") + 1).alias(name))

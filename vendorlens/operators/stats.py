@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import exact_mean
 from ..functions.student import t_critical, t_two_sided_p
+from ..sources.shared import ship
 from .clean import numeric_columns
 from .quantiles import exact_quantiles, long_form, quantile_columns, wide_quantiles, with_quantiles
 
@@ -55,60 +56,79 @@ def modes(df: DataFrame) -> DataFrame:
     return found
 
 
-def _pair_sums(names: list[str]):
-    """A task's share of the sums behind each correlation, one set of rows per task."""
+def _merged(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Moments of two sets of rows as those of both: n, both means, both sums of squares and that of products about the means."""
+    n = one[0] + other[0]
+    safe = np.where(n > 0, n, 1.0)
+    x, y = other[1] - one[1], other[2] - one[2]
+    weight, share = one[0] * other[0] / safe, other[0] / safe
+    return np.stack([
+        n, one[1] + x * share, one[2] + y * share,
+        one[3] + other[3] + x * x * weight, one[4] + other[4] + y * y * weight, one[5] + other[5] + x * y * weight])
+
+
+def _pair_moments(names: list[str]):
+    """A task's moments of every pair of columns, one row per pair; rows missing either value are left out of a pair."""
     a, b = np.triu_indices(len(names))
 
+    def moments(x: np.ndarray) -> np.ndarray:
+        there = ~np.isnan(x)
+        count = np.maximum(there.sum(0), 1)
+        middle = np.where(there, x, 0.0).sum(0) / count  # any number near the values will do
+        x, there = np.where(there, x - middle, 0.0), there.astype("float64")
+        n, sums, square = there.T @ there, x.T @ there, x * x
+        safe = np.maximum(n, 1.0)
+        left = sums / safe  # mean of a, about its middle, over the rows that have b
+        parts = [n, left + middle[:, None], left.T + middle[None, :],
+                 square.T @ there - left * sums, there.T @ square - left.T * sums.T, x.T @ x - left * sums.T]
+        return np.stack(parts)[:, a, b]
+
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = 0.0
+        total = None
         for batch in batches:
-            x = batch.to_numpy(dtype="float64")
-            there = ~np.isnan(x)
-            x, there = np.where(there, x, 0.0), there.astype("float64")
-            square = x * x
-            # row and column sums over the rows that have both values
-            total = total + np.stack([
-                there.T @ there, x.T @ there, there.T @ x, square.T @ there, there.T @ square, x.T @ x,
-            ])
-        if not np.isscalar(total):
-            sums = dict(zip(("n", "x", "y", "xx", "yy", "xy"), total[:, a, b]))
-            yield pd.DataFrame({"i": a, "j": b, **sums})
+            found = moments(batch.to_numpy(dtype="float64"))
+            total = found if total is None else _merged(total, found)
+        if total is not None:
+            yield pd.DataFrame({"i": a, "j": b, **dict(zip(("n", "x", "y", "xx", "yy", "xy"), total))})
 
     return add_up
 
 
+def _all_merged(rows: pd.DataFrame) -> pd.DataFrame:
+    """The moments of a pair over all tasks, two by two; a row for each task."""
+    parts = rows[["n", "x", "y", "xx", "yy", "xy"]].to_numpy().T
+    while parts.shape[1] > 1:
+        half = parts.shape[1] // 2
+        rest = parts[:, 2 * half :]
+        parts = np.concatenate([_merged(parts[:, :half], parts[:, half : 2 * half]), rest], axis=1)
+    return pd.DataFrame({"i": rows["i"].iloc[:1], "j": rows["j"].iloc[:1], **dict(zip(("n", "x", "y", "xx", "yy", "xy"), parts))})
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson r of every pair of numeric columns, as rows (a, b, r).
 
     Rows missing either value are left out of that pair. A column without spread has
-    no correlation: NULL, also with itself. Columns are shifted by their means first,
-    which leaves r as it is and keeps the sums of squares small; each task sends one
+    no correlation: NULL, also with itself. One scan: a task keeps means, and sums of squares and products about them, of
+    its rows; these are merged two by two, so a spread far below the mean is not lost. A task sends one
     row per pair.
     """
+    ship(df.sparkSession)
     names = list(columns or numeric_columns(df))
-    numbers = {c: F.col(c).cast("double") for c in names}
-    doubles = df.select([F.when(~F.isnan(x), x).alias(c) for c, x in numbers.items()])
-    means = doubles.agg(F.struct(*[F.avg(c).alias(c) for c in names])).scalar()
-    shifted = doubles.withColumn("_means", means).select(
-        [(F.col(c) - F.col("_means")[c]).alias(c) for c in names]
-    )
-    sums = shifted.mapInPandas(
-        _pair_sums(names), "i int, j int, n double, x double, y double, xx double, yy double, xy double"
-    ).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    shape = "i int, j int, n double, x double, y double, xx double, yy double, xy double"
+    sums = df.select([F.col(f"`{c}`").cast("double").alias(f"c{k}") for k, c in enumerate(names)]).mapInPandas(
+        _pair_moments(names), shape).groupBy("i", "j").applyInPandas(_all_merged, shape)
 
-    def spread(square: str, plain: str) -> Column:
+    def spread(square: str, mean: str) -> Column:
         """Sum of squares about the mean; nothing but rounding noise counts as none."""
-        value = F.col(square) - F.try_divide(F.col(plain) * F.col(plain), F.col("n"))
-        return F.when(value > F.col(square) * 1e-14, value)
+        noise = F.col("n") * F.col(mean) * F.col(mean) * 1e-28
+        return F.when(F.col(square) > noise, F.col(square))
 
-    together = F.col("xy") - F.try_divide(F.col("x") * F.col("y"), F.col("n"))
     r = F.when(F.col("i") == F.col("j"), F.when(spread("xx", "x").isNotNull(), 1.0)).otherwise(
-        F.try_divide(together, F.sqrt(spread("xx", "x")) * F.sqrt(spread("yy", "y")))
-    )
+        F.try_divide(F.col("xy"), F.sqrt(spread("xx", "x")) * F.sqrt(spread("yy", "y"))))
     label = F.array(*[F.lit(c) for c in names])
-    half = sums.select(F.get(label, F.col("i")).alias("a"), F.get(label, F.col("j")).alias("b"), r.alias("r"))
-    turned = half.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "r")
-    return half.unionByName(turned)
+    both = F.array_distinct(F.array(F.struct(F.col("i").alias("a"), F.col("j").alias("b")), F.struct(F.col("j").alias("a"), F.col("i").alias("b"))))
+    return sums.select(F.explode(both).alias("pair"), r.alias("r")).select(
+        F.get(label, F.col("pair.a")).alias("a"), F.get(label, F.col("pair.b")).alias("b"), "r")
 
 
 def _edges(values: DataFrame, bins: int) -> DataFrame:

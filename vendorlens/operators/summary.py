@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .skew import spread_join
+
 SALTS = 16  # ways the rows of one vendor are spread in the freight join
 PURCHASE_KEYS = ["VendorNumber", "VendorName", "Brand", "Description", "PurchasePrice"]
 
@@ -15,18 +17,22 @@ def _total(name: str) -> Column:
 
 def freight_summary(vendor_invoice: DataFrame) -> DataFrame:
     """Freight per vendor."""
-    return vendor_invoice.groupBy("VendorNumber").agg(
-        _total("Freight").cast("double").alias("FreightCost")
-    )
+    return _as_doubles(freight_totals(vendor_invoice), "FreightCost")
+
+
+def freight_totals(vendor_invoice: DataFrame) -> DataFrame:
+    """Freight per vendor, as a decimal."""
+    return vendor_invoice.groupBy("VendorNumber").agg(_total("Freight").alias("FreightCost"))
 
 
 def purchase_price_join(purchases: DataFrame, prices: DataFrame) -> DataFrame:
     """Priced purchases with every list price of their Brand.
 
-    The join is on Brand alone: a Brand with several price rows repeats its purchases.
+    The join is on Brand alone: a Brand with several price rows repeats its purchases. Brands with many
+    purchases are spread by measure.
     """
     listed = prices.select("Brand", F.col("Price").alias("ActualPrice"), "Volume")
-    return purchases.where("PurchasePrice > 0").join(listed, "Brand")
+    return spread_join(purchases.where("PurchasePrice > 0"), listed, "Brand")
 
 
 def purchase_summary(purchases: DataFrame, prices: DataFrame) -> DataFrame:
@@ -36,14 +42,22 @@ def purchase_summary(purchases: DataFrame, prices: DataFrame) -> DataFrame:
     are grouped before they meet: a popular Brand joins as a few totals, not as all
     of its purchase rows. Equal price rows are counted, and the count multiplies.
     """
-    bought = (
-        purchases.where("PurchasePrice > 0").groupBy(*PURCHASE_KEYS)
-        .agg(_total("Quantity").alias("Quantity"), _total("Dollars").alias("Dollars"))
-    )
-    listed = (
-        prices.groupBy("Brand", F.col("Price").alias("ActualPrice"), "Volume")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
+    return priced_totals(bought_totals(purchases), listed_prices(prices))
+
+
+def bought_totals(purchases: DataFrame) -> DataFrame:
+    """Quantity and dollars per vendor, product and purchase price."""
+    return purchases.where("PurchasePrice > 0").groupBy(*PURCHASE_KEYS).agg(
+        _total("Quantity").alias("Quantity"), _total("Dollars").alias("Dollars"))
+
+
+def listed_prices(prices: DataFrame) -> DataFrame:
+    """List prices of a product, with the number of rows that say so."""
+    return prices.groupBy("Brand", F.col("Price").alias("ActualPrice"), "Volume").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def priced_totals(bought: DataFrame, listed: DataFrame) -> DataFrame:
+    """Purchase totals with every list price of their product."""
     dollars = F.col("Dollars").cast("decimal(27,2)") * F.col("copies").cast("decimal(10,0)")
     return bought.join(listed, "Brand").select(
         "VendorNumber", "VendorName", "Brand", "Description",
@@ -55,16 +69,23 @@ def purchase_summary(purchases: DataFrame, prices: DataFrame) -> DataFrame:
     )
 
 
-def sales_summary(sales: DataFrame) -> DataFrame:
-    """Sales totals per vendor and product."""
+def sold_totals(sales: DataFrame) -> DataFrame:
+    """Sales totals per vendor and product, as decimals."""
     return sales.groupBy("VendorNo", "Brand").agg(
-        _total("SalesQuantity").alias("TotalSalesQuantity"),
-        _total("SalesDollars").cast("double").alias("TotalSalesDollars"),
-        _total("SalesPrice").cast("double").alias("TotalSalesPrice"),
-        _total("ExciseTax").cast("double").alias("TotalExciseTax"),
+        _total("SalesQuantity").alias("TotalSalesQuantity"), _total("SalesDollars").alias("TotalSalesDollars"),
+        _total("SalesPrice").alias("TotalSalesPrice"), _total("ExciseTax").alias("TotalExciseTax"),
     )
 
 
+def _as_doubles(totals: DataFrame, *columns: str) -> DataFrame:
+    return totals.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
+def sales_summary(sales: DataFrame) -> DataFrame:
+    """Sales totals per vendor and product."""
+    return _as_doubles(sold_totals(sales), "TotalSalesDollars", "TotalSalesPrice", "TotalExciseTax")
+
+
 def _with_freight(rows: DataFrame, freight: DataFrame) -> DataFrame:
     """Attach the vendor's freight, NULL where there is none.
 
@@ -86,10 +107,17 @@ def vendor_sales_summary(
     repeats on each product of a vendor: never add up ``FreightCost`` over this table.
     Unsorted, as it is written to a table; sort with ``by_purchase_dollars``.
     """
-    bought = purchase_summary(purchases, prices)
-    sold = sales_summary(sales).withColumnsRenamed({"VendorNo": "_vendor", "Brand": "_brand"})
+    return summary_of_totals(
+        bought_totals(purchases), listed_prices(prices), sold_totals(sales), freight_totals(vendor_invoice))
+
+
+def summary_of_totals(bought: DataFrame, listed: DataFrame, sold: DataFrame, freight: DataFrame) -> DataFrame:
+    """`vendor_sales_summary` from the grouped totals of its four tables."""
+    sold = _as_doubles(sold, "TotalSalesDollars", "TotalSalesPrice", "TotalExciseTax").withColumnsRenamed(
+        {"VendorNo": "_vendor", "Brand": "_brand"})
     same = (F.col("VendorNumber") == F.col("_vendor")) & (F.col("Brand") == F.col("_brand"))
-    return _with_freight(bought.join(sold, same, "left"), freight_summary(vendor_invoice)).select(
+    rows = priced_totals(bought, listed).join(sold, same, "left")
+    return _with_freight(rows, _as_doubles(freight, "FreightCost")).select(
         "VendorNumber", "VendorName", "Brand", F.col("Description").alias("BrandName"),
         "PurchasePrice", "ActualPrice", "Volume",
         "TotalPurchaseQuantity", "TotalPurchaseDollars", "TotalSalesQuantity",

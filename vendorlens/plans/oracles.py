@@ -382,8 +382,35 @@ def oracles() -> dict[str, str]:
     sql = {
         "refresh_mart": "SELECT * FROM mart",
         "vendor_sales_summary": """
-            SELECT * REPLACE (TotalSalesQuantity::DOUBLE AS TotalSalesQuantity)
+            SELECT * REPLACE (TotalSalesQuantity::BIGINT AS TotalSalesQuantity)
             FROM summary ORDER BY TotalPurchaseDollars DESC""",
+        "refresh_added_rows": "SELECT * FROM mart",
+        "database_tables": """
+            SELECT 'clean_data' AS table_name, count(*) AS row_count FROM clean
+            UNION ALL SELECT 'vendor_sales_summary', count(*) FROM mart""",
+        "appended_mart": "SELECT * FROM mart",
+        "sql_over_tables": """
+            SELECT VendorNumber, count(*) AS row_count, sum(Quantity)::BIGINT AS quantity, sum(Dollars)::DOUBLE AS dollars
+            FROM purchases WHERE Brand IN (SELECT Brand FROM purchase_prices WHERE Classification = 1) GROUP BY VendorNumber""",
+        "inferred_csv": """
+            SELECT count(*) AS row_count, sum(Quantity)::BIGINT AS quantity, max(PODate)::VARCHAR AS last,
+                   round(sum(Dollars)::DOUBLE, 2) AS dollars,
+                   'Brand int,Classification int,Description string,Dollars double,InventoryId string,InvoiceDate date,PODate date,'
+                   || 'PONumber int,PayDate date,PurchasePrice double,Quantity int,ReceivingDate date,Size string,Store int,'
+                   || 'VendorName string,VendorNumber int' AS kinds
+            FROM purchases""",
+        "rejected_volumes_planted": """
+            SELECT count(*) FILTER (Volume IS NOT NULL AND TRY_CAST(Volume AS DOUBLE) IS NULL) AS rejected
+            FROM (SELECT CASE WHEN Brand % 10 = 0 THEN Volume || 'mL' ELSE Volume END AS Volume FROM summary)""",
+        "key_violations_mart_key": f"""
+            SELECT VendorNumber, Brand, count(*) AS row_count
+            FROM (SELECT DISTINCT VendorNumber, VendorName, Brand, Description, PurchasePrice, l.Price, l.Volume
+                  FROM purchases JOIN (
+                      SELECT Brand, Price, Volume FROM purchase_prices
+                      UNION ALL SELECT Brand, (Price + 1)::DECIMAL(18,2), Volume FROM purchase_prices
+                      WHERE {REDELIVERED['purchase_prices']}) l USING (Brand)
+                  WHERE PurchasePrice > 0)
+            GROUP BY VendorNumber, Brand HAVING count(*) > 1""",
         "clean_summary": "SELECT * FROM clean",
         "rejected_volumes": """SELECT count(*) FILTER (Volume IS NOT NULL AND TRY_CAST(Volume AS DOUBLE) IS NULL) AS rejected
             FROM summary""",

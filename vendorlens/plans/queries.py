@@ -14,11 +14,12 @@ from ..operators import clean, dedupe, features, ids, profile, stats, summary, v
 from ..operators.quantiles import exact_quantiles, long_form, wide_quantiles
 from ..sources.schemas import RAW_SCHEMAS
 from ..sources.shared import application_dir
-from ..sources.files import ingest_directory, write_csv
-from ..sources.tables import create_database, load_table
+from ..sources.files import ingest_directory, read_inferred, write_csv
+from ..sources.tables import append_conformed, create_database, create_table, list_tables, load_table, register_views
 from ..streaming.ingest import ingest_new_files
-from .refresh import refresh_tables, summary_of
-from .workspace import Workspace, workspace
+from .incremental import add_rows, mart_of_version
+from .refresh import cleaned_of, mart_of, refresh_tables, summary_of
+from .workspace import REDELIVERED, Workspace, workspace
 
 VENDOR = 7  # the vendor of the drill-downs
 SMALL_PRODUCT = 500_000.0  # sales bound of the promotion chart at test scale
@@ -79,6 +80,68 @@ def _stream_ingest(ws: Workspace) -> DataFrame:
     return _as_double(rows).withColumn("added", F.lit(added).cast("bigint"))
 
 
+def _refresh_added(ws: Workspace) -> DataFrame:
+    """The mart after a first delivery, a second one that repeats half of it, and one of prices alone."""
+    place = f"{application_dir(ws.spark)}/added-{uuid.uuid4().hex}"
+    keys = {"vendor_invoice": "PONumber"}
+    half = {name: F.pmod(F.hash(keys.get(name, "Brand")), F.lit(2)) == 0 for name in ws}
+    late = {"purchase_prices"}
+    add_rows(ws.spark, place, {name: ws.redelivered(name).where(half[name]) for name in ws})
+    add_rows(ws.spark, place, {name: ws.redelivered(name) for name in ws if name not in late})
+    return mart_of_version(ws.spark, add_rows(ws.spark, place, {name: ws.redelivered(name) for name in late}))
+
+
+def _database_tables(ws: Workspace) -> DataFrame:
+    """The tables that a refresh leaves in its database, with their rows."""
+    database = "vendorlens_listed"
+    create_database(ws.spark, database, f"{application_dir(ws.spark)}/{database}.db")
+    refresh_tables(ws.spark, ws, database)
+    return profile.table_counts({name: load_table(ws.spark, f"{database}.{name}") for name in list_tables(ws.spark, database)})
+
+
+def _appended_mart(ws: Workspace) -> DataFrame:
+    """A typed table that takes the mart in two appends."""
+    database, table = "vendorlens_appended", f"vendorlens_appended.mart_{uuid.uuid4().hex}"
+    create_database(ws.spark, database, f"{application_dir(ws.spark)}/{database}.db")
+    create_table(ws.spark, table)
+    for part in ("GrossProfit > 0", "NOT GrossProfit > 0"):
+        append_conformed(ws.mart().where(part), table)
+    return load_table(ws.spark, table)
+
+
+def _sql_over_tables(ws: Workspace) -> DataFrame:
+    """A query text over named tables."""
+    register_views({"raw_purchases": ws["purchases"], "raw_prices": ws["purchase_prices"]})
+    return ws.spark.sql("""
+        SELECT VendorNumber, count(*) AS row_count, sum(Quantity) AS quantity, CAST(sum(Dollars) AS DOUBLE) AS dollars
+        FROM raw_purchases WHERE Brand IN (SELECT Brand FROM raw_prices WHERE Classification = 1) GROUP BY VendorNumber""")
+
+
+def _mart_key(ws: Workspace) -> DataFrame:
+    """Repeated keys of a mart whose price list came again with other prices for some products."""
+    prices = ws["purchase_prices"]
+    again = prices.where(REDELIVERED["purchase_prices"]).withColumn("Price", (F.col("Price") + 1).cast("decimal(18,2)"))
+    tables = {**{name: ws[name] for name in ws}, "purchase_prices": prices.unionByName(again)}
+    return dedupe.key_violations(mart_of(cleaned_of(tables)), ["VendorNumber", "Brand"])
+
+
+def _rejected_planted(ws: Workspace) -> DataFrame:
+    """Volumes that are no number, in a summary where every tenth product carries its unit."""
+    unit = F.when(F.col("Brand") % 10 == 0, F.concat("Volume", F.lit("mL"))).otherwise(F.col("Volume"))
+    return clean.rejected_volumes(ws.summary().withColumn("Volume", unit))
+
+
+def _inferred(ws: Workspace) -> DataFrame:
+    """Types that a folder of CSV parts shows, and its totals as such."""
+    folder = f"{application_dir(ws.spark)}/inferred-{uuid.uuid4().hex}"
+    write_csv(ws["purchases"].repartition(4), folder)
+    rows = read_inferred(ws.spark, folder)
+    kinds = F.concat_ws(",", *[F.lit(f"{n} {t}") for n, t in sorted(rows.dtypes)])
+    return rows.agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("Quantity").alias("quantity"), F.max("PODate").cast("string").alias("last"),
+        F.round(F.sum("Dollars"), 2).alias("dollars")).withColumn("kinds", kinds)
+
+
 def _surrogate(ws: Workspace) -> DataFrame:
     return ids.add_surrogate_id(ws["sales"]).agg(
         F.count(F.lit(1)).alias("row_count"), F.count_distinct("spark_id").alias("ids")
@@ -137,13 +200,16 @@ def _quartiles_bracketed(ws: Workspace) -> DataFrame:
 _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     # the job and its steps
     "refresh_mart": _refresh,
-    # the two engines hand integers with NULLs to a comparison in different forms
-    "vendor_sales_summary": lambda ws: summary.by_purchase_dollars(
-        summary_of(ws).withColumn("TotalSalesQuantity", F.col("TotalSalesQuantity").cast("double"))
-    ),
+    "refresh_added_rows": _refresh_added,
+    "vendor_sales_summary": lambda ws: summary.by_purchase_dollars(summary_of(ws)),
+    "database_tables": _database_tables,
+    "appended_mart": _appended_mart,
+    "sql_over_tables": _sql_over_tables,
+    "inferred_csv": _inferred,
     "csv_round_trip": _csv_round_trip,
     "stream_ingest": _stream_ingest,
     "clean_summary": lambda ws: clean.clean_summary(ws.summary()),
+    "rejected_volumes_planted": _rejected_planted,
     "rejected_volumes": lambda ws: clean.rejected_volumes(ws.summary()),
     "vendor_features": lambda ws: features.vendor_features(ws.cleaned()),
     "notebook_features": lambda ws: features.notebook_features(ws.summary()),
@@ -196,6 +262,7 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "surplus_copies": _surplus,
     "key_violations": lambda ws: dedupe.key_violations(ws["vendor_invoice"], ["PONumber"]),
     "key_violations_prices": lambda ws: dedupe.key_violations(ws.redelivered("purchase_prices"), ["VendorNumber", "Brand"]),
+    "key_violations_mart_key": _mart_key,
     "key_violations_mart": lambda ws: dedupe.key_violations(ws.mart(), ["VendorName", "Volume"]),
     # vendors and products
     "profitable_rows": lambda ws: ws.profitable(),

@@ -11,8 +11,10 @@ from ..operators.dedupe import drop_duplicate_rows
 from ..operators.features import vendor_features
 from ..operators.summary import vendor_sales_summary
 from ..sources.files import ingest_directory
+from ..sources.shared import remove_folder
 from ..sources.schemas import CLEAN_SCHEMA, MART_SCHEMA, conform
-from ..sources.tables import create_database, load_table, switch_tables, write_version
+from ..sources.tables import create_database, database_folder, load_table, switch_tables, write_version
+from ..sources.versions import commit, current, vacuum
 
 # The tables the job writes.
 CLEAN_TABLE = "clean_data"
@@ -37,16 +39,37 @@ def refresh_tables(spark: SparkSession, tables: Mapping[str, DataFrame], databas
     """Write ``clean_data`` and the mart from raw tables; both are replaced together.
 
     The clean rows are written once, as the next version of their table, and the mart is built
-    from that. The tables switch when both versions are there; a failure before leaves both as they were.
+    from that. One manifest makes both visible: a run that stops at any step leaves a pair that belongs together
+    (`load_pair`). The catalog follows; the version before stays for readers that have begun.
     """
     create_database(spark, database)
-    clean, mart = f"{database}.{CLEAN_TABLE}", f"{database}.{MART_TABLE}"
-    cleaned = cleaned_of(tables)
-    clean_path, _ = write_version(cleaned, clean, guard=tables["purchases"])
-    rows = spark.read.schema(cleaned.schema).parquet(clean_path)
-    mart_path, _ = write_version(mart_of(rows), mart, guard=rows)
-    switch_tables(spark, {clean: clean_path, mart: mart_path})
-    return load_table(spark, mart)
+    place = database_folder(spark, database)
+    before, cleaned = current(spark, place), cleaned_of(tables)
+    written = {}
+    try:
+        written[CLEAN_TABLE] = (write_version(cleaned, f"{database}.{CLEAN_TABLE}", guard=tables["purchases"])[0],)
+        rows = spark.read.schema(cleaned.schema).parquet(*written[CLEAN_TABLE])
+        written[MART_TABLE] = (write_version(mart_of(rows), f"{database}.{MART_TABLE}", guard=rows)[0],)
+        commit(spark, place, before, written)
+    except BaseException:
+        for folder, in written.values():
+            remove_folder(spark, folder)
+        raise
+    publish(spark, database)
+    vacuum(spark, place)
+    return load_pair(spark, database)[1]
+
+
+def publish(spark: SparkSession, database: str) -> None:
+    """Let the catalog show what the manifest names; to be called again if a run stopped before."""
+    tables = current(spark, database_folder(spark, database)).tables
+    switch_tables(spark, {f"{database}.{name}": tables[name][0] for name in (CLEAN_TABLE, MART_TABLE) if name in tables}, tidy=False)
+
+
+def load_pair(spark: SparkSession, database: str) -> tuple[DataFrame, DataFrame]:
+    """Clean rows and mart of one version."""
+    version = current(spark, database_folder(spark, database))
+    return version.read(spark, CLEAN_TABLE, CLEAN_SCHEMA), version.read(spark, MART_TABLE, MART_SCHEMA)
 
 
 def refresh(spark: SparkSession, directory: str, database: str) -> DataFrame:

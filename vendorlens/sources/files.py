@@ -46,9 +46,40 @@ def read_landing(spark: SparkSession, path: str, lines_in_quotes: bool = False,
     return spark.read.options(**{**CSV_OPTIONS, **several, **options}).csv(path)
 
 
-def read_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """Typed by sampling the file: for discovery, as it reads the file twice."""
-    return spark.read.options(**CSV_OPTIONS, inferSchema="true").csv(path)
+# Types from narrow to wide, with a pattern for what their values look like; a column of none of them is text.
+LATTICE = (
+    ("boolean", r"(?i)^(true|false)$"),
+    ("int", r"^[+-]?[0-9]{1,10}$"),
+    ("bigint", r"^[+-]?[0-9]{1,18}$"),
+    ("double", r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]{1,3})?$"),
+    ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
+    ("timestamp", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?)?$"),
+)
+
+
+def inferred_types(texts: DataFrame) -> dict[str, str]:
+    """The narrowest type of `LATTICE` that holds all values of each text column, in one pass over all parts.
+
+    A task keeps, for each column and type, whether all its values fit; parts that disagree meet in the
+    narrowest type above both. Missing marks fit every type; a column without values is text.
+    """
+    fits = []
+    for place, name in enumerate(texts.columns):
+        value = F.col(f"`{name}`")
+        there = value.isNotNull() & ~value.isin(*MISSING)
+        for kind, pattern in LATTICE:
+            fit = value.rlike(pattern) & (value.try_cast(kind).isNotNull())
+            fits.append(F.coalesce(F.min(F.when(there, F.coalesce(fit, F.lit(False)))), F.lit(False)).alias(f"{place}_{kind}"))
+    found = texts.agg(*fits).first() if fits else {}
+    return {
+        name: next((kind for kind, _ in LATTICE if found[f"{place}_{kind}"]), "string") for place, name in enumerate(texts.columns)
+    }
+
+
+def read_inferred(spark: SparkSession, path: str, lines_in_quotes: bool = False) -> DataFrame:
+    """A CSV file or folder of parts, typed by all its values: for discovery, as it reads the text twice."""
+    texts = read_landing(spark, path, lines_in_quotes)
+    return typed(texts, ", ".join(f"{name} {kind}" for name, kind in inferred_types(texts).items()))
 
 
 def typed(df: DataFrame, ddl: str) -> DataFrame:
@@ -71,7 +102,7 @@ def read_table_file(spark: SparkSession, path: str, lines_in_quotes: bool = Fals
     """A CSV file or folder as the raw table it is named after; unknown tables get inferred types."""
     ddl = RAW_SCHEMAS.get(table_name_of(path))
     if ddl is None:
-        return read_inferred(spark, path)
+        return read_inferred(spark, path, lines_in_quotes)
     return typed(read_landing(spark, path, lines_in_quotes), ddl)
 
 

@@ -60,6 +60,22 @@ def write_file(spark: SparkSession, path: str, content: bytes) -> None:
         out.close()
 
 
+def read_file(spark: SparkSession, path: str) -> bytes:
+    """All of a small file."""
+    place, files = _path(spark, path)
+    stream = files.open(place)
+    try:
+        return bytes(stream.readAllBytes())
+    finally:
+        stream.close()
+
+
+def rename(spark: SparkSession, path: str, to: str) -> bool:
+    """Whether a file got another name; not where that name is taken."""
+    place, files = _path(spark, path)
+    return bool(files.rename(place, spark._jvm.org.apache.hadoop.fs.Path(to)))
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     place, files = _path(spark, path)
     files.delete(place, True)

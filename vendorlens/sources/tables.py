@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from .schemas import MART_SCHEMA, conform
-from .shared import remove_folder
+from .shared import entries, remove_folder
+from .versions import new_folder
+
+#: Earlier versions of a table that stay for readers that are still running.
+EARLIER = 1
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -37,11 +40,14 @@ def require_rows(df: DataFrame) -> DataFrame:
     return df
 
 
+def database_folder(spark: SparkSession, database: str) -> str:
+    return spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri.rstrip("/")
+
+
 def _location(spark: SparkSession, name: str) -> str:
     """A new folder for the next version of a table, beside those of its database."""
     database, _, table = name.rpartition(".")
-    place = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
-    return f"{place.rstrip('/')}/{table}/v-{uuid.uuid4().hex}"
+    return new_folder(database_folder(spark, database), table)
 
 
 def write_version(df: DataFrame, name: str, guard: DataFrame | None = None) -> tuple[str, int]:
@@ -56,28 +62,35 @@ def write_version(df: DataFrame, name: str, guard: DataFrame | None = None) -> t
     return path, written.get["rows"]
 
 
-def switch_tables(spark: SparkSession, versions: Mapping[str, str]) -> None:
+def switch_tables(spark: SparkSession, versions: Mapping[str, str], tidy: bool = True) -> None:
     """Let tables show written versions. Only the catalog changes, after all data is there.
 
-    The folders that the tables showed before are removed at the end, if they were versions too.
+    A reader that has begun goes on with the folder it began with: what a table showed before stays until
+    `EARLIER` further versions are there (``tidy``; else someone else removes it). Tables switch one after the other; readers that need several of
+    one version ask the manifest (`sources.versions`).
     """
-    before = []
     for name, path in versions.items():
         schema = spark.read.parquet(path).schema
         if spark.catalog.tableExists(name):
-            old = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
             same = [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in schema]
             if same:
                 spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
                 spark.catalog.refreshTable(name)
             else:
                 spark.sql(f"DROP TABLE {name}")
-            before.append(old)
         if not spark.catalog.tableExists(name):
             spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
-    for old in before:
-        if re.search(r"/v-[0-9a-f]{32}$", old.rstrip("/")):
-            remove_folder(spark, old)
+        if tidy:
+            _remove_earlier(spark, path)
+
+
+def _remove_earlier(spark: SparkSession, path: str) -> None:
+    """Remove the versions beside ``path`` but for it and the `EARLIER` last written ones."""
+    folder, _, shown = path.rstrip("/").rpartition("/")
+    beside = [(changed, found) for found, is_folder, _, changed in entries(spark, folder)
+              if is_folder and re.search(r"/v-[0-9a-f]{32}$", found) and not found.endswith(f"/{shown}")]
+    for _, old in sorted(beside)[: -EARLIER or None]:
+        remove_folder(spark, old)
 
 
 def save_table(
