@@ -17,7 +17,7 @@ from ..sources.shared import application_dir
 from ..sources.files import ingest_directory, read_inferred, write_csv
 from ..sources.tables import append_conformed, create_database, create_table, list_tables, load_table, register_views
 from ..streaming.ingest import ingest_new_files
-from .incremental import add_rows, mart_of_version
+from .incremental import TOTALS, add_rows, mart_of_version
 from .refresh import cleaned_of, mart_of, refresh_tables, summary_of
 from .workspace import REDELIVERED, Workspace, workspace
 
@@ -83,12 +83,12 @@ def _stream_ingest(ws: Workspace) -> DataFrame:
 def _refresh_added(ws: Workspace) -> DataFrame:
     """The mart after a first delivery, a second one that repeats half of it, and one of prices alone."""
     place = f"{application_dir(ws.spark)}/added-{uuid.uuid4().hex}"
-    keys = {"vendor_invoice": "PONumber"}
-    half = {name: F.pmod(F.hash(keys.get(name, "Brand")), F.lit(2)) == 0 for name in ws}
-    late = {"purchase_prices"}
-    add_rows(ws.spark, place, {name: ws.redelivered(name).where(half[name]) for name in ws})
-    add_rows(ws.spark, place, {name: ws.redelivered(name) for name in ws if name not in late})
-    return mart_of_version(ws.spark, add_rows(ws.spark, place, {name: ws.redelivered(name) for name in late}))
+    twice = {totals.table: ws.redelivered(totals.table) for totals in TOTALS}
+    half = {name: F.pmod(F.hash("PONumber" if name == "vendor_invoice" else "Brand"), F.lit(2)) == 0 for name in twice}
+    add_rows(ws.spark, place, {name: rows.where(half[name]) for name, rows in twice.items()})
+    prices = twice.pop("purchase_prices")
+    add_rows(ws.spark, place, twice)
+    return mart_of_version(ws.spark, add_rows(ws.spark, place, {"purchase_prices": prices}))
 
 
 def _database_tables(ws: Workspace) -> DataFrame:
