@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vendorlens.operators import deliveries, ids, stats
+from vendorlens.operators.modes import modes
 from vendorlens.operators.skew import spread_join
 from vendorlens.plans import incremental, refresh
 from vendorlens.sources import files, versions
@@ -197,5 +198,26 @@ def test_parts_that_disagree_get_the_joined_type(spark, tmp_path):
     assert dict(files.read_inferred(spark, str(tmp_path / "e")).dtypes) == {"a": "string", "b": "string"}
 
 
+@pytest.mark.parametrize("kept", [2, 5, 4096])
+def test_modes_by_frequent_items(spark, kept):
+    """A clear mode, a flat column, ties, zeros of both signs, texts, a column of one value and one of none."""
+    random = np.random.default_rng(7)
+    rows = []
+    for i in range(3_000):
+        rows.append((
+            7.5 if i % 3 == 0 else float(random.integers(1, 900)), float(i), float(i % 4), -0.0 if i % 2 else 0.0, None if i % 5 else float("nan"),
+            f"t{i % 50}" if i % 4 else "often", None))
+    df = spark.createDataFrame(rows, "clear double, flat double, tie double, zero double, none double, t string, u string").repartition(6)
+    found = {r.column: r.number if r.text is None else r.text for r in modes(df, kept).collect()}
+    assert found == {"clear": 7.5, "flat": 0.0, "tie": 0.0, "zero": 0.0, "t": "often"}
+
+
+def test_only_open_columns_are_counted_in_full(spark):
+    df = spark.range(4_000).select(F.when(F.col("id") % 2 == 0, 1.0).otherwise(F.col("id").cast("double")).alias("clear"))
+    text = modes(df, 16)._jdf.queryExecution().toString()
+    assert "array_contains" in text
+    assert [(r.column, r.number) for r in modes(df, 16).collect()] == [("clear", 1.0)]
+
+
 def test_raw_schemas_have_totals():
     assert {t.table for t in incremental.TOTALS} < set(RAW_SCHEMAS) and KINDS.keys() == {t.table for t in incremental.TOTALS}

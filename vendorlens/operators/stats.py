@@ -12,6 +12,7 @@ from ..functions.numbers import exact_mean
 from ..functions.student import t_critical, t_two_sided_p
 from ..sources.shared import ship
 from .clean import numeric_columns
+from .modes import modes
 from .quantiles import exact_quantiles, long_form, quantile_columns, wide_quantiles, with_quantiles
 
 BINS = 30
@@ -33,29 +34,6 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
-def _smallest_mode(pairs: DataFrame) -> DataFrame:
-    """The most frequent value per column, the smallest where several are."""
-    counts = pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("copies"))
-    return counts.groupBy("column").agg(
-        F.min(F.struct((-F.col("copies")).alias("order"), "value")).alias("best")
-    ).select("column", F.col("best.value").alias("value"))
-
-
-def modes(df: DataFrame) -> DataFrame:
-    """The smallest most frequent value of each column, numeric and text."""
-    numbers = numeric_columns(df)
-    texts = [c for c, t in df.dtypes if t == "string"]
-    found = _smallest_mode(long_form(df, numbers)).select(
-        "column", F.col("value").alias("number"), F.lit(None).cast("string").alias("text")
-    )
-    if texts:
-        words = df.select(texts).unpivot([], texts, "column", "value").dropna(subset=["value"])
-        found = found.unionByName(_smallest_mode(words).select(
-            "column", F.lit(None).cast("double").alias("number"), F.col("value").alias("text")
-        ))
-    return found
-
-
 def _merged(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Moments of two sets of rows as those of both: n, both means, both sums of squares and that of products about the means."""
     n = one[0] + other[0]
