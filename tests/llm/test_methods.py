@@ -108,9 +108,11 @@ def test_toxicity_on_held_out_documents(spark):
     hit = [texts[r["doc_id"]][s["start"] : s["end"]] for r in scored if r["doc_id"] % 4 == 0 for s in r["spans"]]
     assert hit and all(any(x in h for x in stems) for h in hit)
     # offsets are those of the text, also where lower case is longer
-    longer = documents(spark, [(1, "İİİ İ vilest words\u2003İ vilest", "en", "a", 1)])
-    spans = toxicity.score(longer, toxicity.fit(docs, marks)).first()["spans"]
-    assert [("İİİ İ vilest words\u2003İ vilest"[s["start"] : s["end"]]) for s in spans] == ["vilest", "vilest"]
+    marked = [r for r in scored if r["doc_id"] % 4 == 0 and r["spans"]][:5]
+    longer = documents(spark, [(r["doc_id"], "İİİ İ\u2003" * 3 + texts[r["doc_id"]], "en", "a", 1) for r in marked])
+    for r in toxicity.score(longer, toxicity.fit(docs, marks)).collect():
+        text = "İİİ İ\u2003" * 3 + texts[r["doc_id"]]
+        assert r["spans"] and all(any(x in text[s["start"] : s["end"]] for x in stems) for s in r["spans"])
 
 
 @pytest.mark.parametrize("clean_words", [60, 2_500])
