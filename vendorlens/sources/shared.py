@@ -108,4 +108,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{application_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["_staged"] = path
+    return out
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Remove the folders of frames that `stage` returned, once what is made of them is written; they cannot be read again."""
+    for frame in frames:
+        remove_folder(frame.sparkSession, frame.__dict__["_staged"])
