@@ -28,15 +28,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .chains import Layout, added_pieces, batches
-from .common import hex_id, ship, staged, table, work_dir
+from .common import hex_id, ship, sliced, staged, table, work_dir
 
 STATES, ROUNDS = 8, 6
 #: Words that are symbols; words whose counts are broadcast.
 HEAD, COUNTED = 1 << 16, 1 << 18
 #: Ending classes of the other words at most (a power of two); distinct words of a class, on average, below that.
 CLASSES, IN_CLASS = 2048, 64
-#: Symbols in a piece of expected counts; distinct words a task holds before it passes counts on.
-PIECE, HELD = 4096, 250_000
+#: Symbols in a piece of expected counts; distinct words a task holds before it passes counts on; texts it encodes at once.
+PIECE, HELD, TEXTS = 4096, 250_000, 500
 #: Tokens laid out at once; positions after which the forward and backward numbers are brought back to a sum of 1.
 TOKENS, RESCALED = 1 << 18, 12
 #: Words' worth of unigram counts added to each state's emissions.
@@ -51,6 +51,18 @@ def ending_class(word: bytes, classes: int) -> int:
     return zlib.crc32(word[-3:]) % classes
 
 
+class _Classes(dict):
+    """Ending classes of words, remembered."""
+
+    def __init__(self, classes: int):
+        super().__init__()
+        self.classes = classes
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = ending_class(word, self.classes)
+        return found
+
+
 def classes_for(types: int) -> int:
     """How many ending classes ``types`` distinct words are dealt to: a power of two."""
     return min(CLASSES, 1 << max(0, (types // IN_CLASS).bit_length() - 1))
@@ -157,32 +169,40 @@ def encode(docs: DataFrame, train: Column, key: str, text: str, known: Vocabular
         base_log, end = base_log - math.log10(v.tokens + v.types + 1), v.symbols - 1
         base_end = math.log10((v.texts + 1) / (v.tokens + v.types + 1))
         unknown = -math.log10(v.tokens + v.types + 1)
-        for batch in batches_in:
-            out = {c: [] for c in ("symbols", "n_tokens", "n_known", "base", "inside", "far")}
+        kind_of = _Classes(classes)
+        for batch in sliced(batches_in, TEXTS):
+            words, sizes = [], []
             for text in batch.column(0):
-                words = words_of(text.as_py())
-                at = np.fromiter(map(place.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-                lost = np.flatnonzero(at < 0)
-                near = at[at >= 0]
-                symbols = np.empty(len(words) + 1, dtype=np.int32)
-                symbols[:-1] = symbol[at] if len(v.words) else 0
-                symbols[-1] = end
-                inside, far = float(share[near].sum()), Counter(words[i] for i in lost)
-                for i in lost:
-                    kind = ending_class(words[i], classes)
-                    symbols[i] = head + kind
-                    inside -= class_log[kind]
-                out["symbols"].append(symbols.tobytes())
-                out["n_tokens"].append(len(words) + 1)
-                out["n_known"].append(len(near) + (v.texts > 0))
-                out["base"].append(float(base_log[near].sum()) + base_end + unknown * len(lost))
-                out["inside"].append(inside)
-                out["far"].append([{"word": w, "times": n} for w, n in far.items()])
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                     pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], *[pa.array(x, k) for x, k in zip(out.values(), kinds)]],
-                [*batch.schema.names[1:], *out])
+                found = words_of(text.as_py())
+                words += found
+                sizes.append(len(found))
+            n, owner = batch.num_rows, np.repeat(np.arange(batch.num_rows), sizes)
+            at = np.fromiter(map(place.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+            lost = np.flatnonzero(at < 0)
+            far = [words[i] for i in lost.tolist()]
+            kinds = np.fromiter(map(kind_of.__getitem__, far), dtype=np.int64, count=len(far))
+            code, inside, base = (x[at] if len(v.words) else np.zeros(len(at)) for x in (symbol, share, base_log))
+            code[lost], inside[lost], base[lost] = head + kinds, -class_log[kinds], unknown
+            symbols = np.full(len(words) + n, end, dtype=np.int32)  # an end after each text
+            symbols[np.arange(len(words)) + owner] = code
+            ends = np.concatenate([[0], np.cumsum(np.array(sizes, dtype=np.int64) + 1)])
+            cuts, names, times, lists = np.searchsorted(owner[lost], np.arange(n + 1)).tolist(), [], [], [0]
+            for low, high in zip(cuts, cuts[1:]):
+                counts = Counter(far[low:high])
+                names += counts.keys()
+                times += counts.values()
+                lists.append(len(names))
+            added = lambda w: np.bincount(owner, weights=w, minlength=n)
+            yield pa.RecordBatch.from_arrays([
+                *batch.columns[1:],
+                pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends * 4), pa.py_buffer(symbols)]).cast(pa.binary()),
+                pa.array(np.diff(ends)), pa.array(added(at >= 0).astype(np.int64) + int(v.texts > 0)),
+                pa.array(added(base) + base_end), pa.array(added(inside)),
+                pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.StructArray.from_arrays(
+                    [pa.array(names, pa.binary()), pa.array(times, pa.int64())], ["word", "times"])),
+            ], [*batch.schema.names[1:], "symbols", "n_tokens", "n_known", "base", "inside", "far"])
+            if len(kind_of) > HELD:
+                kind_of.clear()
 
     rows = docs.select(
         F.col(f"`{text}`").cast("binary").alias("text"), F.monotonically_increasing_id().alias("row"),
@@ -221,7 +241,9 @@ class _Forward:
         self.emitted = model.emit[self.laid]
         self.alpha = alpha = np.empty_like(self.emitted)
         self.steps = list(layout.steps())
-        taken, before = np.zeros(len(lengths)), 0
+        ones, taken, before = np.ones(alpha.shape[1]), np.zeros(len(lengths)), 0
+        #: what the numbers of each token were divided by
+        self.scale = np.ones(len(alpha))
         for t, (at, n) in enumerate(self.steps):
             here = alpha[at : at + n]
             if t:
@@ -230,9 +252,10 @@ class _Forward:
             else:
                 np.multiply(self.emitted[:n], model.start, out=here)
             if t % RESCALED == RESCALED - 1:
-                scale = here.sum(1)
+                scale = here @ ones
                 here /= scale[:, None]
                 taken[:n] += np.log(scale)
+                self.scale[at : at + n] = scale
             before = at
         self.ends = layout.place[np.cumsum(lengths) - 1]
         #: natural log of each sequence's probability
@@ -256,7 +279,7 @@ class Expected:
         model, forward = self.model, _Forward(self.model, symbols, lengths)
         alpha, steps = forward.alpha, forward.steps
         self.log += float(forward.log.sum())
-        beta = np.ones_like(alpha)
+        beta, ones = np.ones_like(alpha), np.ones(alpha.shape[1])
         ahead = forward.emitted  # becomes emission times backward number
         back = np.ascontiguousarray(model.move.T)
         for t in range(len(steps) - 1, 0, -1):
@@ -266,20 +289,21 @@ class Expected:
             later *= beta[at : at + n]
             np.matmul(later, back, out=here)
             if t % RESCALED == 0:
-                here /= here.sum(1)[:, None]
+                here /= (here @ ones)[:, None]
         # shares of the states at each token; and of the moves into each token but the first ones
         first = steps[0][1]
         beta *= alpha
-        beta /= beta.sum(1)[:, None]
+        total = beta @ ones
+        beta /= total[:, None]
         self.start += beta[:first].sum(0)
-        for k in range(len(model.start)):
-            self.emit[:, k] += np.bincount(forward.laid, weights=beta[:, k], minlength=len(self.emit))
+        for k, weights in enumerate(np.ascontiguousarray(beta.T)):
+            self.emit[:, k] += np.bincount(forward.laid, weights=weights, minlength=len(self.emit))
+        total *= forward.scale  # of all moves into a token
         before = forward.layout.before
         for low in range(first, len(alpha), 1 << 16):
             high = min(len(alpha), low + (1 << 16))
-            prior, later = alpha[before[low:high]], ahead[low:high]
-            prior /= ((prior @ model.move) * later).sum(1)[:, None]
-            self.move += (prior.T @ later) * model.move
+            later = ahead[low:high] / total[low:high, None]
+            self.move += (alpha[before[low:high]].T @ later) * model.move
 
     def pieces(self) -> Iterator[tuple[int, bytes]]:
         head = np.concatenate([self.start, self.move.ravel(), [self.log]])
