@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from vendorlens.llm import (
-    decontamination, exact_dedup, hard_negatives, hmm, language_id, mixing, ngram_join, periodic_runs, rule_quality, suffix_dedup, toxicity,
+    decontamination, exact_dedup, hmm, language_id, mixing, ngram_join, periodic_runs, rule_quality, suffix_dedup, toxicity,
     url_filter, warc,
 )
 

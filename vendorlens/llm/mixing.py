@@ -22,7 +22,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
