@@ -192,7 +192,8 @@ def encode(docs: DataFrame, train: Column, key: str, text: str, known: Vocabular
                 names += counts.keys()
                 times += counts.values()
                 lists.append(len(names))
-            added = lambda w: np.bincount(owner, weights=w, minlength=n)
+            # without a word in the slice the counts come as whole numbers
+            added = lambda w: np.bincount(owner, weights=w, minlength=n).astype(np.float64)
             yield pa.RecordBatch.from_arrays([
                 *batch.columns[1:],
                 pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends * 4), pa.py_buffer(symbols)]).cast(pa.binary()),
