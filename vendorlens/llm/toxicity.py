@@ -39,6 +39,8 @@ FIT, FIT_CHARS = 1_000, 8_000
 FEATURES, STEPS = 20_000, 60
 #: Least toxic documents times log lift of a feature that marks tokens as toxic.
 MARK = 25.0
+#: Moves between tokens whose shares are held at once while fitting.
+MOVES = 1 << 17
 #: Words whose scores a task remembers before it forgets them all.
 REMEMBERED = 150_000
 
@@ -129,7 +131,7 @@ def fit_field(texts: list[str], toxic: list[int], marks: dict[str, bool]) -> Fie
                 words[t] = len(words)
                 seen.append([known[f] for f in features(t) if f in known])
             ids.append(words[t])
-    ids, lengths = np.array(ids, dtype=np.int64), np.array(lengths, dtype=np.int64)
+    ids, lengths = np.array(ids, dtype=np.int32), np.array(lengths, dtype=np.int64)
     flags = np.array([bool(fs) and bool(marking[fs].any()) for fs in seen], dtype=bool)
     gold = flags[ids] & np.repeat(np.array(toxic, dtype=bool), lengths)
     # (word, feature) pairs, to spread expectations over features
@@ -139,9 +141,9 @@ def fit_field(texts: list[str], toxic: list[int], marks: dict[str, bool]) -> Fie
     layout = Layout(lengths)
     y = np.empty(len(ids)); y[layout.place] = gold
     steps = list(layout.steps())
-    tail = np.concatenate([np.arange(after, after + n) for after, n in steps[1:]]) if len(steps) > 1 else np.zeros(0, np.int64)
-    head = np.concatenate([np.arange(at, at + n) for (at, _), (_, n) in zip(steps, steps[1:])]) if len(steps) > 1 else tail
-    laid = np.empty(len(ids), dtype=np.int64); laid[layout.place] = ids
+    tail = np.concatenate([np.arange(after, after + n, dtype=np.int32) for after, n in steps[1:]]) if len(steps) > 1 else np.zeros(0, np.int32)
+    head = np.concatenate([np.arange(at, at + n, dtype=np.int32) for (at, _), (_, n) in zip(steps, steps[1:])]) if len(steps) > 1 else tail
+    laid = np.empty(len(ids), dtype=np.int32); laid[layout.place] = ids
 
     weights, bias, moves = np.zeros(len(known)), -4.0, np.zeros((2, 2))
     parameters = np.concatenate([weights, [bias], moves.ravel()])
@@ -155,12 +157,21 @@ def fit_field(texts: list[str], toxic: list[int], marks: dict[str, bool]) -> Fie
         odds = np.exp(np.clip(by_word, -30, 30))[laid]
         move = np.exp(moves)
         f, b = _messages(odds, layout, move)
-        p = f * b / (f * b + (1 - f) * (1 - b))
-        fh, bt, ot = f[head], b[tail], odds[tail]
-        joint = np.stack([(1 - fh) * move[0, 0] * (1 - bt), (1 - fh) * move[0, 1] * ot * bt,
-                          fh * move[1, 0] * (1 - bt), fh * move[1, 1] * ot * bt])
-        joint = (joint / joint.sum(0)).sum(1).reshape(2, 2)
+        p = f * b
+        rest = (1 - f) * (1 - b)
+        rest += p
+        p /= rest
+        del rest
+        joint = np.zeros((2, 2))
+        for low in range(0, len(head), MOVES):  # the driver holds a slice's moves at a time
+            h, t = head[low : low + MOVES], tail[low : low + MOVES]
+            fh, bt, ot = f[h], b[t], odds[t]
+            share = np.stack([(1 - fh) * move[0, 0] * (1 - bt), (1 - fh) * move[0, 1] * ot * bt,
+                              fh * move[1, 0] * (1 - bt), fh * move[1, 1] * ot * bt])
+            share /= share.sum(0)
+            joint += share.sum(1).reshape(2, 2)
         off = gold_words - np.bincount(laid, weights=p, minlength=len(seen))
+        del odds, f, b, p
         gradient = np.concatenate([
             np.bincount(pair_feature, weights=off[pair_word], minlength=len(known)) - 0.05 * weights,
             [off.sum()], (gold_moves - joint).ravel() - 1.0 * moves.ravel(),
@@ -170,6 +181,7 @@ def fit_field(texts: list[str], toxic: list[int], marks: dict[str, bool]) -> Fie
         parameters = parameters + 0.3 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
     weights, bias, moves = parameters[: len(known)], parameters[len(known)], parameters[-4:].reshape(2, 2)
     field = Field({f: float(w) for f, w in zip(known, weights)}, float(bias), moves.copy())
+    del laid, y, head, tail, layout
     emissions = (bias + np.bincount(pair_word, weights=weights[pair_feature], minlength=len(seen)))[ids]
     field.logistic = _logistic(field.evidence(field.marginals(emissions, lengths), lengths), np.array(toxic, dtype=float))
     return field
