@@ -121,7 +121,7 @@ def _inventory(read, on_hand: Column, date_name: str, date: str) -> DataFrame:
     """
     regions = read("region").agg(F.collect_list(F.struct(F.col("r_regionkey").alias("Store"), "r_name"))).scalar()
     return (
-        _parts(read).withColumn("_regions", regions).select("*", F.inline("_regions")).drop("_regions")
+        _parts(read).hint("rebalance").withColumn("_regions", regions).select("*", F.inline("_regions")).drop("_regions")
         .select(
             _inventory_id(F.col("Store"), F.col("r_name"), F.col("Brand")).alias("InventoryId"),
             "Store", F.col("r_name").alias("City"), "Brand", "Description", "Size",
