@@ -10,6 +10,7 @@ from vendorlens.operators.quantiles import long_form
 from vendorlens.plans import incremental, queries
 from vendorlens.sources import retail, versions
 from vendorlens.sources.shared import exists
+from vendorlens.sources.tables import create_database, list_tables, register_views
 
 from .test_mart import invoice, listed, purchase, sale, table
 from .test_versions import delivered, first_rows
@@ -98,3 +99,12 @@ def test_added_rows_drop_what_old_versions_wrote(spark, tmp_path):
     assert exists(spark, second.tables[mart][0]) and exists(spark, third.tables[mart][0])
     assert all(exists(spark, f) for folders in third.tables.values() for f in folders)
     assert versions.current(spark, place) == third and incremental.mart_of_version(spark, third).count() == 6
+
+
+def test_views_are_no_tables(spark, tmp_path):
+    create_database(spark, "no_views", str(tmp_path / "no_views"))
+    register_views({"a_view": spark.range(1)})
+    spark.range(1).write.saveAsTable("no_views.a_table")
+    assert list_tables(spark, "no_views") == ["a_table"]
+    spark.catalog.dropTempView("a_view")
+    spark.sql("DROP DATABASE no_views CASCADE")
