@@ -18,8 +18,9 @@ as often as they occur. An empty table gives an empty result; other columns are
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +48,21 @@ def pieces_of(path: str = PIECES) -> list[str]:
     return sorted({n.lower() for n in names if n.removeprefix(START).isalpha()} | {START})
 
 
-def words_in(token: str) -> list[str]:
-    """The letters of a lower-case token as one word, if it has any."""
-    letters = token if token.isalpha() else "".join(c for c in token if c.isalpha())
-    return [letters] if letters else []
+class _Letters(dict):
+    """For `str.translate`: letters and white space stay, other characters go."""
+
+    def __missing__(self, code: int) -> int | None:
+        char = chr(code)
+        self[code] = kept = code if char.isalpha() or char.isspace() else None
+        return kept
+
+
+_LETTERS = _Letters()
+
+
+def words_of(text: str | None) -> list[str]:
+    """The letters of each lower-case token as one word, if it has any."""
+    return (text or "").lower().translate(_LETTERS).split()
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -121,12 +133,22 @@ class Lattice:
         end = start + size
         self.words, self.lengths = len(words), np.array([len(w) + 1 for w in words], dtype=np.int64)
         self.width = int(self.lengths.max(initial=0)) + 1
-        order = np.argsort(np.array(end, dtype=np.int64), kind="stable")
+        order = self._sorted(end)
         self.word, self.start, self.end, self.piece = (np.array(x, dtype=np.int64)[order] for x in (word, start, end, piece))
         self.size = self.end - self.start
         self.cuts = np.searchsorted(self.end, np.arange(self.width + 1))
-        self.by_start = np.argsort(self.start, kind="stable")
-        self.start_cuts = np.searchsorted(self.start[self.by_start], np.arange(self.width + 1))
+
+    def _sorted(self, places: np.ndarray) -> np.ndarray:
+        """Stable order of places; sorted by digits where they fit 16 bits."""
+        return np.argsort(np.array(places, dtype=np.uint16 if self.width <= 1 << 16 else np.int64), kind="stable")
+
+    @cached_property
+    def by_start(self) -> np.ndarray:
+        return self._sorted(self.start)
+
+    @cached_property
+    def start_cuts(self) -> np.ndarray:
+        return np.searchsorted(self.start[self.by_start], np.arange(self.width + 1))
 
     def forward(self, chances: np.ndarray) -> np.ndarray:
         """[position, word]: probability of the letters before a position; ``chances`` is per piece place."""
@@ -182,29 +204,26 @@ class Lattice:
 
 
 def _count_words(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
-    cut: dict[str, list[str]] = {}
+    counts: defaultdict[str, Counter] = defaultdict(Counter)
+    held = 0
 
     def flush() -> pa.RecordBatch:
-        keys = list(counts)
         out = pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-             pa.array(list(counts.values()), pa.int64())], ["lang", "word", "c"])
+            [pa.array([lang for lang, own in counts.items() for _ in own], pa.string()),
+             pa.array([word for own in counts.values() for word in own], pa.string()),
+             pa.array([c for own in counts.values() for c in own.values()], pa.int64())], ["lang", "word", "c"])
         counts.clear()
         return out
 
     for batch in batches_in:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            for token, n in Counter((text.as_py() or "").lower().split()).items():
-                words = cut.get(token)
-                if words is None:
-                    words = cut[token] = words_in(token)
-                for word in words:
-                    counts[lang, word] += n
-            if len(counts) > HELD:
+            own = counts[lang]
+            before = len(own)
+            own.update(words_of(text.as_py()))
+            held += len(own) - before
+            if held > HELD:
+                held = 0
                 yield flush()
-            if len(cut) > HELD:
-                cut.clear()
     yield flush()
 
 
@@ -295,32 +314,22 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
         model = shared.value
         many = len(model.languages)
         place: dict[str, int] = {}
-        logs = np.zeros((0, many + 1))  # sums over a token's words
+        logs = np.zeros((0, many))
         for batch in batches_in:
             found, scores = [], []
             for low in range(0, batch.num_rows, TEXTS):
-                texts = [(t or "").lower().split() for t in batch.column(0).slice(low, TEXTS).to_pylist()]
+                texts = [words_of(t) for t in batch.column(0).slice(low, TEXTS).to_pylist()]
                 if len(place) > REMEMBERED:
-                    place, logs = {}, np.zeros((0, many + 1))
+                    place, logs = {}, np.zeros((0, many))
                 new = list(set().union(*texts).difference(place)) if many else []
                 if new:
-                    cut = [words_in(t) for t in new]
-                    words = [w for ws in cut for w in ws]
-                    owner = np.repeat(np.arange(len(new)), [len(ws) for ws in cut])
-                    sums = np.zeros((len(new), many + 1))  # the last column counts words
-                    if words:
-                        per_word = np.column_stack([model.logs(words), np.ones(len(words))])
-                        for k in range(many + 1):
-                            sums[:, k] = np.bincount(owner, weights=per_word[:, k], minlength=len(new))
                     place.update(zip(new, range(len(logs), len(logs) + len(new))))
-                    logs = np.concatenate([logs, sums])
-                for tokens in texts:
-                    at = np.fromiter(map(place.__getitem__, tokens), dtype=np.int64, count=len(tokens)) if many else []
-                    total = logs[at].sum(0) if len(at) else np.zeros(many + 1)
-                    if not total[-1]:
+                    logs = np.concatenate([logs, model.logs(new)])
+                for words in texts:
+                    if not many or not words:
                         found.append("und"), scores.append(0.0)
                         continue
-                    total = total[:-1]
+                    total = logs[np.fromiter(map(place.__getitem__, words), dtype=np.int64, count=len(words))].sum(0)
                     best = int(total.argmax())
                     found.append(model.languages[best])
                     scores.append(float(1 / np.exp(total - total[best]).sum()))
