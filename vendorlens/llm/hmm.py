@@ -239,7 +239,7 @@ class _Forward:
         self.layout = layout = Layout(lengths)
         self.laid = np.empty(len(symbols), dtype=np.int64)
         self.laid[layout.place] = symbols
-        self.emitted = model.emit[self.laid]
+        self.emitted = np.take(model.emit, self.laid, axis=0)
         self.alpha = alpha = np.empty_like(self.emitted)
         self.steps = list(layout.steps())
         ones, taken, before = np.ones(alpha.shape[1]), np.zeros(len(lengths)), 0
@@ -280,7 +280,8 @@ class Expected:
         model, forward = self.model, _Forward(self.model, symbols, lengths)
         alpha, steps = forward.alpha, forward.steps
         self.log += float(forward.log.sum())
-        beta, ones = np.ones_like(alpha), np.ones(alpha.shape[1])
+        beta, ones = np.empty_like(alpha), np.ones(alpha.shape[1])
+        beta[forward.ends] = 1  # the others are set from the tokens behind them
         ahead = forward.emitted  # becomes emission times backward number
         back = np.ascontiguousarray(model.move.T)
         for t in range(len(steps) - 1, 0, -1):
@@ -297,14 +298,16 @@ class Expected:
         total = beta @ ones
         beta /= total[:, None]
         self.start += beta[:first].sum(0)
-        for k, weights in enumerate(np.ascontiguousarray(beta.T)):
-            self.emit[:, k] += np.bincount(forward.laid, weights=weights, minlength=len(self.emit))
         total *= forward.scale  # of all moves into a token
         before = forward.layout.before
         for low in range(first, len(alpha), 1 << 16):
             high = min(len(alpha), low + (1 << 16))
             later = ahead[low:high] / total[low:high, None]
-            self.move += (alpha[before[low:high]].T @ later) * model.move
+            self.move += (np.take(alpha, before[low:high], axis=0).T @ later) * model.move
+        states, laid = self.emit.shape[1], forward.laid
+        del forward, alpha, ahead, before  # as large as the cells of the emissions
+        cells = (laid[:, None] * states + np.arange(states)).ravel()
+        self.emit += np.bincount(cells, weights=beta.ravel(), minlength=self.emit.size).reshape(self.emit.shape)
 
     def pieces(self) -> Iterator[tuple[int, bytes]]:
         head = np.concatenate([self.start, self.move.ravel(), [self.log]])
