@@ -32,6 +32,8 @@ from .common import hex_id, ship, sliced, staged, table
 
 #: Labelled documents that feature counts are learned from: (toxic, clean).
 SAMPLE = (8_000, 16_000)
+#: Of these, how many go to one file: every file that a task writes to a local folder makes its executor start a process.
+IN_FILE = 1_000
 #: Of these, how many of each kind the field's weights are fitted on at most, and the characters to draw for each of them:
 #: texts of any length are drawn whole until `FIT` * `FIT_CHARS` characters of a kind are reached.
 FIT, FIT_CHARS = 1_000, 8_000
@@ -239,7 +241,8 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPL
 def fit(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) -> Field:
     """Learn the field from a bounded sample of labelled documents."""
     ship(docs.sparkSession)
-    rows = staged(labelled(docs, labels, sample), "toxic-sample")
+    # few rows of all tasks: as many files as the sample needs, not one for each task that read a part of the documents
+    rows = staged(labelled(docs, labels, sample).repartition(-(-sum(sample) // IN_FILE)), "toxic-sample")
     sizes = {r["mark"]: r["n"] for r in rows.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return Field({}, -10.0, np.zeros((2, 2)))
