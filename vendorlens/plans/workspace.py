@@ -7,7 +7,7 @@ needs instead of repeating the load.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,8 +15,9 @@ from ..operators.stats import quartile_groups
 from ..operators.vendors import brand_performance, order_sizes, profitable_rows
 from ..sources.retail import raw_table
 from ..sources.schemas import RAW_SCHEMAS
-from ..sources.shared import entries, stage
-from .refresh import cleaned_of, cleaned_rows, mart_of, summary_of
+from ..sources.shared import entries, stage_parts, unstage
+from .refresh import cleaned_rows, mart_of, summary_of
+from .slices import slice_count, summary_slices
 
 _open: dict[tuple, "Workspace"] = {}
 
@@ -38,16 +39,22 @@ class Workspace(Mapping):
         self.spark, self.directory = spark, directory
         self._staged: dict[str, DataFrame] = {}
 
-    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def _once(self, name: str, build: Callable[[], DataFrame | Iterator[DataFrame]]) -> DataFrame:
+        """What ``build`` returns, staged; it may come in parts."""
         if name not in self._staged:
-            self._staged[name] = stage(build(), name)
+            rows = build()
+            self._staged[name] = stage_parts([rows] if isinstance(rows, DataFrame) else rows, name)
         return self._staged[name]
 
+    def derived(self, name: str) -> DataFrame:
+        """A raw table as a plan, if it is not staged."""
+        stored = {"purchases": self["purchases"]} if name == "vendor_invoice" else None
+        return self._staged[name] if name in self._staged else raw_table(self.spark, self.directory, name, stored)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in RAW_SCHEMAS:
             raise KeyError(name)
-        stored = {"purchases": self["purchases"]} if name == "vendor_invoice" else None
-        return self._once(name, lambda: raw_table(self.spark, self.directory, name, stored))
+        return self._once(name, lambda: self.derived(name))
 
     def __iter__(self):
         return iter(RAW_SCHEMAS)
@@ -59,20 +66,33 @@ class Workspace(Mapping):
         """A raw table with part of its rows in it twice."""
         return self[name].unionAll(self[name].where(F.expr(REDELIVERED[name])))
 
+    def summary_parts(self) -> Iterator[DataFrame]:
+        """The summary from raw tables, in slices to be written one after the other.
+
+        Large raw tables that only this needed are not left behind: invoices are summed up as they are derived, and
+        what was staged here goes with the last slice.
+        """
+        here = set(self._staged)
+        tables = {name: self[name] for name in ("purchases", "purchase_prices", "sales")}
+        large = slice_count(tables["purchases"], tables["sales"]) > 1
+        yield from summary_slices({**tables, "vendor_invoice": self.derived("vendor_invoice") if large else self["vendor_invoice"]})
+        if large:
+            unstage(*[self._staged.pop(name) for name in tables if name not in here])
+
     def summary(self) -> DataFrame:
         return self._once("summary", lambda: summary_of(self))
 
     def cleaned(self) -> DataFrame:
-        return self._once("clean", self._clean_rows)
+        return self._once("clean", self._clean_parts)
 
     def mart(self) -> DataFrame:
-        return self._once("mart", lambda: mart_of(self._clean_rows()))
+        return self._once("mart", lambda: (mart_of(part) for part in self._clean_parts()))
 
-    def _clean_rows(self) -> DataFrame:
+    def _clean_parts(self) -> Iterator[DataFrame]:
         """Clean rows from what is stored already; the mart alone needs no stored copy of them."""
         if "clean" in self._staged:
-            return self._staged["clean"]
-        return cleaned_rows(self._staged["summary"]) if "summary" in self._staged else cleaned_of(self)
+            return iter([self._staged["clean"]])
+        return (cleaned_rows(part) for part in ([self._staged["summary"]] if "summary" in self._staged else self.summary_parts()))
 
     def profitable(self) -> DataFrame:
         return profitable_rows(self.mart())
