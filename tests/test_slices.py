@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vendorlens.operators import summary, vendors
-from vendorlens.plans import slices
+from vendorlens.plans import queries, slices
 from vendorlens.plans.workspace import Workspace
 from vendorlens.sources import shared
 
@@ -123,3 +123,16 @@ def test_large_and_small_tables_give_the_same_mart(spark, star_folder, monkeypat
         ws = Workspace(spark, star_folder)
         assert same_rows(one(ws), found[(Workspace.summary, Workspace.cleaned, Workspace.mart).index(one)])
     assert {"purchases", "vendor_invoice"} <= small._staged.keys()
+
+
+def test_raw_tables_that_were_staged_before_stay(spark, star_folder, large):
+    ws = Workspace(spark, star_folder)
+    sales = ws["sales"]
+    ws.summary()
+    assert sales.count() == 200 and "sales" in ws._staged and "purchases" not in ws._staged
+
+
+def test_names_come_from_a_summary_in_slices(spark, star_folder, large, stored):
+    ws = Workspace(spark, star_folder)
+    assert queries._QUERIES["distinct_brand_names"](ws).count() == 40
+    assert stored.count("summary") == slices.SLICES

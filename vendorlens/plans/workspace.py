@@ -16,7 +16,7 @@ from ..operators.vendors import brand_performance, order_sizes, profitable_rows
 from ..sources.retail import raw_table
 from ..sources.schemas import RAW_SCHEMAS
 from ..sources.shared import entries, stage_parts, unstage
-from .refresh import cleaned_rows, mart_of, summary_of
+from .refresh import cleaned_rows, mart_of
 from .slices import slice_count, summary_slices
 
 _open: dict[tuple, "Workspace"] = {}
@@ -80,7 +80,7 @@ class Workspace(Mapping):
             unstage(*[self._staged.pop(name) for name in tables if name not in here])
 
     def summary(self) -> DataFrame:
-        return self._once("summary", lambda: summary_of(self))
+        return self._once("summary", self.summary_parts)
 
     def cleaned(self) -> DataFrame:
         return self._once("clean", self._clean_parts)
