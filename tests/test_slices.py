@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from vendorlens.operators import summary, vendors
-from vendorlens.plans import queries, slices
+from vendorlens.plans import queries, refresh, slices
 from vendorlens.plans.workspace import Workspace
-from vendorlens.sources import shared
+from vendorlens.sources import shared, tables, versions
+from vendorlens.sources.tables import create_database, database_folder
 
 from .test_mart import invoice, listed, purchase, sale, table
 from .test_round_four import star
@@ -63,6 +64,7 @@ def stored(monkeypatch):
         store(df, path, add)
 
     monkeypatch.setattr(shared, "store", kept)
+    monkeypatch.setattr(tables, "store", kept)
     return found
 
 
@@ -136,3 +138,28 @@ def test_names_come_from_a_summary_in_slices(spark, star_folder, large, stored):
     ws = Workspace(spark, star_folder)
     assert queries._QUERIES["distinct_brand_names"](ws).count() == 40
     assert stored.count("summary") == slices.SLICES
+
+
+def test_refresh_in_slices(spark, star_folder, large, stored):
+    ws = Workspace(spark, star_folder)
+    mart = queries._refresh(ws)
+    assert stored.count("clean_data") == slices.SLICES
+    assert same_rows(mart, ws.mart()) and mart.count() == 120
+
+
+def test_refresh_that_stops_in_a_slice_leaves_nothing(spark, star_folder, large, tmp_path, monkeypatch):
+    create_database(spark, "stops_in_slice", str(tmp_path / "db"))
+    ws, store, done = Workspace(spark, star_folder), tables.store, []
+
+    def stops(df, path, add=False):
+        done.append(path)
+        if len(done) == 3:
+            raise RuntimeError("stopped")
+        store(df, path, add)
+
+    monkeypatch.setattr(tables, "store", stops)
+    with pytest.raises(RuntimeError, match="stopped"):
+        refresh.refresh_tables(spark, ws, "stops_in_slice")
+    assert len(set(done)) == 1 and not shared.exists(spark, done[0])
+    assert versions.current(spark, database_folder(spark, "stops_in_slice")).number == 0
+    spark.sql("DROP DATABASE stops_in_slice CASCADE")
