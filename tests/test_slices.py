@@ -140,6 +140,11 @@ def test_names_come_from_a_summary_in_slices(spark, star_folder, large, stored):
     assert stored.count("summary") == slices.SLICES
 
 
+def test_appended_mart_of_large_tables(spark, star_folder, large, stored):
+    found = queries._QUERIES["appended_mart"](Workspace(spark, star_folder))
+    assert stored.count("mart") == slices.SLICES and found.count() == 120
+
+
 def test_refresh_in_slices(spark, star_folder, large, stored):
     ws = Workspace(spark, star_folder)
     mart = queries._refresh(ws)
