@@ -140,6 +140,13 @@ def test_names_come_from_a_summary_in_slices(spark, star_folder, large, stored):
     assert stored.count("summary") == slices.SLICES
 
 
+def test_sorted_summary_in_slices(spark, star_folder, large, stored):
+    rows = queries._QUERIES["vendor_sales_summary"](Workspace(spark, star_folder)).collect()
+    assert stored.count("summary") == slices.SLICES
+    totals = [r.TotalPurchaseDollars for r in rows]
+    assert len(rows) == 120 and totals == sorted(totals, reverse=True)
+
+
 def test_appended_mart_of_large_tables(spark, star_folder, large, stored):
     found = queries._QUERIES["appended_mart"](Workspace(spark, star_folder))
     assert stored.count("mart") == slices.SLICES and found.count() == 120
