@@ -8,14 +8,16 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from vendorlens.operators import summary, vendors
-from vendorlens.plans import queries, refresh, slices
+from vendorlens.operators import deliveries, summary, vendors
+from vendorlens.plans import incremental, queries, refresh, slices
 from vendorlens.plans.workspace import Workspace
 from vendorlens.sources import shared, tables, versions
 from vendorlens.sources.tables import create_database, database_folder
 
+from .compare import difference
 from .test_mart import invoice, listed, purchase, sale, table
 from .test_round_four import star
+from .test_versions import delivered, first_rows, full
 
 
 def shuffle_files(spark) -> list[str]:
@@ -175,3 +177,39 @@ def test_refresh_that_stops_in_a_slice_leaves_nothing(spark, star_folder, large,
     assert len(set(done)) == 1 and not shared.exists(spark, done[0])
     assert versions.current(spark, database_folder(spark, "stops_in_slice")).number == 0
     spark.sql("DROP DATABASE stops_in_slice CASCADE")
+
+
+def test_added_rows_in_slices(spark, tmp_path, monkeypatch):
+    """Two deliveries, the second with rows that came before: each table is written slice by slice, and no delivery stays."""
+    written, store = [], incremental.store
+    monkeypatch.setattr(incremental, "slice_count", lambda *_: 3)
+    monkeypatch.setattr(incremental, "store", lambda df, path, add: written.append(path.split("/")[-2]) or store(df, path, add))
+    kept = lambda: {f for f, *_ in shared.entries(spark, shared.application_dir(spark)) if "/delivery-" in f}
+    before, seen, part = kept(), [], incremental.summary_of_totals
+    monkeypatch.setattr(incremental, "summary_of_totals", lambda *totals: seen.append(kept() - before) or part(*totals))
+    place, rows = str(tmp_path / "db"), first_rows()
+    incremental.add_rows(spark, place, delivered(spark, **rows))
+    more = {"purchases": [purchase(brand=3, quantity=4), purchase(brand=9), purchase(brand=1), purchase(brand=None)],
+            "sales": [sale(brand=3), sale(brand=5)], "vendor_invoice": [invoice(2), invoice(3)], "purchase_prices": [listed(brand=9)]}
+    after = incremental.add_rows(spark, place, delivered(spark, **more))
+    both = {name: rows[name] + more[name] for name in rows}
+    assert difference(incremental.mart_of_version(spark, after).toPandas(), full(spark, both)) is None
+    assert all(written.count(name) == 6 for name in ("purchases", "sales_totals", "vendor_invoice", "vendor_invoice_totals", "summary"))
+    assert seen == [set()] * 6 and kept() == before
+
+
+def test_added_rows_release_large_raw_tables(spark, star_folder, large):
+    ws = Workspace(spark, star_folder)
+    rows = queries._refresh_added(ws)
+    assert not set(ws._staged) & {"purchases", "sales", "vendor_invoice"}
+    assert same_rows(rows, ws.mart()) and rows.count() == 120
+
+
+def test_fingerprints_of_older_indexes_are_known(spark, monkeypatch):
+    rows = spark.range(20).selectExpr("id", "string(id) AS t")
+    assert {len(r.fingerprint) for r in deliveries.marked(rows).collect()} == {16}
+    with monkeypatch.context() as patched:
+        patched.setattr(deliveries, "BYTES", 32)
+        older = shared.stage(deliveries.marked(rows.where("id < 15")), "older").select("fingerprint", "bucket")
+    assert {len(r.fingerprint) for r in older.collect()} == {32}
+    assert sorted(r.id for r in deliveries.unseen(deliveries.marked(rows), older).collect()) == [15, 16, 17, 18, 19]
